@@ -71,30 +71,80 @@ def punct_tag(token: Column) -> Column:
     return F.when(token.isin(*PUNCT_TAGS, *UNTAGGED), chain)
 
 
+def _closed_classes() -> dict[str, dict[str, object]]:
+    """Folded word -> the closed classes it belongs to."""
+    classes: dict[str, dict[str, object]] = {}
+
+    def put(words, **values):
+        for w in words:
+            classes.setdefault(w, {}).update(values)
+
+    put([m + s for m in MEASURE for s in ("", "s", ".")], unit="meas")
+    put(QUANTITY, unit="quant")
+    put(CURRENCY, unit="curr")
+    put(["$"], unit="$")
+    put(PREPOSITIONS, prep=True)
+    put(ARTICLES, art=True)
+    put(MONTHS, month=True)
+    put(NUMBER_WORDS, number=True)
+    for mark in UNTAGGED:
+        put([mark], mark="")
+    for mark, tag in PUNCT_TAGS.items():
+        put([mark], mark=tag)
+    return classes
+
+
 def word_table(dictionary: DataFrame, ambiguous: DataFrame) -> DataFrame:
-    """One row per folded word: what the recogniser needs to know of it.
+    """One row per folded word: all the recogniser needs to know of it.
 
     ``noamb`` lists the spellings that are always a proper noun, since that
     test is the one made on the token as written.
     """
     exact = F.col("form") == F.col("word")
+    own = F.struct(F.lit(1).alias("hit"), F.col("analyses"), F.col("is_stop"))
     forms = (
         dictionary.withColumn("word", fold_case(F.col("form")))
         .groupBy("word")
         .agg(
-            F.max(F.when(exact, F.struct(F.lit(1).alias("hit"), F.col("analyses"), F.col("is_stop")))).alias("own"),
+            F.max(F.when(exact, own)).alias("own"),
             F.array_sort(F.collect_set(F.when(F.col("is_noamb"), F.col("form")))).alias("noamb"),
         )
     )
     names = ambiguous.select("word").distinct().withColumn("ambiguous", F.lit(True))
-    return forms.join(names, "word", "full").select(
-        "word",
+    rows = [
         F.struct(
-            F.col("own.analyses").alias("analyses"),
-            F.coalesce("own.is_stop", F.lit(False)).alias("stop"),
-            F.coalesce("ambiguous", F.lit(False)).alias("ambiguous"),
-            F.coalesce("noamb", F.expr("cast(array() as array<string>)")).alias("noamb"),
-        ).alias("entry"),
+            F.lit(w).alias("word"),
+            *[F.lit(c.get(k)).cast("string").alias(k) for k in ("unit", "mark")],
+            *[F.lit(bool(c.get(k))).alias(k) for k in ("prep", "art", "month", "number")],
+        )
+        for w, c in _closed_classes().items()
+    ]
+    closed = dictionary.sparkSession.range(1).select(F.inline(F.array(*rows)))
+    no = F.lit(False)
+    flag = lambda name: F.coalesce(name, no).alias(name)
+    return (
+        forms.join(names, "word", "full")
+        .join(closed, "word", "full")
+        .select(
+            "word",
+            F.struct(
+                F.col("own.analyses").alias("analyses"),
+                F.coalesce("own.is_stop", no).alias("stop"),
+                flag("ambiguous"),
+                F.coalesce("noamb", F.expr("cast(array() as array<string>)")).alias("noamb"),
+                F.coalesce(
+                    F.get("own.analyses", F.lit(0))["lemma"].startswith("Z"), no
+                ).alias("z_lemma"),
+                "unit",
+                "mark",
+                (
+                    F.coalesce("month", no)
+                    | F.coalesce("number", no)
+                    | F.coalesce(F.get("own.analyses", F.lit(0))["lemma"].startswith("Z"), no)
+                ).alias("special"),
+                *[flag(n) for n in ("prep", "art", "month", "number")],
+            ).alias("entry"),
+        )
     )
 
 
@@ -102,74 +152,103 @@ def word_lookup(dictionary: DataFrame, ambiguous: DataFrame, **bounds) -> Lookup
     return Lookup(word_table(dictionary, ambiguous), "word", F.col("entry"), **bounds)
 
 
-def token_info(tokens: Column, probe: Probe) -> Column:
-    """Per token, the flags all later rules read."""
+# Shape bits of a token as written.
+UP, WORD, CAPS, BOUND, DIGIT, MARK = (1 << k for k in range(6))
+TEXT_BOUNDS = ("#SENT#", "<blank>", "")
 
-    def known(t: Column) -> Column:
-        return let(
-            F.struct(t.alias("t"), fold_case(t).alias("lo")),
-            lambda x: F.struct(x["t"], x["lo"], probe(x["lo"]).alias("d"), x["t"].rlike(f"^{UPPER}").alias("up")),
-        )
 
-    def flags(x: Column) -> Column:
-        t, lo, d, up = x["t"], x["lo"], x["d"], x["up"]
-        no = F.lit(False)
-        measures = [m + s for m in MEASURE for s in ("", "s", ".")]
-        return F.struct(
-            t,
-            lo,
-            d["analyses"].alias("an"),
-            d["analyses"].isNotNull().alias("known"),
-            F.coalesce(d["stop"], no).alias("stop"),
-            F.coalesce(d["ambiguous"], no).alias("ambiguous"),
-            F.coalesce(F.array_contains(d["noamb"], t), no).alias("noamb"),
-            up,
-            (up & t.rlike(f"^{UPPER}{LOWER}")).alias("word"),
-            (up & t.rlike(f"^{UPPER}+$")).alias("caps"),
-            lo.isin(*PREPOSITIONS).alias("prep"),
-            lo.isin(*ARTICLES).alias("art"),
-            (t.isin(*BOUNDARY) | (t == "")).alias("bound"),
-            (t.rlike("[0-9]") | t.isin(*NUMBER_WORDS)).alias("num"),
-            lo.isin(*MONTHS).alias("month"),
-            F.when(lo.isin(*measures), "meas")
-            .when(lo.isin(*QUANTITY), "quant")
-            .when(lo.isin(*CURRENCY), "curr")
-            .when(t == "$", "$")
-            .alias("unit"),
-            punct_tag(t).alias("mark"),
-        )
+class Token:
+    """Reads one element of :func:`token_info`; every test is null past the ends."""
+
+    def __init__(self, row: Column):
+        self.row = row
+        self.t, self.lo = row["t"], row["lo"]
+        self.analyses = row["d"]["analyses"]
+        self.exists = row.isNotNull()
+
+    def _has(self, bit: int) -> Column:
+        return self.row["shape"].bitwiseAND(bit) != 0
+
+    def _flag(self, name: str) -> Column:
+        return F.coalesce(self.row["d"][name], F.lit(False))
 
-    return F.transform(F.transform(tokens, known), flags)
+    up = property(lambda self: self._has(UP))
+    word = property(lambda self: self._has(WORD))
+    caps = property(lambda self: self._has(CAPS))
+    bound = property(lambda self: self._has(BOUND))
+    number = property(
+        lambda self: self._has(DIGIT) | (self._flag("number") & (self.t == self.lo))
+    )
+    mark = property(lambda self: self.row["d"]["mark"])
+    known = property(lambda self: self.analyses.isNotNull())
+    noamb = property(
+        lambda self: F.coalesce(F.array_contains(self.row["d"]["noamb"], self.t), F.lit(False))
+    )
 
+    def __getattr__(self, name: str) -> Column:
+        if name in ("stop", "ambiguous", "prep", "art", "month", "z_lemma", "special"):
+            return self._flag(name)
+        raise AttributeError(name)
 
-def _unit(x: Column, kind: str) -> Column:
-    return x["unit"] == kind
+    def unit(self, kind: str) -> Column:
+        return self.row["d"]["unit"] == kind
 
+    def year(self) -> Column:
+        return self.t.rlike("^[0-9]{4,}$")
 
-def _year(x: Column) -> Column:
-    return x["t"].rlike("^[0-9]{4,}$")
+
+def token_info(tokens: Column, probe: Probe) -> Column:
+    """Per token: text, folded text, table entry and shape bits.
+
+    A token of plain lower-case letters, the usual case, has no shape bits, so
+    only other tokens are tested for them.
+    """
+
+    def shape(t: Column, d: Column) -> Column:
+        tests = (
+            (UP, t.rlike(f"^{UPPER}")),
+            (WORD, t.rlike(f"^{UPPER}{LOWER}")),
+            (CAPS, t.rlike(f"^{UPPER}+$")),
+            (BOUND, t.isin(*TEXT_BOUNDS)),
+            (DIGIT, t.rlike("[0-9]")),
+        )
+        bits = reduce(lambda a, b: a + b, [F.when(c, b).otherwise(0) for b, c in tests])
+        of_mark = F.when(t.isin(*BOUNDARY), MARK | BOUND).otherwise(MARK)
+        return (
+            F.when(t.rlike("^[a-z]+$"), 0).when(d["mark"].isNotNull(), of_mark).otherwise(bits)
+        )
+
+    return F.transform(
+        tokens,
+        lambda t: let(
+            F.struct(F.lower(t).alias("lo"), probe(F.lower(t)).alias("d")),
+            lambda k: F.struct(
+                t.alias("t"), k["lo"], k["d"], shape(t, k["d"]).alias("shape")
+            ),
+        ),
+    )
 
 
 def _number_span(at, z: Column, month: Column, fixed: bool) -> Column:
     """How many following tokens a number or month takes, and the tag."""
     n1, n2, n3, n4 = (at(k) for k in range(1, 5))
-    year_in = lambda x: x["t"].rlike("[0-9]{4}")
-    of, de = n1["lo"] == "of", n1["lo"] == "de"
+    year_in = lambda x: x.t.rlike("[0-9]{4}")
+    of, de = n1.lo == "of", n1.lo == "de"
     after_number = (
-        (_unit(n1, "meas"), 1, "Zu"),
-        (_unit(n1, "quant") & _unit(n2, "meas"), 2, "Zu"),
-        (_unit(n1, "curr") | _unit(n1, "$"), 1, "Zm"),
-        (_unit(n1, "quant") & (n2["lo"] == "de") & _unit(n3, "curr"), 3, "Zm"),
-        (_unit(n1, "quant") & _unit(n2, "curr"), 2, "Zm"),
-        (de & _unit(n2, "curr"), 2, "Zm"),
-        (_unit(n1, "quant"), 1, "Z"),
-        (of & n2["month"] & (n3["t"] == ",") & year_in(n4), 4, "W"),
-        (of & n2["month"] & year_in(n3), 3, "W"),
-        (n1["month"] & _year(n2), 2, "W"),
-        (of & n2["month"], 2, "W"),
-        (n1["month"], 1, "W"),
+        (n1.unit("meas"), 1, "Zu"),
+        (n1.unit("quant") & n2.unit("meas"), 2, "Zu"),
+        (n1.unit("curr") | n1.unit("$"), 1, "Zm"),
+        (n1.unit("quant") & (n2.lo == "de") & n3.unit("curr"), 3, "Zm"),
+        (n1.unit("quant") & n2.unit("curr"), 2, "Zm"),
+        (de & n2.unit("curr"), 2, "Zm"),
+        (n1.unit("quant"), 1, "Z"),
+        (of & n2.month & (n3.t == ",") & year_in(n4), 4, "W"),
+        (of & n2.month & year_in(n3), 3, "W"),
+        (n1.month & n2.year(), 2, "W"),
+        (of & n2.month, 2, "W"),
+        (n1.month, 1, "W"),
     )
-    after_month = [(of & _year(n2), 2, "W")]
+    after_month = [(of & n2.year(), 2, "W")]
     if fixed:
         after_month += [(c, n, "W") for c, n, _ in _month_first(at)]
 
@@ -187,66 +266,75 @@ def _number_span(at, z: Column, month: Column, fixed: bool) -> Column:
 def _month_first(at):
     """Month-first dates: condition, tokens taken, and the day's token."""
     n1, n2, n3, n4 = (at(k) for k in range(1, 5))
-    the = n1["lo"] == "the"
+    the = n1.lo == "the"
     return (
-        (the & n2["num"] & (n3["t"] == ",") & _year(n4), 4, n2["t"]),
-        (the & n2["num"] & _year(n3), 3, n2["t"]),
-        (n1["num"] & _year(n2), 2, n1["t"]),
+        (the & n2.number & (n3.t == ",") & n4.year(), 4, n2.t),
+        (the & n2.number & n3.year(), 3, n2.t),
+        (n1.number & n2.year(), 2, n1.t),
     )
 
 
 def _quoted_length(info: Column, i: Column) -> Column:
     """Tokens of a quoted title that starts here (2 to 6), else 0."""
-    at = lambda k: F.get(info, i + k)
-    closes = lambda k: at(k)["t"].rlike(QUOTE_CLOSE)
-    capitals = at(1)["up"]
+    at = lambda k: Token(F.get(info, i + k))
+    closes = lambda k: at(k).t.rlike(QUOTE_CLOSE)
+    capitals = at(1).up
     chain = F.when(capitals & closes(2), 2)
     for n in (3, 4, 5):
-        capitals = capitals & at(n - 1)["up"]
+        capitals = capitals & at(n - 1).up
         chain = chain.when(capitals & closes(n), n)
-    chain = chain.when(capitals & truthy(at(5)["t"]) & closes(6), 6)
-    opens = F.left(at(-1)["t"], F.lit(1)).isin(*QUOTE_OPEN)
-    return F.coalesce(F.when(at(0)["up"] & opens, chain), F.lit(0))
+    chain = chain.when(capitals & truthy(at(5).t) & closes(6), 6)
+    opens = F.left(at(-1).t, F.lit(1)).isin(*QUOTE_OPEN)
+    return F.coalesce(F.when(at(0).up & opens, chain), F.lit(0))
 
 
 def _run_length(info: Column, i: Column, base: Column) -> Column:
     """Tokens in the run of capitalised words, prepositions and articles that
     starts at ``base``; anything over the limit counts as one too many."""
-    after = F.get(info, base + 1)
+    after = Token(F.get(info, base + 1))
     has_mark = lambda x: x["t"].rlike(PUNCT)
     start = F.struct(
         F.lit(1).alias("count"),
         F.lit(True).alias("open"),
         F.exists(F.slice(info, i + 1, base - i + 1), has_mark).alias("marked"),
-        ((base == i) & F.get(info, i)["prep"]).alias("after_prep"),
+        ((base == i) & Token(F.get(info, i)).prep).alias("after_prep"),
     )
 
-    def step(acc: Column, x: Column) -> Column:
-        joins = (~x["art"] | acc["after_prep"]) & (
-            (x["word"] & ~acc["marked"]) | x["prep"] | x["art"]
-        )
+    def step(acc: Column, row: Column) -> Column:
+        x = Token(row)
+        joins = (~x.art | acc["after_prep"]) & ((x.word & ~acc["marked"]) | x.prep | x.art)
         goes_on = acc["open"] & joins
-        return F.struct(
-            (acc["count"] + F.when(goes_on, 1).otherwise(0)).alias("count"),
-            goes_on.alias("open"),
-            (acc["marked"] | has_mark(x)).alias("marked"),
-            x["prep"].alias("after_prep"),
+        return F.when(
+            goes_on,
+            F.struct(
+                (acc["count"] + 1).alias("count"),
+                goes_on.alias("open"),
+                (acc["marked"] | has_mark(row)).alias("marked"),
+                x.prep.alias("after_prep"),
+            ),
+        ).otherwise(
+            F.struct(
+                acc["count"].alias("count"),
+                F.lit(False).alias("open"),
+                acc["marked"].alias("marked"),
+                acc["after_prep"].alias("after_prep"),
+            )
         )
 
     walk = F.aggregate(F.slice(info, base + 2, MAX_NAME), start, step, lambda a: a["count"])
-    return F.when(after["word"] | after["prep"] | after["art"], walk).otherwise(1)
+    return F.when(after.word | after.prep | after.art, walk).otherwise(1)
 
 
 def _joined(info: Column, start: Column, length: Column) -> Column:
     return F.array_join(F.transform(F.slice(info, start + 1, length), lambda x: x["t"]), "_")
 
 
-def _name(info: Column, x: Column, i: Column, quoted: Column, runs: Column) -> Column:
+def _name(info: Column, row: Column, i: Column, quoted: Column, runs: Column) -> Column:
     """Struct ``(end, text)`` after the quoted-title and name-run merges."""
     base = i + F.greatest(quoted - 1, F.lit(0))
     alone = F.struct(
         base.cast("int").alias("end"),
-        F.when(quoted > 0, _joined(info, i, quoted)).otherwise(x["t"]).alias("text"),
+        F.when(quoted > 0, _joined(info, i, quoted)).otherwise(row["t"]).alias("text"),
     )
 
     def merged(count: Column) -> Column:
@@ -272,66 +360,68 @@ def _one(lemma: Column, tag: Column) -> Column:
     return F.array(F.struct(lemma.alias("lemma"), tag.alias("tag")))
 
 
-def _outcome(info: Column, x: Column, i: Column, fixed: bool) -> Column:
-    """What position ``i`` yields if the pass reaches it."""
-    before, after = F.get(info, i - 1), F.get(info, i + 1)
-    follows = before.isNotNull()
-    pair = x["caps"] & x["known"]
+def _outcome(info: Column, row: Column, i: Column, fixed: bool) -> Column:
+    """What position ``i`` yields if the pass reaches it.
+
+    ``entry`` is the token or merged span; ``claim`` says how far it reaches
+    and is null for a word that stands alone.
+    """
+    x = Token(row)
+    before, after = Token(F.get(info, i - 1)), Token(F.get(info, i + 1))
+    pair = x.caps & x.known
     caps_run = pair & (
-        (after["caps"] & after["known"])
-        | (before["caps"] & before["known"] & after["t"].isin(*CAPS_END))
+        (after.caps & after.known) | (before.caps & before.known & after.t.isin(*CAPS_END))
     )
     caps_run = F.coalesce(caps_run, F.lit(False))
-    free_capital = x["up"] & ~x["stop"]
-    at_start = F.coalesce(before["bound"], F.lit(False))
+    free_capital = x.up & ~x.stop
+    at_start = F.coalesce(before.bound, F.lit(False))
     first_tag = (
-        F.when(caps_run, "UNK")
-        .when(x["up"] & x["noamb"], "NNP")
-        .when(free_capital & follows & ~at_start & (before["t"] != "..."), "NNP")
-        .when(
-            ((free_capital & at_start) | (i == 0)) & (~x["known"] | x["ambiguous"]), "NNP"
-        )
+        F.when(x.t == "I", "UNK")
+        .when(caps_run, "UNK")
+        .when(x.up & x.noamb, "NNP")
+        .when(free_capital & before.exists & ~at_start & (before.t != "..."), "NNP")
+        .when(((free_capital & at_start) | (i == 0)) & (~x.known | x.ambiguous), "NNP")
         .otherwise("")
     )
-    first_tag = F.when(x["t"] == "I", "UNK").otherwise(first_tag)
-    known_start = at_start & x["word"] & x["known"] & ~x["ambiguous"]
-    runs = x["word"] & ~known_start
+    runs = x.word & ~(at_start & x.known & ~x.ambiguous)
 
     def finish(p: Column) -> Column:
         end, text = p["name"]["end"], p["name"]["text"]
         merged = end > i
-        at = lambda k: F.get(info, end + k)
+        at = lambda k: Token(F.get(info, end + k))
         tag = (
             F.when(text.rlike("\\S_\\S"), "NNP").when(p["tag"] == "", "UNK").otherwise(p["tag"])
         )
-        listed = (tag == "UNK") & ~merged & x["known"]
-        num = F.when(merged, text.rlike("[0-9]")).otherwise(x["num"])
-        z = num | (listed & F.get(x["an"], F.lit(0))["lemma"].startswith("Z"))
-        month = x["month"] & ~merged
+        listed = (tag == "UNK") & ~merged & x.known
+        number = F.when(merged, text.rlike("[0-9]")).otherwise(x.number)
+        z = number | (listed & x.z_lemma)
+        month = x.month & ~merged
         plain = (
-            F.when(~merged & x["mark"].isNotNull(), _one(text, x["mark"]))
-            .when(num, _one(text, F.lit("Z")))
-            .when(listed, x["an"])
-            .otherwise(_one(fold_case(text), tag))
+            F.when(~merged & x.mark.isNotNull(), _one(text, x.mark))
+            .when(number, _one(text, F.lit("Z")))
+            .when(listed, x.analyses)
+            .otherwise(_one(F.lower(text), tag))
         )
 
         def spanned(span: Column) -> Column:
             long = F.concat(text, F.lit("_"), _joined(info, end + 1, span["len"]))
             taken = span["len"] > 0
+            late = F.lit(None).cast(_LATE) if fixed else _late_date(at, text, month)
             return F.struct(
-                i.alias("start"),
-                end.alias("name_end"),
-                (end + span["len"]).alias("end"),
                 F.struct(
                     F.when(taken, long).otherwise(text).alias("token"),
                     F.when(taken, _one(F.lower(long), span["tag"])).otherwise(plain).alias("analyses"),
                 ).alias("entry"),
-                z.alias("number"),
-                text.alias("text"),
-                (_sticky(info, at, text, month) if not fixed else F.lit(None).cast(_STICKY)).alias("late"),
+                F.struct(
+                    i.alias("start"),
+                    end.alias("name_end"),
+                    (end + span["len"]).alias("end"),
+                    z.alias("number"),
+                    text.alias("text"),
+                    late.alias("late"),
+                ).alias("claim"),
             )
 
-        # Only a number or a month can take more tokens.
         return let(_number_span(at, z, month, fixed), spanned)
 
     quoted = F.when(caps_run, 0).otherwise(_quoted_length(info, i))
@@ -339,59 +429,58 @@ def _outcome(info: Column, x: Column, i: Column, fixed: bool) -> Column:
         quoted,
         lambda q: F.struct(
             F.when(q > 0, "").otherwise(first_tag).alias("tag"),
-            _name(info, x, i, q, runs).alias("name"),
+            _name(info, row, i, q, runs).alias("name"),
         ),
     )
-    plain_word = ~x["up"] & ~x["num"] & ~x["month"] & (i > 0)
-    quick = F.struct(
-        i.alias("start"),
-        i.alias("name_end"),
-        i.alias("end"),
+    alone = F.struct(
         F.struct(
-            x["t"].alias("token"),
-            F.when(x["mark"].isNotNull(), _one(x["t"], x["mark"]))
-            .when(x["t"].rlike("\\S_\\S"), _one(x["lo"], F.lit("NNP")))
-            .when(x["known"], x["an"])
-            .otherwise(_one(x["lo"], F.lit("UNK")))
+            x.t.alias("token"),
+            F.when(row["shape"] == 0, F.coalesce(x.analyses, _one(x.lo, F.lit("UNK"))))
+            .when(x.mark.isNotNull(), _one(x.t, x.mark))
+            .when(x.t.rlike("\\S_\\S"), _one(x.lo, F.lit("NNP")))
+            .otherwise(F.coalesce(x.analyses, _one(x.lo, F.lit("UNK"))))
             .alias("analyses"),
         ).alias("entry"),
-        F.lit(False).alias("number"),
-        x["t"].alias("text"),
-        F.lit(None).cast(_STICKY).alias("late"),
+        F.lit(None).cast(_CLAIM).alias("claim"),
     )
-    lemma_z = F.coalesce(F.get(x["an"], F.lit(0))["lemma"].startswith("Z"), F.lit(False))
-    return F.when(plain_word & ~lemma_z, quick).otherwise(let(named, finish))
+    lone_word = (row["shape"].bitwiseAND(UP | DIGIT) == 0) & (i > 0) & ~x.special
+    return F.when(lone_word, alone).otherwise(let(named, finish))
 
 
-_STICKY = f"struct<day:string,end:int,entry:struct<token:string,analyses:{ANALYSES}>>"
+_ENTRY = f"struct<token:string,analyses:{ANALYSES}>"
+_LATE = f"struct<day:string,reach:int,entry:{_ENTRY}>"
+_CLAIM = f"struct<start:int,name_end:int,end:int,number:boolean,text:string,late:{_LATE}>"
 
 
-def _sticky(info: Column, at, text: Column, month: Column) -> Column:
+def _late_date(at, text: Column, month: Column) -> Column:
     """A month-first date that stands only if its day was already part of an
     earlier number in the same post."""
 
-    def found(end_offset: int, day: Column) -> Column:
-        whole = F.concat(text, F.lit("_"), F.array_join(F.array(*[at(k)["t"] for k in range(1, end_offset + 1)]), "_"))
+    def found(reach: int, day: Column) -> Column:
+        parts = [text] + [at(k).t for k in range(1, reach + 1)]
+        whole = F.concat_ws("_", *parts)
         return F.struct(
             day.alias("day"),
-            F.lit(end_offset).alias("end"),
+            F.lit(reach).alias("reach"),
             F.struct(
                 whole.alias("token"), _one(F.lower(whole), F.lit("W")).alias("analyses")
             ).alias("entry"),
         )
 
-    chain = reduce(lambda c, r: c.when(r[0], found(r[1], r[2])), _month_first(at), F)
-    return F.when(month, chain)
+    return F.when(month, reduce(lambda c, r: c.when(r[0], found(r[1], r[2])), _month_first(at), F))
 
 
-_CHOSEN = f"struct<lead:int,start:int,entry:struct<token:string,analyses:{ANALYSES}>>"
+_CHOSEN = f"struct<lead:int,start:int,entry:{_ENTRY}>"
 
 
 def _choose(outcomes: Column) -> Column:
     """Walk the claims left to right and keep those that start on free ground."""
-    claims = F.filter(
-        outcomes, lambda o: (o["end"] > o["start"]) | o["number"] | o["late"].isNotNull()
-    )
+
+    def matters(o: Column) -> Column:
+        c = o["claim"]
+        return (c["end"] > c["start"]) | c["number"] | c["late"].isNotNull()
+
+    claims = F.filter(outcomes, lambda o: o["claim"].isNotNull() & matters(o))
     start = F.struct(
         F.lit(0).alias("free"),
         F.lit(-1).alias("name_end"),
@@ -400,26 +489,27 @@ def _choose(outcomes: Column) -> Column:
     )
 
     def step(acc: Column, o: Column) -> Column:
-        late = F.coalesce(F.array_contains(acc["days"], o["late"]["day"]), F.lit(False))
-        end = F.when(late, o["start"] + o["late"]["end"]).otherwise(o["end"])
-        grown = o["number"] & (o["end"] > o["name_end"])
-        days = F.array_remove(acc["days"], o["text"])
+        c = o["claim"]
+        late = F.coalesce(F.array_contains(acc["days"], c["late"]["day"]), F.lit(False))
+        end = F.when(late, c["start"] + c["late"]["reach"]).otherwise(c["end"])
+        grown = c["number"] & (c["end"] > c["name_end"])
+        days = F.array_remove(acc["days"], c["text"])
         taken = F.struct(
             (end + 1).cast("int").alias("free"),
-            o["name_end"].alias("name_end"),
-            F.when(grown, F.concat(days, F.array(o["text"]))).otherwise(days).alias("days"),
+            c["name_end"].alias("name_end"),
+            F.when(grown, F.concat(days, F.array(c["text"]))).otherwise(days).alias("days"),
             F.concat(
                 acc["kept"],
                 F.array(
                     F.struct(
                         acc["free"].alias("lead"),
-                        o["start"].alias("start"),
-                        F.when(late, o["late"]["entry"]).otherwise(o["entry"]).alias("entry"),
+                        c["start"].alias("start"),
+                        F.when(late, c["late"]["entry"]).otherwise(o["entry"]).alias("entry"),
                     )
                 ),
             ).alias("kept"),
         )
-        return F.when(o["start"] >= acc["free"], taken).otherwise(acc)
+        return F.when(c["start"] >= acc["free"], taken).otherwise(acc)
 
     return F.aggregate(claims, start, step)
 
@@ -465,7 +555,7 @@ def recognise(df: DataFrame, words: Lookup, fixed: bool = False) -> DataFrame:
     ``words`` comes from :func:`word_lookup`. With ``fixed`` each sentence is
     read on its own (from ``sentence_tokens``) and always closes.
     """
-    df, probe = words.bind(df, F.transform("tokens", fold_case))
+    df, probe = words.bind(df, F.transform("tokens", F.lower))
     if fixed:
         found = F.flatten(
             F.transform("sentence_tokens", lambda s: recognise_tokens(s, probe, True))
