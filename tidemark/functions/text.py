@@ -70,13 +70,13 @@ def float32(value: Column) -> Column:
 def scan(
     items: Column,
     state: Column,
-    step: Callable[[Column, Column], tuple[Column, Column]],
+    step: Callable[[Column, Column], Column],
     out_type: str,
     block: int = 64,
 ) -> Column:
     """Left-to-right pass emitting one value per item.
 
-    ``step(state, item)`` gives ``(next_state, emitted)``. Appending to one long
+    ``step(state, item)`` gives a struct ``(state, out)``. Appending to one long
     array would copy it at each step, so the items are cut into blocks and only
     the blocks' outputs are appended to the outer list.
     """
@@ -85,7 +85,7 @@ def scan(
 
     def one(acc: Column, item: Column) -> Column:
         return let(
-            F.struct(*[c.alias(n) for c, n in zip(step(acc["state"], item), ("state", "out"))]),
+            step(acc["state"], item),
             lambda r: F.struct(
                 r["state"].alias("state"),
                 F.concat(acc["out"], F.array(r["out"])).alias("out"),

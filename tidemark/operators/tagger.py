@@ -60,6 +60,8 @@ class PosTables:
             by_feat, "feat", F.struct(F.col("lp"), veto.alias("veto")), **bounds
         )
         self.prior = Lookup(model.prior, "cat", F.col("p"), **bounds)
+        known = model.prior.filter(F.col("cat").isin(*OPEN_CLASSES)).collect()
+        self.open_prior = {c: 0.0 for c in OPEN_CLASSES} | {r["cat"]: r["p"] for r in known}
 
 
 def line_info(analyses: Column, fixed: bool = False) -> Column:
@@ -174,84 +176,96 @@ def _known(cond: Probe, names: Column) -> Column:
     return F.filter(F.transform(names, cond), lambda v: v.isNotNull())
 
 
-def candidate_scores(
-    cands: Column, evidence: Column, tables: PosTables, prior: Probe, fixed: bool
-) -> Column:
-    """Candidates with their log score, ordered so that the least one wins.
+def _best(cands: Column, evidence: Column, tables: PosTables, fixed: bool) -> Column:
+    """The candidate (``c``, prior ``p``, ...) that explains the evidence best.
 
     Equal scores go to the higher prior, then to the tag that sorts first.
     """
     weight = 1 if fixed else 2  # the class prior counts twice in compat
 
-    def score(c: Column) -> Column:
-        def total(p: Column) -> Column:
-            given = lambda v: F.when(
-                v["veto"].isNotNull() & c["c"].startswith(v["veto"]), F.lit(ZERO)
-            ).otherwise(F.coalesce(F.element_at(v["lp"], c["c"]), tables.smooth))
-            first = F.when(p > 0, F.ln(p) * weight).otherwise(F.lit(ZERO))
-            summed = F.aggregate(evidence, first, lambda a, v: a + given(v))
-            real = (F.size(evidence) > 0) & (summed > ZERO / 10)
-            return F.struct(
-                F.when(real, -F.round(summed, 9)).otherwise(F.lit(-ZERO)).alias("cost"),
-                (-p).alias("rarity"),
-                c["c"].alias("c"),
-                c["fine"].alias("fine"),
-                c["lemma"].alias("lemma"),
-            )
-
-        return let(F.coalesce(prior(c["c"]), F.lit(0.0)), total)
-
-    return F.transform(cands, score)
-
+    def ranked(c: Column) -> Column:
+        given = lambda v: F.when(
+            v["veto"].isNotNull() & c["c"].startswith(v["veto"]), F.lit(ZERO)
+        ).otherwise(F.coalesce(F.element_at(v["lp"], c["c"]), tables.smooth))
+        first = F.when(c["p"] > 0, F.ln(c["p"]) * weight).otherwise(F.lit(ZERO))
+        total = F.aggregate(evidence, first, lambda a, v: a + given(v))
+        cost = let(
+            total, lambda t: F.when(t > ZERO / 10, -F.round(t, 9)).otherwise(F.lit(-ZERO))
+        )
+        return F.struct(
+            F.when(F.size(evidence) > 0, cost).otherwise(F.lit(-ZERO)).alias("cost"),
+            (-c["p"]).alias("rarity"),
+            c["c"].alias("name"),
+            c.alias("cand"),
+        )
 
-def _open_candidates(token: Column) -> Column:
-    return F.array(
-        *[
-            F.struct(F.lit(c).alias("c"), F.lit(c).alias("fine"), token.alias("lemma"))
-            for c in OPEN_CLASSES
-        ]
-    )
+    return F.array_min(F.transform(cands, ranked))["cand"]
 
 
 def tag_lines(
     lines: Column, tables: PosTables, cond: Probe, prior: Probe, fixed: bool = False
 ) -> Column:
+    no_evidence = F.filter(
+        F.transform(F.expr("cast(array() as array<string>)"), cond), lambda v: v.isNotNull()
+    )
+
     def prepare(xs: Column) -> Column:
         def one(x: Column, i: Column) -> Column:
+            choice = x["kind"].isin(1, 2)
             starts = _starts_sentence(xs, i)
             word = _word(x, starts)
-            empty = F.filter(F.transform(F.expr("cast(array() as array<string>)"), cond), lambda v: v.isNotNull())
-            right = F.when(
-                x["kind"].isin(1, 2), _known(cond, _right_features(xs, x, i, word, fixed))
-            ).otherwise(empty)
-            return F.struct(x.alias("x"), starts.alias("starts"), word.alias("word"), right.alias("right"))
+            right = F.when(choice, _known(cond, _right_features(xs, x, i, word, fixed)))
+            return F.struct(
+                x.alias("x"),
+                starts.alias("starts"),
+                F.coalesce(right, no_evidence).alias("right"),
+            )
 
         return F.transform(xs, one)
 
-    def result(token: Column, lemma: Column, tag: Column) -> Column:
-        return F.struct(token.alias("token"), lemma.alias("lemma"), tag.alias("tag"))
+    def emit(left: Column, token: Column, lemma: Column, tag: Column) -> Column:
+        return F.struct(
+            left.alias("state"),
+            F.struct(token.alias("token"), lemma.alias("lemma"), tag.alias("tag")).alias("out"),
+        )
+
+    # Without evidence every class scores nothing and the prior decides.
+    likeliest = min(OPEN_CLASSES, key=lambda c: (-tables.open_prior[c], c))
+
+    def unknown(x: Column, evidence: Column) -> Column:
+        cands = F.array(
+            *[
+                F.struct(F.lit(c).alias("c"), F.lit(tables.open_prior[c]).alias("p"))
+                for c in OPEN_CLASSES
+            ]
+        )
+        best = _best(cands, evidence, tables, fixed)
+        chosen = F.when(F.size(evidence) > 0, best["c"]).otherwise(F.lit(likeliest))
+        return emit(F.lit(""), x["token"], x["token"], chosen)
+
+    def several(x: Column, evidence: Column) -> Column:
+        cands = F.transform(
+            x["cands"],
+            lambda c: F.struct(c["c"], F.coalesce(prior(c["c"]), F.lit(0.0)).alias("p"), c["fine"], c["lemma"]),
+        )
+        return let(
+            _best(cands, evidence, tables, fixed),
+            lambda b: emit(b["c"], x["token"], b["lemma"], b["fine"]),
+        )
 
-    def step(left: Column, item: Column) -> tuple[Column, Column]:
+    def step(left: Column, item: Column) -> Column:
         x = item["x"]
-        unknown = x["kind"] == 2
         before = F.when(item["starts"], F.lit(BEGIN)).otherwise(left)
-        from_left = _known(cond, _left_features(before, item["word"]))
+        from_left = _known(cond, _left_features(before, _word(x, item["starts"])))
         evidence = F.when(before != "", F.concat(item["right"], from_left)).otherwise(item["right"])
-        cands = F.when(unknown, _open_candidates(x["token"])).otherwise(x["cands"])
-        best = let(evidence, lambda e: F.array_min(candidate_scores(cands, e, tables, prior, fixed)))
-        settled = F.struct(
-            F.coalesce(F.get(x["cands"], F.lit(0))["c"], F.lit("")).alias("left"),
-            result(x["token"], x["lemma"], x["tag"]).alias("out"),
+        settled = emit(
+            F.coalesce(F.get(x["cands"], F.lit(0))["c"], F.lit("")), x["token"], x["lemma"], x["tag"]
         )
-        chosen = let(
-            best,
-            lambda b: F.struct(
-                F.when(unknown, F.lit("")).otherwise(b["c"]).alias("left"),
-                result(x["token"], b["lemma"], b["fine"]).alias("out"),
-            ),
+        return (
+            F.when(x["kind"] == 2, let(evidence, lambda e: unknown(x, e)))
+            .when(x["kind"] == 1, let(evidence, lambda e: several(x, e)))
+            .otherwise(settled)
         )
-        both = F.when(x["kind"].isin(0, 3), settled).otherwise(chosen)
-        return both["left"], both["out"]
 
     return scan(prepare(lines), F.lit(""), step, TAGGED[len("array<") : -1])
 
