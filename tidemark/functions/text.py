@@ -20,9 +20,11 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
     A plain Column reused n times is evaluated n times inside a lambda, and the
     optimizer may inline a projected column back into one. A lambda variable is
-    never inlined, so this is the one safe way to share a value in a row.
+    never inlined, so this is the one safe way to share a value in a row. A fold
+    over nothing is used because, unlike ``transform``, it copies no result.
     """
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+    nothing = F.expr("cast(array() as array<int>)")
+    return F.aggregate(nothing, value, lambda bound, _: bound, body)
 
 
 def split_all(value: Column, regex: str) -> Column:
@@ -72,7 +74,7 @@ def scan(
     state: Column,
     step: Callable[[Column, Column], Column],
     out_type: str,
-    block: int = 64,
+    block: int = 16,
 ) -> Column:
     """Left-to-right pass emitting one value per item.
 
@@ -80,27 +82,28 @@ def scan(
     array would copy it at each step, so the items are cut into blocks and only
     the blocks' outputs are appended to the outer list.
     """
+    none = F.expr(f"cast(null as {out_type})")
     empty = F.expr(f"cast(array() as array<{out_type}>)")
     empty_blocks = F.expr(f"cast(array() as array<array<{out_type}>>)")
 
-    def one(acc: Column, item: Column) -> Column:
-        return let(
-            step(acc["state"], item),
-            lambda r: F.struct(
-                r["state"].alias("state"),
-                F.concat(acc["out"], F.array(r["out"])).alias("out"),
-            ),
-        )
+    def pair(last: Column, outs: Column) -> Column:
+        return F.struct(last.alias("last"), outs.alias("outs"))
 
-    def run_block(acc: Column, items_in_block: Column) -> Column:
-        inner = F.aggregate(
-            items_in_block, F.struct(acc["state"].alias("state"), empty.alias("out")), one
-        )
-        return let(
-            inner,
-            lambda r: F.struct(
-                r["state"].alias("state"),
-                F.concat(acc["out"], F.array(r["out"])).alias("out"),
+    def appended(acc: Column) -> Column:
+        return F.concat(acc["outs"], F.array(acc["last"]["out"]))
+
+    def start(state: Column, out: Column, outs: Column) -> Column:
+        return pair(F.struct(state.alias("state"), out.alias("out")), outs)
+
+    # Each step appends what the step before it emitted, so nothing is bound twice.
+    def run_block(state: Column, items_in_block: Column) -> Column:
+        return F.aggregate(
+            items_in_block,
+            start(state, none, empty),
+            lambda acc, item: pair(step(acc["last"]["state"], item), appended(acc)),
+            lambda acc: F.struct(
+                acc["last"]["state"].alias("state"),
+                F.slice(appended(acc), 2, block).alias("out"),
             ),
         )
 
@@ -109,9 +112,12 @@ def scan(
         cut = F.transform(
             F.sequence(F.lit(0), last), lambda b: F.slice(xs, b * block + 1, F.lit(block))
         )
-        start = F.struct(state.alias("state"), empty_blocks.alias("out"))
-        return F.when(
-            F.size(xs) > 0, F.flatten(F.aggregate(cut, start, run_block, lambda a: a["out"]))
-        ).otherwise(empty)
+        every = F.aggregate(
+            cut,
+            start(state, empty, empty_blocks),
+            lambda acc, part: pair(run_block(acc["last"]["state"], part), appended(acc)),
+            lambda acc: F.flatten(appended(acc)),
+        )
+        return F.when(F.size(xs) > 0, every).otherwise(empty)
 
     return let(items, blocks)
