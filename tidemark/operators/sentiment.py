@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.lookup import Lookup, Probe, drop_bound
-from tidemark.functions.text import float32
+from tidemark.functions.text import float32, scan
 from tidemark.operators.normalize import NEGATIVE as NEGATIVE_MARK
 from tidemark.operators.normalize import POSITIVE as POSITIVE_MARK
 from tidemark.sources.resources import Model
@@ -131,6 +131,21 @@ def compound_kind(lemma_score: Column, tag: Column, previous: Column, tables: Po
     )
 
 
+def compound_names(words: Column, tables: PolarityTables) -> Column:
+    """The compounds of a post, in order."""
+
+    def step(previous: Column, w: Column) -> Column:
+        kind = compound_kind(w["s"], w["tag"], previous, tables)
+        joined = kind.isNotNull() & (w["lemma"] != "")
+        name = F.concat(previous, F.lit("_"), w["lemma"])
+        return F.struct(
+            F.when(joined, name).otherwise(w["lemma"]).alias("state"),
+            F.when(joined, name).alias("out"),
+        )
+
+    return F.filter(scan(words, F.lit(""), step, "string"), lambda n: n.isNotNull())
+
+
 def score_content(words: Column, tables: PolarityTables, probe: Probe, fixed: bool = False) -> Column:
     """Fold the content words into ``(hits, pos, neg)`` log sums."""
     weight = 1 if fixed else 2  # the class prior counts twice in compat

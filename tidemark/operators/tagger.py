@@ -159,8 +159,13 @@ def context_features(lines: Column, fixed: bool = False) -> Column:
     def of(x: Column, i: Column) -> Column:
         def named(s: Column) -> Column:
             word = s["word"]
-            before = F.transform(F.get(lines, i - 1)["cands"], lambda c: c["c"])
-            tags = F.when(s["starts"], F.array(F.lit(BEGIN))).otherwise(before)
+            before = F.get(lines, i - 1)
+            none = F.expr("cast(array() as array<string>)")
+            tags = (
+                F.when(s["starts"], F.array(F.lit(BEGIN)))
+                .when(before["kind"] == 2, none)  # an unknown word passes no tag on
+                .otherwise(F.transform(before["cands"], lambda c: c["c"]))
+            )
             left = F.flatten(F.transform(tags, lambda t: _left_features(t, word)))
             return F.concat(_right_features(lines, x, i, word, fixed), left)
 
@@ -176,10 +181,11 @@ def _known(cond: Probe, names: Column) -> Column:
     return F.filter(F.transform(names, cond), lambda v: v.isNotNull())
 
 
-def _best(cands: Column, evidence: Column, tables: PosTables, fixed: bool) -> Column:
-    """The candidate (``c``, prior ``p``, ...) that explains the evidence best.
+def rank_candidates(cands: Column, evidence: Column, tables: PosTables, fixed: bool = False) -> Column:
+    """Candidates (``c``, prior ``p``, ...) with the cost of the evidence.
 
-    Equal scores go to the higher prior, then to the tag that sorts first.
+    The least one wins: equal costs go to the higher prior, then to the tag
+    that sorts first. ``cost`` is a negated log score, or ``-ZERO`` for none.
     """
     weight = 1 if fixed else 2  # the class prior counts twice in compat
 
@@ -199,7 +205,44 @@ def _best(cands: Column, evidence: Column, tables: PosTables, fixed: bool) -> Co
             c.alias("cand"),
         )
 
-    return F.array_min(F.transform(cands, ranked))["cand"]
+    return F.transform(cands, ranked)
+
+
+def _best(cands: Column, evidence: Column, tables: PosTables, fixed: bool) -> Column:
+    return F.array_min(rank_candidates(cands, evidence, tables, fixed))["cand"]
+
+
+def with_priors(cands: Column, prior: Probe) -> Column:
+    return F.transform(
+        cands,
+        lambda c: F.struct(
+            c["c"], F.coalesce(prior(c["c"]), F.lit(0.0)).alias("p"), c["fine"], c["lemma"]
+        ),
+    )
+
+
+def start_scores(lines: Column, tables: PosTables, cond: Probe, prior: Probe) -> Column:
+    """Ranked candidates of each ambiguous word that opens a sentence.
+
+    Elsewhere a score depends on the tag chosen before it; here it does not.
+    """
+
+    def of(xs: Column) -> Column:
+        def one(x: Column, i: Column) -> Column:
+            word = _word(x, F.lit(True))
+            names = F.concat(
+                _right_features(xs, x, i, word, False), _left_features(F.lit(BEGIN), word)
+            )
+            opens = (x["kind"] == 1) & _starts_sentence(xs, i)
+            ranks = let(
+                _known(cond, names),
+                lambda e: rank_candidates(with_priors(x["cands"], prior), e, tables),
+            )
+            return F.struct(i.alias("i"), F.when(opens, ranks).alias("ranks"))
+
+        return F.filter(F.transform(xs, one), lambda r: r["ranks"].isNotNull())
+
+    return let(lines, of)
 
 
 def tag_lines(
@@ -244,12 +287,8 @@ def tag_lines(
         return emit(F.lit(""), x["token"], x["token"], chosen)
 
     def several(x: Column, evidence: Column) -> Column:
-        cands = F.transform(
-            x["cands"],
-            lambda c: F.struct(c["c"], F.coalesce(prior(c["c"]), F.lit(0.0)).alias("p"), c["fine"], c["lemma"]),
-        )
         return let(
-            _best(cands, evidence, tables, fixed),
+            _best(with_priors(x["cands"], prior), evidence, tables, fixed),
             lambda b: emit(b["c"], x["token"], b["lemma"], b["fine"]),
         )
 
