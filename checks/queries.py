@@ -347,8 +347,7 @@ def pos_scores(spark, sf_dir):
     df = recognised(spark, sf_dir)
     tables = resources(spark).pos
     lines = tagger.line_info(F.col("analyses"))
-    df, cond = tables.cond.bind(df, text.let(lines, lambda xs: tagger.context_features(xs)))
-    df, prior = tables.prior.bind(df, F.flatten(F.transform(lines, lambda x: F.transform(x["cands"], lambda c: c["c"]))))
+    df, cond, prior = tagger.bind_tables(df, tables)
     return (
         df.select("rowkey", F.inline(tagger.start_scores(lines, tables, cond, prior)))
         .select("rowkey", "i", F.inline("ranks"))

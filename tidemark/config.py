@@ -47,6 +47,8 @@ def session(app: str = "tidemark", **conf: str) -> SparkSession:
     """A session with the settings the pipeline relies on; ``conf`` overrides."""
     defaults = {
         "spark.sql.adaptive.enabled": "true",
+        # The stage expressions are large; tracing each Python call site doubles their cost.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
     }

@@ -15,12 +15,22 @@ Both ways give the stage the same ``probe``.
 from __future__ import annotations
 
 import itertools
-from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-Probe = Callable[[Column], Column]
+
+@dataclass(frozen=True)
+class Probe:
+    """Looks a key up in the bucketed table that column ``name`` holds."""
+
+    name: str
+    buckets: int
+
+    def __call__(self, key: Column) -> Column:
+        return F.element_at(F.get(F.col(self.name), _bucket(key, self.buckets)), key)
+
 
 MAX_ROWS = 1_000_000
 MAX_BYTES = 64 << 20
@@ -30,13 +40,8 @@ JOIN_BUCKETS = 64
 _names = itertools.count()
 
 
-def _bucket(key: Column, buckets: Column | int) -> Column:
-    n = F.lit(buckets) if isinstance(buckets, int) else buckets
-    return F.pmod(F.xxhash64(key), n).cast("int")
-
-
-def _probe(table: Column, buckets: Column | int) -> Probe:
-    return lambda key: F.element_at(F.get(table, _bucket(key, buckets)), key)
+def _bucket(key: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
 
 class Lookup:
@@ -53,7 +58,8 @@ class Lookup:
         self.table = table.select(F.col(key).alias("key"), value.alias("value"))
         self.max_rows = max_rows
         self.max_bytes = max_bytes
-        self._variable: tuple[str, int] | None = None
+        self._variable: Probe | None = None
+        self._hits = f"_hits_{next(_names)}"
         self._small: bool | None = None
         self._rows = 0
 
@@ -66,7 +72,7 @@ class Lookup:
             self._small = rows <= self.max_rows and (total or 0) <= self.max_bytes
         return self._small
 
-    def _publish(self) -> tuple[str, int]:
+    def _publish(self) -> Probe:
         if self._variable is None:
             spark = self.table.sparkSession
             buckets = 1
@@ -91,7 +97,7 @@ class Lookup:
             spark.sql(f"DECLARE OR REPLACE VARIABLE {name} ARRAY<MAP<STRING, {kind}>>")
             spark.sql(f"SET VAR {name} = (SELECT slots FROM {view})")
             spark.catalog.dropTempView(view)
-            self._variable = (name, buckets)
+            self._variable = Probe(name, buckets)
         return self._variable
 
     def bind(self, df: DataFrame, keys: Column) -> tuple[DataFrame, Probe]:
@@ -100,14 +106,12 @@ class Lookup:
         ``keys`` lists every key a row may probe; only the join path reads it.
         """
         if self.fits():
-            name, buckets = self._publish()
-            return df, _probe(F.col(name), buckets)
+            return df, self._publish()
         return self._bind_by_join(df, keys)
 
     def _bind_by_join(self, df: DataFrame, keys: Column) -> tuple[DataFrame, Probe]:
         # Posts with the same key set share one 128-bit name, so copies are
         # looked up once and the names survive a recomputed task.
-        hits_name = f"_hits_{next(_names)}"
         named = (
             df.withColumn("_keys", F.array_sort(F.array_distinct(keys)))
             .withColumn("_k1", F.xxhash64("_keys"))
@@ -133,9 +137,9 @@ class Lookup:
             F.sequence(F.lit(0), F.lit(JOIN_BUCKETS - 1)),
             lambda s: F.element_at(F.col("_found"), s),
         )
-        found = found.select("_k1", "_k2", slots.alias(hits_name))
+        found = found.select("_k1", "_k2", slots.alias(self._hits))
         bound = named.join(found, ["_k1", "_k2"], "left").drop("_k1", "_k2", "_keys")
-        return bound, _probe(F.col(hits_name), JOIN_BUCKETS)
+        return bound, Probe(self._hits, JOIN_BUCKETS)
 
 
 def drop_bound(df: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import SparkContext
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,6 +16,23 @@ UPPER = "[A-ZÁÉÍÓÚÀÈÌÒÙÂÊÎÔÛÑÇÜ]"
 LOWER = "[a-záéíóúàèìòùâêîôûñçü]"
 
 
+_built: dict = {}
+
+
+def build_once(build: Callable[..., Column], *args) -> Column:
+    """``build(*args)``, kept for the life of the Spark application.
+
+    An expression names columns, not frames, so one serves every frame. The
+    stage expressions hold thousands of nodes, each a call into the JVM, and
+    are worth keeping; arguments are compared by identity where they must be.
+    """
+    context = SparkContext._active_spark_context
+    key = (context and context.applicationId, build, args)
+    if key not in _built:
+        _built[key] = build(*args)
+    return _built[key]
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Bind ``value`` once and use it many times inside ``body``.
 

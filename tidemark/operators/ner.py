@@ -8,13 +8,14 @@ over the claims alone, which are few.
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.lookup import Lookup, Probe, drop_bound
-from tidemark.functions.text import LOWER, UPPER, fold_case, let, truthy
+from tidemark.functions.text import LOWER, UPPER, build_once, fold_case, let, truthy
 from tidemark.operators.tokens import PUNCT, PUNCT_URL
 from tidemark.schema import ANALYSES, RECOGNISED
 
@@ -94,6 +95,12 @@ def _closed_classes() -> dict[str, dict[str, object]]:
     return classes
 
 
+_CLOSED = (
+    "array<struct<word:string,unit:string,mark:string,prep:boolean,art:boolean,"
+    "month:boolean,number:boolean>>"
+)
+
+
 def word_table(dictionary: DataFrame, ambiguous: DataFrame) -> DataFrame:
     """One row per folded word: all the recogniser needs to know of it.
 
@@ -111,15 +118,8 @@ def word_table(dictionary: DataFrame, ambiguous: DataFrame) -> DataFrame:
         )
     )
     names = ambiguous.select("word").distinct().withColumn("ambiguous", F.lit(True))
-    rows = [
-        F.struct(
-            F.lit(w).alias("word"),
-            *[F.lit(c.get(k)).cast("string").alias(k) for k in ("unit", "mark")],
-            *[F.lit(bool(c.get(k))).alias(k) for k in ("prep", "art", "month", "number")],
-        )
-        for w, c in _closed_classes().items()
-    ]
-    closed = dictionary.sparkSession.range(1).select(F.inline(F.array(*rows)))
+    rows = json.dumps([{"word": w, **c} for w, c in _closed_classes().items()])
+    closed = dictionary.sparkSession.range(1).select(F.inline(F.from_json(F.lit(rows), _CLOSED)))
     no = F.lit(False)
     flag = lambda name: F.coalesce(name, no).alias(name)
     return (
@@ -549,6 +549,12 @@ def recognise_tokens(tokens: Column, probe: Probe, fixed: bool = False) -> Colum
     return F.when(F.size(tokens) > 0, let(token_info(tokens, probe), run)).otherwise(nothing)
 
 
+def _found(probe: Probe, fixed: bool) -> Column:
+    if not fixed:
+        return recognise_tokens(F.col("tokens"), probe)
+    return F.flatten(F.transform("sentence_tokens", lambda s: recognise_tokens(s, probe, True)))
+
+
 def recognise(df: DataFrame, words: Lookup, fixed: bool = False) -> DataFrame:
     """Add ``analyses``: one entry per token or merged span.
 
@@ -556,10 +562,4 @@ def recognise(df: DataFrame, words: Lookup, fixed: bool = False) -> DataFrame:
     read on its own (from ``sentence_tokens``) and always closes.
     """
     df, probe = words.bind(df, F.transform("tokens", F.lower))
-    if fixed:
-        found = F.flatten(
-            F.transform("sentence_tokens", lambda s: recognise_tokens(s, probe, True))
-        )
-    else:
-        found = recognise_tokens(F.col("tokens"), probe)
-    return drop_bound(df.withColumn("analyses", found))
+    return drop_bound(df.withColumn("analyses", build_once(_found, probe, fixed)))

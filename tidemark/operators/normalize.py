@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import let
+from tidemark.functions.text import build_once, let
 
 POSITIVE = "EMOT_POS"
 NEGATIVE = "EMOT_NEG"
@@ -156,8 +156,10 @@ def split_spaces(sentence: Column) -> Column:
     return F.split(sentence, " +", -1)
 
 
+def _normalized(fixed: bool) -> Column:
+    return F.transform("sentences", lambda s: normalize_sentence(s, fixed))
+
+
 def normalize(df: DataFrame, fixed: bool = False) -> DataFrame:
     """Add ``normalized``; each kept word is followed by one blank in compat."""
-    return df.withColumn(
-        "normalized", F.transform("sentences", lambda s: normalize_sentence(s, fixed))
-    )
+    return df.withColumn("normalized", build_once(_normalized, fixed))

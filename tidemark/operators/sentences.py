@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.lookup import Lookup, drop_bound
-from tidemark.functions.text import LOWER, UPPER, split_all
+from tidemark.functions.text import LOWER, UPPER, build_once, split_all
 
 # Marks (fixed values).
 DOT = "<SIGLA-TMP>"
@@ -38,6 +38,10 @@ def sentence_array(text: Column) -> Column:
     return split_all(cut, "\n")
 
 
+def _sentences() -> Column:
+    return sentence_array(F.col("content"))
+
+
 def split_sentences(
     posts: DataFrame, abbreviations: Lookup | None = None, fixed: bool = False
 ) -> DataFrame:
@@ -48,7 +52,7 @@ def split_sentences(
     """
     text = F.col("content")
     if not (fixed and abbreviations is not None):
-        return posts.withColumn("sentences", sentence_array(text))
+        return posts.withColumn("sentences", build_once(_sentences))
     words = F.split(text, " ", -1)
     posts, known = abbreviations.bind(posts, words)
     protected = F.array_join(

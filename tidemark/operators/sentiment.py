@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.lookup import Lookup, Probe, drop_bound
-from tidemark.functions.text import float32, scan
+from tidemark.functions.text import build_once, float32, scan
 from tidemark.operators.normalize import NEGATIVE as NEGATIVE_MARK
 from tidemark.operators.normalize import POSITIVE as POSITIVE_MARK
 from tidemark.sources.resources import Model
@@ -236,23 +236,24 @@ def decide(balance: Column, hits: Column, pos: Column, neg: Column) -> Column:
     )
 
 
-def with_scores(df: DataFrame, tables: PolarityTables, fixed: bool = False) -> DataFrame:
-    """Add ``balance`` and ``scores`` (``hits``, ``pos``, ``neg``)."""
+def _score_keys(tables: PolarityTables) -> Column:
     lemmas = F.transform("tagged", lambda x: x["lemma"])
     operators = sorted({w for n in LISTS[1:] for w in tables.lists.get(n, [])})
-    compounds = F.flatten(
-        F.transform(
-            lemmas,
-            lambda w: F.array(*[F.concat(F.lit(f"{o}_"), w) for o in operators]),
-        )
-    )
-    df, probe = tables.scores.bind(df, F.concat(lemmas, compounds))
+    joined = lambda w: F.array(*[F.concat(F.lit(f"{o}_"), w) for o in operators])
+    return F.concat(lemmas, F.flatten(F.transform(lemmas, joined)))
+
+
+def _scores(tables: PolarityTables, probe: Probe, fixed: bool) -> Column:
     words = content_words(F.col("tagged"), tables, probe, fixed)
-    return drop_bound(
-        df.withColumn("balance", emoticon_balance(F.col("tagged"), fixed)).withColumn(
-            "scores", score_content(words, tables, probe, fixed)
-        )
-    )
+    return score_content(words, tables, probe, fixed)
+
+
+def with_scores(df: DataFrame, tables: PolarityTables, fixed: bool = False) -> DataFrame:
+    """Add ``balance`` and ``scores`` (``hits``, ``pos``, ``neg``)."""
+    df, probe = tables.scores.bind(df, build_once(_score_keys, tables))
+    balance = emoticon_balance(F.col("tagged"), fixed)
+    scored = df.withColumn("scores", build_once(_scores, tables, probe, fixed))
+    return drop_bound(scored.withColumn("balance", balance))
 
 
 def classify(df: DataFrame, tables: PolarityTables, fixed: bool = False) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.lookup import Lookup, Probe, drop_bound
-from tidemark.functions.text import float32, let, scan
+from tidemark.functions.text import build_once, float32, let, scan
 from tidemark.schema import TAGGED
 from tidemark.sources.resources import Model
 
@@ -309,15 +309,33 @@ def tag_lines(
     return scan(prepare(lines), F.lit(""), step, TAGGED[len("array<") : -1])
 
 
+def _lines(fixed: bool) -> Column:
+    return line_info(F.col("analyses"), fixed)
+
+
+def _feature_keys(fixed: bool) -> Column:
+    return let(build_once(_lines, fixed), lambda xs: context_features(xs, fixed))
+
+
+def _candidate_tags() -> Column:
+    own = F.flatten(
+        F.transform(build_once(_lines, False), lambda x: F.transform(x["cands"], lambda c: c["c"]))
+    )
+    return F.array_union(own, F.array(*[F.lit(c) for c in OPEN_CLASSES]))
+
+
+def _tagged(tables: PosTables, cond: Probe, prior: Probe, fixed: bool) -> Column:
+    return let(build_once(_lines, fixed), lambda xs: tag_lines(xs, tables, cond, prior, fixed))
+
+
+def bind_tables(df: DataFrame, tables: PosTables, fixed: bool = False):
+    """Make both model tables reachable over ``df``: ``(df, cond, prior)``."""
+    df, cond = tables.cond.bind(df, build_once(_feature_keys, fixed))
+    df, prior = tables.prior.bind(df, build_once(_candidate_tags))
+    return df, cond, prior
+
+
 def tag(df: DataFrame, tables: PosTables, fixed: bool = False) -> DataFrame:
     """Add ``tagged``: one analysis per line, sentence borders included."""
-    lines = line_info(F.col("analyses"), fixed)
-    keys = let(lines, lambda xs: context_features(xs, fixed))
-    df, cond = tables.cond.bind(df, keys)
-    every = F.array_union(
-        F.flatten(F.transform(lines, lambda x: F.transform(x["cands"], lambda c: c["c"]))),
-        F.array(*[F.lit(c) for c in OPEN_CLASSES]),
-    )
-    df, prior = tables.prior.bind(df, every)
-    tagged = let(lines, lambda xs: tag_lines(xs, tables, cond, prior, fixed))
-    return drop_bound(df.withColumn("tagged", tagged))
+    df, cond, prior = bind_tables(df, tables, fixed)
+    return drop_bound(df.withColumn("tagged", build_once(_tagged, tables, cond, prior, fixed)))

@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import chomp, let, split_all
+from tidemark.functions.text import build_once, chomp, let, split_all
 
 # Character classes and word lists (fixed values).
 PUNCT = "[,;«»“”'\"&\\$#=\\(\\)<>!¡\\?¿\\\\\\[\\]\\{\\}\\|\\^\\*\\-€·¬…]"
@@ -151,36 +151,39 @@ def word_tokens(sentence: Column, fixed: bool = False) -> Column:
     return F.when(sentence.rlike(NEEDS_ALL_RULES), full(sentence)).otherwise(plain(sentence))
 
 
-def flatten_tokens(sentences: Column, fixed: bool = False) -> Column:
+def flatten_tokens(sentences: Column) -> Column:
     """All tokens of a post; each sentence ends in an empty mark beforehand.
 
     Joining and cutting at newlines separates clitic parts and removes empty
     tokens; only an empty one at the very start of a post stays.
     """
     marked = F.flatten(
-        F.transform(sentences, lambda s: F.concat(word_tokens(s, fixed), F.array(F.lit(""))))
+        F.transform(sentences, lambda s: F.concat(word_tokens(s), F.array(F.lit(""))))
     )
     return split_all(F.array_join(marked, "\n"), "\n")
 
 
-def tokenize(df: DataFrame, fixed: bool = False) -> DataFrame:
-    """Add ``tokens``; ``fixed`` also adds ``sentence_tokens``.
+def _tokens() -> Column:
+    return flatten_tokens(F.col("normalized"))
 
-    Compat forgets sentence ends here, so ``tokens`` is one list per post.
-    """
-    if not fixed:
-        return df.withColumn("tokens", flatten_tokens(F.col("normalized")))
+
+def _tokens_by_sentence() -> Column:
     parts = F.transform(
         "normalized",
         lambda s: F.filter(
             F.split(F.array_join(word_tokens(s, True), "\n"), "\n+", -1), lambda t: t != ""
         ),
     )
-    return df.select(
-        "*",
-        let(parts, lambda p: F.struct(p.alias("by"), F.flatten(p).alias("all"))).alias("_t"),
-    ).select(
-        *[F.col(c) for c in df.columns],
-        F.col("_t.all").alias("tokens"),
-        F.col("_t.by").alias("sentence_tokens"),
+    return let(parts, lambda p: F.struct(p.alias("by"), F.flatten(p).alias("every")))
+
+
+def tokenize(df: DataFrame, fixed: bool = False) -> DataFrame:
+    """Add ``tokens``; ``fixed`` also adds ``sentence_tokens``.
+
+    Compat forgets sentence ends here, so ``tokens`` is one list per post.
+    """
+    if not fixed:
+        return df.withColumn("tokens", build_once(_tokens))
+    return df.withColumn("_t", build_once(_tokens_by_sentence)).select(
+        *df.columns, F.col("_t.every").alias("tokens"), F.col("_t.by").alias("sentence_tokens")
     )
