@@ -138,7 +138,9 @@ class Lookup:
             lambda s: F.element_at(F.col("_found"), s),
         )
         found = found.select("_k1", "_k2", slots.alias(self._hits))
-        bound = named.join(found, ["_k1", "_k2"], "left").drop("_k1", "_k2", "_keys")
+        # Many copies of one key set make one hot name here; the hits side has a
+        # single row for it, so the runtime skew split divides the posts side.
+        bound = named.drop("_keys").join(found, ["_k1", "_k2"], "left").drop("_k1", "_k2")
         return bound, Probe(self._hits, JOIN_BUCKETS)
 
 
