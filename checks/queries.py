@@ -155,33 +155,31 @@ def text_helpers(spark, sf_dir):
 
 @query(after("sentences", "SELECT rowkey, CAST(si AS INTEGER) AS i, sentence FROM sent"))
 def sentence_split(spark, sf_dir):
-    return tokenised(spark, sf_dir).select("rowkey", F.posexplode("sentences").alias("i", "sentence"))
+    return text.rows_of(tokenised(spark, sf_dir), "sentences", "i", "sentence", "rowkey")
 
 
-@query(after("sentences", "SELECT rowkey, count(*) AS n FROM sent GROUP BY rowkey"))
+@query(after("sentences", "SELECT rowkey, count(s.si) AS n FROM en LEFT JOIN sent s USING (rowkey) GROUP BY rowkey"))
 def sentence_count(spark, sf_dir):
     n = F.size("sentences").cast("bigint")
-    return tokenised(spark, sf_dir).select("rowkey", n.alias("n")).filter("n > 0")
+    return tokenised(spark, sf_dir).select("rowkey", n.alias("n"))
 
 
 @query(after("normalized", "SELECT rowkey, CAST(si AS INTEGER) AS i, normalized FROM norm"))
 def normalize_words(spark, sf_dir):
-    return tokenised(spark, sf_dir).select("rowkey", F.posexplode("normalized").alias("i", "normalized"))
+    return text.rows_of(tokenised(spark, sf_dir), "normalized", "i", "normalized", "rowkey")
 
 
 @query(
     after(
         "tokens",
         "SELECT rowkey, count(*) FILTER (WHERE token = 'EMOT_POS') AS positive, "
-        "count(*) FILTER (WHERE token = 'EMOT_NEG') AS negative FROM tok GROUP BY rowkey",
+        "count(*) FILTER (WHERE token = 'EMOT_NEG') AS negative FROM en LEFT JOIN tok USING (rowkey) GROUP BY rowkey",
     )
 )
 def emoticon_tags(spark, sf_dir):
     count = lambda mark: F.size(F.filter("tokens", lambda t: t == mark)).cast("bigint")
-    return (
-        tokenised(spark, sf_dir)
-        .filter(F.size("tokens") > 0)
-        .select("rowkey", count(norm.POSITIVE).alias("positive"), count(norm.NEGATIVE).alias("negative"))
+    return tokenised(spark, sf_dir).select(
+        "rowkey", count(norm.POSITIVE).alias("positive"), count(norm.NEGATIVE).alias("negative")
     )
 
 
@@ -199,10 +197,9 @@ def _fixed_runs(column: str) -> str:
     )
 )
 def letter_runs(spark, sf_dir):
+    each = F.flatten(F.transform("sentences", lambda s: F.split(s, " ")))
     words = (
-        tokenised(spark, sf_dir)
-        .select(F.explode("sentences").alias("s"))
-        .select(F.explode(F.split("s", " ")).alias("w"))
+        text.rows_of(tokenised(spark, sf_dir), each, "i", "w")
         .groupBy(F.regexp_replace("w", "([^,.])[,.]$", "$1").alias("word"))
         .agg(F.count("*").alias("uses"))
     )
@@ -217,7 +214,7 @@ def letter_runs(spark, sf_dir):
 
 @query(after("tokens", "SELECT rowkey, CAST(pos AS INTEGER) AS i, token FROM tok"))
 def tokenize(spark, sf_dir):
-    return tokenised(spark, sf_dir).select("rowkey", F.posexplode("tokens").alias("i", "token"))
+    return text.rows_of(tokenised(spark, sf_dir), "tokens", "i", "token", "rowkey")
 
 
 _CLITIC_TOKENS = ("not", "'2", "'s", "can", "do", "IAPOTEMPd", "have")
@@ -238,8 +235,8 @@ def clitics(spark, sf_dir):
         lambda w: F.struct(w.alias("token"), F.size(F.filter("tokens", lambda t: t == w)).alias("n")),
     )
     return (
-        tokenised(spark, sf_dir)
-        .select(F.inline(each))
+        text.rows_of(tokenised(spark, sf_dir), each, "i", "x")
+        .select("x.*")
         .filter("n > 0")
         .groupBy("token")
         .agg(F.sum("n").alias("uses"), F.count("*").alias("posts"))
@@ -256,12 +253,12 @@ _FLAG_COLUMNS = ", ".join(f"count(*) FILTER (WHERE {f}) AS {f}" for f in _FLAGS)
     after(
         "recognised",
         f"SELECT rowkey, {_FLAG_COLUMNS}, count(*) FILTER (WHERE cap) AS word, count(*) FILTER (WHERE num) AS number, "
-        "count(*) FILTER (WHERE amb) AS ambiguous FROM f0 GROUP BY rowkey",
+        "count(*) FILTER (WHERE amb) AS ambiguous FROM en LEFT JOIN f0 USING (rowkey) GROUP BY rowkey",
     )
 )
 def ner_flags(spark, sf_dir):
     df, probe = resources(spark).words.bind(tokenised(spark, sf_dir), F.transform("tokens", F.lower))
-    info = df.select("rowkey", token_info(F.col("tokens"), probe).alias("info")).filter(F.size("info") > 0)
+    info = df.select("rowkey", token_info(F.col("tokens"), probe).alias("info"))
     count = lambda name: F.size(F.filter("info", lambda r: getattr(Token(r), name))).cast("bigint")
     return info.select(
         "rowkey", *[count(n).alias(n) for n in (*_FLAGS, "word", "number", "ambiguous")]
@@ -272,10 +269,8 @@ def _entries(spark, sf_dir) -> DataFrame:
     analyses = F.array_join(
         F.transform("e.analyses", lambda a: F.concat(a["lemma"], F.lit("/"), a["tag"])), " "
     )
-    return (
-        recognised(spark, sf_dir)
-        .select("rowkey", F.posexplode("analyses").alias("i", "e"))
-        .select("rowkey", "i", "e.token", analyses.alias("analyses"))
+    return text.rows_of(recognised(spark, sf_dir), "analyses", "i", "e", "rowkey").select(
+        "rowkey", "i", "e.token", analyses.alias("analyses")
     )
 
 
@@ -323,9 +318,8 @@ def pos_coarse(spark, sf_dir):
     lines = tagger.line_info(F.col("analyses"))
     cands = F.flatten(F.transform(lines, lambda x: x["cands"]))
     return (
-        recognised(spark, sf_dir)
-        .select(F.inline(cands))
-        .groupBy(F.col("c").alias("coarse"), "fine")
+        text.rows_of(recognised(spark, sf_dir), cands, "i", "x")
+        .groupBy(F.col("x.c").alias("coarse"), F.col("x.fine").alias("fine"))
         .agg(F.count("*").alias("uses"))
     )
 
@@ -333,7 +327,7 @@ def pos_coarse(spark, sf_dir):
 @query(after("tagged", "SELECT feat, count(*) AS uses FROM (SELECT DISTINCT rowkey, ln, feat FROM feats) x GROUP BY feat"))
 def pos_features(spark, sf_dir):
     names = text.let(tagger.line_info(F.col("analyses")), lambda xs: tagger.context_features(xs))
-    return recognised(spark, sf_dir).select(F.explode(names).alias("feat")).groupBy("feat").agg(F.count("*").alias("uses"))
+    return text.rows_of(recognised(spark, sf_dir), names, "i", "feat").groupBy("feat").agg(F.count("*").alias("uses"))
 
 
 @query(
@@ -348,11 +342,13 @@ def pos_scores(spark, sf_dir):
     tables = resources(spark).pos
     lines = tagger.line_info(F.col("analyses"))
     df, cond, prior = tagger.bind_tables(df, tables)
-    return (
-        df.select("rowkey", F.inline(tagger.start_scores(lines, tables, cond, prior)))
-        .select("rowkey", "i", F.inline("ranks"))
-        .filter(F.col("cost") < 1e8)
-        .select("rowkey", "i", F.col("name").alias("tag"), F.round(F.col("cost") * 1000).cast("bigint").alias("cost"))
+    scored = text.rows_of(df, tagger.start_scores(lines, tables, cond, prior), "k", "x", "rowkey")
+    ranks = text.rows_of(scored, "x.ranks", "r", "rank", "rowkey", "x.i")
+    return ranks.filter(F.col("rank.cost") < 1e8).select(
+        "rowkey",
+        "i",
+        F.col("rank.name").alias("tag"),
+        F.round(F.col("rank.cost") * 1000).cast("bigint").alias("cost"),
     )
 
 
@@ -363,10 +359,8 @@ def pos_scores(spark, sf_dir):
     )
 )
 def pos_tags(spark, sf_dir):
-    return (
-        tagged(spark, sf_dir)
-        .select("rowkey", F.posexplode("tagged").alias("i", "x"))
-        .select("rowkey", "i", "x.token", "x.lemma", "x.tag")
+    return text.rows_of(tagged(spark, sf_dir), "tagged", "i", "x", "rowkey").select(
+        "rowkey", "i", "x.token", "x.lemma", "x.tag"
     )
 
 
@@ -399,7 +393,7 @@ def polarity_vote(spark, sf_dir):
 
 @query(after("scored", "SELECT rowkey, CAST(i - 1 AS INTEGER) AS i, lemma FROM prev"))
 def content_words(spark, sf_dir):
-    return _content(spark, sf_dir).select("rowkey", F.posexplode("words.lemma").alias("i", "lemma"))
+    return text.rows_of(_content(spark, sf_dir), "words.lemma", "i", "lemma", "rowkey")
 
 
 @query(
@@ -411,8 +405,7 @@ def content_words(spark, sf_dir):
 def negation_compounds(spark, sf_dir):
     names = sentiment.compound_names(F.col("words"), resources(spark).polarity)
     return (
-        _content(spark, sf_dir)
-        .select(F.explode(names).alias("compound"))
+        text.rows_of(_content(spark, sf_dir), names, "i", "compound")
         .groupBy("compound")
         .agg(F.count("*").alias("uses"))
     )
@@ -494,10 +487,9 @@ def sentiment_fixed(spark, sf_dir):
 
 @query()
 def pos_tags_fixed(spark, sf_dir):
-    return (
-        annotate(english(spark, sf_dir), resources(spark), fixed=True)
-        .select("rowkey", F.posexplode("tagged").alias("i", "x"))
-        .select("rowkey", "i", "x.token", "x.lemma", "x.tag")
+    done = annotate(english(spark, sf_dir), resources(spark), fixed=True)
+    return text.rows_of(done, "tagged", "i", "x", "rowkey").select(
+        "rowkey", "i", "x.token", "x.lemma", "x.tag"
     )
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark import SparkContext
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Accented classes used by the sentence and name rules (fixed values).
@@ -45,6 +45,18 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.aggregate(nothing, value, lambda bound, _: bound, body)
 
 
+def rows_of(df: DataFrame, items: Column | str, index: str, item: str, *keep: Column | str) -> DataFrame:
+    """One row per array element, with its position.
+
+    The outer form with a filter behind it: for a plain explode the optimizer
+    infers a filter on the array and pushes it under the stages, which computes
+    the whole chain again for every part of that filter.
+    """
+    array = F.col(items) if isinstance(items, str) else items
+    out = df.select(*keep, F.posexplode_outer(array).alias(index, item))
+    return out.filter(F.col(index).isNotNull())
+
+
 def split_all(value: Column, regex: str) -> Column:
     """Split on runs of ``regex``: a leading empty part stays, trailing ones go.
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.text import rows_of
 from tidemark.operators.tagger import BEGIN, BORDER_TAGS, coarse_tag
 from tidemark.sources.resources import Model
 
@@ -34,7 +35,7 @@ def fit_nb(docs: DataFrame, lists: DataFrame | None = None) -> Model:
     """Naive-Bayes model from ``(cat, tokens)``: document counts per class."""
     sizes = docs.groupBy("cat").agg(F.count("*").alias("n"))
     counts = (
-        docs.select("cat", F.explode(F.array_distinct("tokens")).alias("feat"))
+        rows_of(docs, F.array_distinct("tokens"), "i", "feat", "cat")
         .groupBy("feat", "cat")
         .agg(F.count("*").alias("n"))
     )
@@ -69,10 +70,10 @@ def pos_examples(tagged: Column) -> Column:
 
 def fit_pos(tagged: DataFrame) -> Model:
     """POS model from rows with a ``tagged`` array."""
-    examples = tagged.select(F.inline(pos_examples(F.col("tagged"))))
+    examples = rows_of(tagged, pos_examples(F.col("tagged")), "i", "x").select("x.cat", "x.feats")
     sizes = examples.groupBy("cat").agg(F.count("*").alias("n"))
     counts = (
-        examples.select("cat", F.explode("feats").alias("feat"))
+        rows_of(examples, "feats", "i", "feat", "cat")
         .groupBy("feat", "cat")
         .agg(F.count("*").alias("n"))
     )
