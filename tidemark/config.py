@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
 from dataclasses import dataclass, fields
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 PREFIX = "spark.tidemark."
 
@@ -61,3 +62,15 @@ def session(app: str = "tidemark", **conf: str) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str | None:
     """The shared folder the cluster names for checkpoints, if it names one."""
     return spark.conf.get("spark.checkpoint.dir", None)
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once, in the cluster's checkpoint folder.
+
+    A temporary folder serves only where the session names none, as in tests.
+    """
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        folder = checkpoint_root(spark) or tempfile.mkdtemp(prefix="tidemark-")
+        spark.sparkContext.setCheckpointDir(folder)
+    return df.checkpoint()

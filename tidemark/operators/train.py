@@ -9,23 +9,38 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.config import settle
 from tidemark.functions.text import rows_of
 from tidemark.operators.tagger import BEGIN, BORDER_TAGS, coarse_tag
 from tidemark.sources.resources import Model
 
 
-def _model(sizes: DataFrame, counts: DataFrame, lists: DataFrame | None = None) -> Model:
-    """Class sizes ``(cat, n)`` and feature counts ``(feat, cat, n)`` -> model."""
-    n_docs = sizes.agg(F.sum("n").alias("n_docs"))
-    total = n_docs.select("n_docs").scalar()
-    prior = sizes.select("cat", (F.col("n") / total).alias("p"))
-    # One row per class, so this side of the join is bounded by the class count.
-    per_class = sizes.withColumnRenamed("n", "size")
+# Stands in the feature column for the class itself; no token is empty.
+CLASS = ""
+
+
+def _model(examples: DataFrame, lists: DataFrame | None = None) -> Model:
+    """Model from rows ``(cat, feats)``, one per labelled thing.
+
+    The examples sit behind the whole text pipeline, so one pass counts both
+    the classes and the features, and only the counts are used from there on.
+    """
+    feats = F.concat(F.array(F.lit(CLASS)), F.col("feats"))
+    counts = settle(
+        rows_of(examples, feats, "i", "feat", "cat")
+        .groupBy("feat", "cat")
+        .agg(F.count("*").alias("n"))
+    )
+    sizes = counts.filter(F.col("feat") == CLASS).select("cat", F.col("n").alias("size"))
+    n_docs = sizes.agg(F.sum("size").alias("n_docs"))
+    prior = sizes.select("cat", (F.col("size") / n_docs.select("n_docs").scalar()).alias("p"))
     # At most one counted row per class stands behind each feature here.
     freq = F.sum("n").over(Window.partitionBy("feat")).cast("int")
+    # One row per class, so this side of the join is bounded by the class count.
     cond = (
-        counts.withColumn("freq", freq)
-        .join(F.broadcast(per_class), "cat")
+        counts.filter(F.col("feat") != CLASS)
+        .withColumn("freq", freq)
+        .join(F.broadcast(sizes), "cat")
         .select("feat", "cat", (F.col("n") / F.col("size")).alias("p"), "freq")
     )
     return Model(n_docs, prior, cond, lists)
@@ -33,13 +48,8 @@ def _model(sizes: DataFrame, counts: DataFrame, lists: DataFrame | None = None)
 
 def fit_nb(docs: DataFrame, lists: DataFrame | None = None) -> Model:
     """Naive-Bayes model from ``(cat, tokens)``: document counts per class."""
-    sizes = docs.groupBy("cat").agg(F.count("*").alias("n"))
-    counts = (
-        rows_of(docs, F.array_distinct("tokens"), "i", "feat", "cat")
-        .groupBy("feat", "cat")
-        .agg(F.count("*").alias("n"))
-    )
-    return _model(sizes, counts, lists)
+    words = F.filter(F.array_distinct("tokens"), lambda t: t != CLASS)
+    return _model(docs.select("cat", words.alias("feats")), lists)
 
 
 def pos_examples(tagged: Column) -> Column:
@@ -70,11 +80,5 @@ def pos_examples(tagged: Column) -> Column:
 
 def fit_pos(tagged: DataFrame) -> Model:
     """POS model from rows with a ``tagged`` array."""
-    examples = rows_of(tagged, pos_examples(F.col("tagged")), "i", "x").select("x.cat", "x.feats")
-    sizes = examples.groupBy("cat").agg(F.count("*").alias("n"))
-    counts = (
-        rows_of(examples, "feats", "i", "feat", "cat")
-        .groupBy("feat", "cat")
-        .agg(F.count("*").alias("n"))
-    )
-    return _model(sizes, counts)
+    examples = rows_of(tagged, pos_examples(F.col("tagged")), "i", "x")
+    return _model(examples.select("x.cat", "x.feats"))
