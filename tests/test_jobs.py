@@ -53,6 +53,13 @@ def test_stream_equals_batch(spark, bundled, posts, tmp_path):
         assert rows(read_sentiment(spark, out)) == rows(batch)
 
 
+def test_stream_with_large_tables_equals_batch(spark, by_join, bundled, posts, tmp_path):
+    path, out = str(tmp_path / "in"), str(tmp_path / "out")
+    posts(*TEXTS[:3]).coalesce(1).write.parquet(path)
+    run_stream(stream_posts(spark, path), out, by_join, str(tmp_path / "cp")).awaitTermination()
+    assert rows(read_sentiment(spark, out)) == rows(build_pipeline(read_posts(spark, path), bundled))
+
+
 def test_sink_last_write_wins_and_repeats_are_safe(spark, tmp_path):
     out, compacted = str(tmp_path / "out"), str(tmp_path / "compacted")
     make = lambda *r: spark.createDataFrame(r, "rowkey string, sentiment int")

@@ -20,6 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.config import settle
 
 @dataclass(frozen=True)
 class Probe:
@@ -112,7 +113,9 @@ class Lookup:
     def _bind_by_join(self, df: DataFrame, keys: Column) -> tuple[DataFrame, Probe]:
         # Posts with the same key set share one 128-bit name, so copies are
         # looked up once and the names survive a recomputed task.
-        named = (
+        # The frame is read twice from here on, so it is settled first: a chain of
+        # binds would otherwise double the work of all stages before each of them.
+        named = settle(
             df.withColumn("_keys", F.array_sort(F.array_distinct(keys)))
             .withColumn("_k1", F.xxhash64("_keys"))
             .withColumn("_k2", F.xxhash64(F.lit("second"), F.col("_keys")))

@@ -76,6 +76,11 @@ class Resources:
     def polarity(self) -> PolarityTables:
         return PolarityTables(self.lexicon, self.nb_model, **self.bounds)
 
+    def in_row(self) -> bool:
+        """True when every table is small enough to be looked up in the row."""
+        tables = (self.words, self.pos.cond, self.pos.prior, self.polarity.scores, self.abbreviations)
+        return all(t.fits() for t in tables)
+
 
 def text_stages(posts: DataFrame, resources: Resources | None = None, fixed: bool = False) -> DataFrame:
     """Sentences, normalised sentences and tokens."""

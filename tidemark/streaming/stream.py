@@ -1,7 +1,8 @@
 """The streaming job: posts in, sentiment upserted per micro-batch.
 
 Every post stands alone, so the pipeline keeps no state and the streaming plan
-is the batch plan. Only the sink works per batch, to be safe to repeat.
+is the batch plan while the lookup tables stay within the in-row bound. The
+sink works per batch, to be safe to repeat.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.config import checkpoint_root
 from tidemark.plans.pipeline import Resources, build_pipeline
+from tidemark.sources.posts import read_posts
 from tidemark.sources.sink import write_sentiment
 
 
@@ -32,10 +34,23 @@ def run_stream(
         if root is None:
             raise ValueError("give a checkpoint folder or set spark.checkpoint.dir")
         checkpoint = f"{root}/tidemark-stream"
-    scored = build_pipeline(source, resources, language, fixed).select("rowkey", "sentiment")
+    if resources.in_row():
+        stream = build_pipeline(source, resources, language, fixed).select("rowkey", "sentiment")
+        store = lambda batch, batch_id: write_sentiment(batch, sink, batch_id)
+    else:
+        # Tables over the bound need joins, which take a finished batch: it is
+        # staged beside the checkpoint, and a repeated batch stages itself anew.
+        stream = source
+
+        def store(batch: DataFrame, batch_id: int) -> None:
+            staged = f"{checkpoint}-staged/batch_id={batch_id}"
+            batch.write.mode("overwrite").parquet(staged)
+            posts = read_posts(resources.spark, staged)
+            write_sentiment(build_pipeline(posts, resources, language, fixed), sink, batch_id)
+
     return (
-        scored.writeStream.option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda batch, batch_id: write_sentiment(batch, sink, batch_id))
+        stream.writeStream.option("checkpointLocation", checkpoint)
+        .foreachBatch(store)
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
