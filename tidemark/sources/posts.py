@@ -44,7 +44,8 @@ def spread(posts: DataFrame) -> DataFrame:
     """Rebalance an input of fewer files than cores; else leave it alone.
 
     A large input has many splits and needs no shuffle; a single small file
-    would otherwise run the whole pipeline in one task.
+    would otherwise run the whole pipeline in one task. A few parts per core
+    even out long posts.
     """
     cores = posts.sparkSession.sparkContext.defaultParallelism
-    return posts.repartition(cores) if len(posts.inputFiles()) < cores else posts
+    return posts.repartition(3 * cores) if len(posts.inputFiles()) < cores else posts
