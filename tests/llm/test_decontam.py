@@ -42,7 +42,7 @@ def test_against_brute_force(spark, docs):
     words = ["the", "of", "and", "to"] + [f"w{i}" for i in range(60)]
     items = [(i, " ".join(rng.choices(words, k=rng.choice([3, 5, 6, 9, 10, 12, 13, 14, 30, 50])))) for i in range(40)]
     rows = []
-    for i in range(120):
+    for i in range(300):
         text = rng.choices(words, k=rng.randrange(0, 80))
         if i % 3:
             planted = rng.choice(items)[1].split()

@@ -60,6 +60,11 @@ def test_other_markups(model, opening, junk):
     assert h.main_text(page, model) == want
 
 
+def test_bare_pages(model):
+    page = f"<h1>Title</h1><p>{PROSE}<a href=x>a link</a> in it.</p><ul><li>{PROSE}</li></ul><div class=sidebar><p>Read more.</p></div><p>{PROSE}</p>"
+    assert h.main_text(page, model) == " ".join(["Title", PROSE + "a link in it.", PROSE.strip(), PROSE.strip()])
+
+
 def test_marginals_equal_enumeration():
     rng = random.Random(6)
     for _ in range(20):
@@ -67,15 +72,17 @@ def test_marginals_equal_enumeration():
         nodes = [h.Node("#root", -1, frozenset(), False)]
         for i in range(1, n):
             nodes.append(h.Node(rng.choice(["p", "div", "nav"]), rng.randrange(i), frozenset(), False))
-        pair = [[math.log(0.8), math.log(0.2)], [math.log(0.3), math.log(0.7)]]
+        draw = lambda: [[rng.uniform(-3, 0), rng.uniform(-3, 0)], [rng.uniform(-3, 0), rng.uniform(-3, 0)]]
+        pair, root = {t: draw() for t in ("p", "div", h._OTHER)}, [rng.uniform(-2, 0), rng.uniform(-2, 0)]
         speak = {look: (rng.uniform(-2, 0), rng.uniform(-2, 0)) for x in nodes for look in h.looks(x)}
         weights = {}
         for ys in itertools.product((0, 1), repeat=n):
             w = sum(speak[look][y] for x, y in zip(nodes, ys) for look in h.looks(x))
-            weights[ys] = math.exp(w + sum(pair[ys[nodes[i].parent]][ys[i]] for i in range(1, n)))
+            edges = sum(pair.get(nodes[i].tag, pair[h._OTHER])[ys[nodes[i].parent]][ys[i]] for i in range(1, n))
+            weights[ys] = math.exp(w + edges + root[ys[0]])
         total = sum(weights.values())
         want = [sum(w for ys, w in weights.items() if ys[i]) / total for i in range(n)]
-        got = h.TreeModel(pair, speak).marginals(nodes)
+        got = h.TreeModel(root, pair, speak).marginals(nodes)
         assert all(abs(a - b) < 1e-9 for a, b in zip(got, want))
 
 

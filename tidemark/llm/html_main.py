@@ -26,7 +26,7 @@ from tidemark.llm.common import column_of, parts, plain
 
 #: Labelled pages that the model is fitted on, the first by hash of their html.
 SAMPLE = 600
-_SMOOTH = 0.5
+_SMOOTH, _OTHER = 0.5, "#other"
 
 # Element names of the HTML standard, by how a parser treats them (fixed values).
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -96,7 +96,8 @@ def parse(html: str) -> tuple[list[Node], list[tuple[int, str]]]:
     begins or ends. Unclosed and crossed tags are mended as browsers do in the
     plain cases: a block closes a paragraph, an end tag closes what is open
     inside its element, and one without an element is passed over. A tag that
-    the end of the page cuts off is dropped.
+    the end of the page cuts off is dropped. The root stands for the body, told
+    or not, so that a bare fragment is a page too.
     """
     nodes = [Node("#root", -1, frozenset(), False)]
     stream: list[tuple[int, str]] = []
@@ -152,11 +153,11 @@ def parse(html: str) -> tuple[list[Node], list[tuple[int, str]]]:
             close({"p"}, _SCOPE | {"td", "th", "li"})
         if tag in _CLOSED_BY_SAME:
             close(_CLOSED_BY_SAME[tag], _SCOPE)
-        if tag in ("html", "body") and any(nodes[i].tag == tag for i in open_):
-            continue
-        if tag == "body":
-            close({"head"}, frozenset())
         attributes = _attributes(m[3])
+        if tag in ("html", "body"):
+            close({"head"}, frozenset())
+            nodes[0].mark = attributes.get(_MARK, nodes[0].mark)
+            continue
         parent = open_[-1]
         hidden = nodes[parent].hidden or tag in _HIDDEN or "hidden" in attributes or "display:none" in attributes.get("style", "").replace(" ", "").lower()
         nodes.append(Node(tag, parent, _hints(attributes), hidden, attributes.get(_MARK)))
@@ -189,9 +190,10 @@ def parse(html: str) -> tuple[list[Node], list[tuple[int, str]]]:
 
 
 def looks(node: Node) -> list[str]:
-    """What speaks for or against an element: name, hints, links, length, marks."""
-    tag = node.tag if node.tag in _KNOWN_TAGS else "other"
-    out = [f"tag:{tag}", *[f"hint:{h}" for h in sorted(node.hints)]]
+    """What speaks for or against an element, beside its name: hints, links, length, marks."""
+    out = [f"hint:{h}" for h in sorted(node.hints)]
+    if node.tag in _INLINE:
+        return out
     share = node.linked / node.below if node.below else 0.0
     out.append(f"links:{min(3, int(share * 4))}")
     out.append(f"length:{min(6, int(math.log2(node.below / 20 + 1)))}")
@@ -200,17 +202,15 @@ def looks(node: Node) -> list[str]:
     return out
 
 
-_KNOWN_TAGS = (
-    frozenset("#root html body div article section main p span ul ol li table tr td th nav header footer aside form h1 h2 h3 h4 h5 h6 pre code".split())
-    | frozenset("blockquote figure figcaption dl dt dd a b strong i em label select button".split())
-)
-
-
 @dataclass
 class TreeModel:
-    """Log potentials: a label under its parent's label, and a look under a label."""
+    """Log potentials: of the root, of a name and label under a label, of looks.
 
-    pair: list[list[float]]
+    ``pair[tag][above][label]`` joins a child with its parent.
+    """
+
+    root: list[float]
+    pair: dict[str, list[list[float]]]
     looks: dict[str, tuple[float, float]]
 
     def marginals(self, nodes: list[Node]) -> list[float]:
@@ -220,27 +220,26 @@ class TreeModel:
         sends all messages up, and one from the first sends them down.
         """
         own = [[0.0, 0.0] for _ in nodes]
+        own[0] = list(self.root)
         for node, o in zip(nodes, own):
             for look in looks(node):
                 a, b = self.looks.get(look, (0.0, 0.0))
                 o[0] += a
                 o[1] += b
+        edges = [self.pair.get(node.tag, self.pair[_OTHER]) for node in nodes]
         up = [[0.0, 0.0] for _ in nodes]
         for i in range(len(nodes) - 1, 0, -1):
-            parent = nodes[i].parent
+            parent, pair = nodes[i].parent, edges[i]
             for y in (0, 1):
-                up[i][y] = _log_sum(self.pair[y][0] + own[i][0], self.pair[y][1] + own[i][1])
+                up[i][y] = _log_sum(pair[y][0] + own[i][0], pair[y][1] + own[i][1])
                 own[parent][y] += up[i][y]  # all that is known below the parent
-        out = [0.0] * len(nodes)
         beliefs = [own[0], *[[0.0, 0.0] for _ in nodes[1:]]]
         for i in range(1, len(nodes)):
-            above = beliefs[nodes[i].parent]
+            above, pair = beliefs[nodes[i].parent], edges[i]
             rest = [above[y] - up[i][y] for y in (0, 1)]  # without what came from here
             for z in (0, 1):
-                beliefs[i][z] = own[i][z] + _log_sum(rest[0] + self.pair[0][z], rest[1] + self.pair[1][z])
-        for i, (a, b) in enumerate(beliefs):
-            out[i] = 1 / (1 + math.exp(max(-700.0, min(700.0, a - b))))
-        return out
+                beliefs[i][z] = own[i][z] + _log_sum(rest[0] + pair[0][z], rest[1] + pair[1][z])
+        return [1 / (1 + math.exp(max(-700.0, min(700.0, a - b)))) for a, b in beliefs]
 
 
 def _log_sum(a: float, b: float) -> float:
@@ -263,7 +262,7 @@ def labels_of(nodes: list[Node]) -> list[int] | None:
     marked = any(n.mark for n in nodes)
     if not marked and not any(n.tag in _MAIN for n in nodes):
         return None
-    labels = [0] * len(nodes)
+    labels = [int(nodes[0].mark or 0), *[0] * (len(nodes) - 1)]
     for i, n in enumerate(nodes[1:], 1):
         if marked:
             labels[i] = int(n.mark) if n.mark in ("0", "1") else labels[n.parent]
@@ -295,8 +294,28 @@ def _element(markup: str, content: int, inner: str) -> str:
     return f"<{markup} {_MARK}='{content}'>{inner}</{markup.split()[0]}>"
 
 
+def _paragraph(text: str, k: int) -> str:
+    """A paragraph as it is, or with links, as a list, a quotation and the like."""
+    words = text.split(" ")
+    cut = len(words) // 3
+    first, middle, last = (" ".join(w) for w in (words[:cut], words[cut : 2 * cut], words[2 * cut :]))
+    return (
+        f"<p>{text}</p>",
+        f"<p>{first} <a href='x'>{middle}</a> {last}</p>",
+        f"<ul><li>{first}</li><li>{middle} <em>{last}</em></li></ul>",
+        f"<h2>{first[:60]}</h2><p>{middle} <span>{last}</span></p>",
+        f"<blockquote><p>{first}</p>{middle}</blockquote><p><strong>{last}</strong></p>",
+        f"<h3>{first[:40]}</h3><ol><li><p>{middle}</p></li><li><a href='y'>{last}</a></li></ol>",
+        f"<div><p>{first}</p><pre><code>{middle}</code></pre></div><figure><figcaption>{last[:80]}</figcaption></figure>",
+        f"<table><tr><th>{first[:30]}</th><td>{middle}</td></tr><tr><td>{last}</td></tr></table><p><i>{first}</i> <b>{last}</b></p>",
+    )[k % 8]
+
+
 def variants(html: str, number: int) -> Iterator[str]:
-    """A labelled page as it is, and the same content in another markup."""
+    """A labelled page as it is, and the same content in another markup.
+
+    One rewriting in seven puts the content into the body itself.
+    """
     yield html
     whole = _ARTICLE.search(html)
     if whole is None:
@@ -308,26 +327,36 @@ def variants(html: str, number: int) -> Iterator[str]:
 
     def other(k: int) -> str:
         start = (number * 7 + k * 131) % max(1, len(prose) - 200)
-        return _element(_OTHER_MARKUP[(number + k) % len(_OTHER_MARKUP)], 0, f"<p>{prose[start : start + 60 * (k + 1)]}</p>")
-
-    inside = other(3) if number % 2 else ""
-    content = _element(_CONTENT_MARKUP[number % len(_CONTENT_MARKUP)], 1, whole[2] + inside)
+        text = prose[start : start + 30 + (number * 37 + k * 89) % 300]
+        inner = (f"<p>{text}</p>", f"<h3>{text[:20]}</h3><p>{text}</p>", text, f"<ul><li><a href='x'>{text}</a></li></ul>", f"<div><p>{text}</p></div><label>{text[:9]}</label>")
+        return _element(_OTHER_MARKUP[(number + 5 * k) % len(_OTHER_MARKUP)], 0, inner[(number // 3 + k) % len(inner)])
+
+    places = iter(range(number, number + whole[2].count("<p>") + 1))
+    content = re.sub(r"<p>([^<]*)</p>", lambda m: _paragraph(m[1], next(places)), whole[2]) + (other(3) if number % 2 else "")
+    wrapped = number % 7
+    if wrapped:
+        content = _element(_CONTENT_MARKUP[number % len(_CONTENT_MARKUP)], 1, content)
     before = _element(_MENU_MARKUP[number % len(_MENU_MARKUP)], 0, menu) + other(0)
     after = other(1) + other(2) + _element(_FOOTER_MARKUP[number % len(_FOOTER_MARKUP)], 0, footer)
-    yield f"<html><head><title>x</title></head><body><div class='wrapper'>{before}{content}{after}</div></body></html>"
+    page = f"{before}{content}{after}"
+    if wrapped and number % 3:
+        page = f"<div class='wrapper'>{page}</div>"
+    yield f"<html><head><title>x</title></head><body {_MARK}='{int(not wrapped)}'>{page}</body></html>"
 
 
 def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pages to counts of (parent label, label) and (look, label)."""
+    """Pages to counts by label: of names under a parent's label, of looks, of elements."""
     counts: Counter = Counter()
     for part in parts(batches, "html"):
         for number, t in zip(column_of(part, "number").to_pylist(), column_of(part, "html")):
             for page in variants(t.as_py(), number):
                 nodes, _ = parse(page)
                 labels = labels_of(nodes) or [0] * len(nodes)
+                counts["root", labels[0]] += 1
                 for i, n in enumerate(nodes):
                     if i:
-                        counts[f"pair:{labels[n.parent]}", labels[i]] += 1
+                        counts[f"pair:{labels[n.parent]}:{n.tag}", labels[i]] += 1
+                    counts["element", labels[i]] += 1
                     for look in looks(n):
                         counts[look, labels[i]] += 1
     yield pa.RecordBatch.from_arrays(
@@ -338,37 +367,41 @@ def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(pages: DataFrame, sample: int = SAMPLE) -> TreeModel:
     """Potentials from about ``sample`` labelled pages, the first by hash of html.
 
-    Counts are summed by Spark; their number depends on the looks there are,
-    not on the pages. Without a labelled page all looks speak for nothing, and
-    only the pairs' prior is left.
+    Counts are summed by Spark; their number depends on the names and looks
+    there are, not on the pages. Without a labelled page nothing speaks for or
+    against content, and all text is as likely content as not.
     """
     told = plain(pages, "html").filter(F.col("html").rlike("(?i)<(article|main)[ >]"))
     total = told.count()
     h = F.shiftrightunsigned(F.xxhash64("html"), 32)
     chosen = told.withColumn("h", h).filter(F.col("h") < int((1 << 32) * min(1.0, sample / max(1, total))))
-    rows = chosen.select("html", (F.col("h") % 997).cast("int").alias("number"))
+    rows = chosen.select("html", (F.col("h") % 9973).cast("int").alias("number"))
     counts = rows.mapInArrow(_count, "what string, label int, n bigint").groupBy("what", "label").agg(F.sum("n").alias("n")).collect()
-    table: dict[str, list[float]] = {}
-    for r in counts:
-        table.setdefault(r.what, [_SMOOTH, _SMOOTH])[r.label] += r.n
-    for key, start in (("pair:0", [20.0, 1.0]), ("pair:1", [1.0, 20.0])):
-        table.setdefault(key, start)
-    pair = [[math.log(v / sum(table[k])) for v in table[k]] for k in ("pair:0", "pair:1")]
-    totals: dict[str, list[float]] = {}
-    for what, (a, b) in table.items():
-        kind = what.split(":")[0]
-        held = totals.setdefault(kind, [0.0, 0.0])
-        held[0] += a
-        held[1] += b
-    # Elements of each label, by which a hint's share is taken, as most have none.
-    nodes = totals.get("tag", [1.0, 1.0])
-    speak = {}
-    for what, (a, b) in table.items():
-        kind = what.split(":")[0]
-        if kind != "pair":
-            base = nodes if kind == "hint" else totals[kind]
-            speak[what] = (math.log(a / base[0]), math.log(b / base[1]))
-    return TreeModel(pair, speak)
+    return potentials({(r.what, r.label): r.n for r in counts})
+
+
+def potentials(counts: dict[tuple[str, int], int]) -> TreeModel:
+    """Smoothed log shares of counted labels."""
+
+    def two(what: str) -> list[float]:
+        return [counts.get((what, y), 0) + _SMOOTH for y in (0, 1)]
+
+    def logs(values: list[float], total: list[float]) -> list[float]:
+        return [math.log(v / t) for v, t in zip(values, total)]
+
+    names = {w.split(":", 2)[2] for w, _ in counts if w.startswith("pair:")} | {_OTHER}
+    table = {tag: [two(f"pair:{above}:{tag}") for above in (0, 1)] for tag in names}
+    under = [sum(sum(table[tag][above]) for tag in names) for above in (0, 1)]
+    pair = {tag: [logs(table[tag][above], [under[above]] * 2) for above in (0, 1)] for tag in names}
+    kinds: dict[str, list[float]] = {"hint": two("element")}
+    shown = [w for w, _ in counts if w.split(":")[0] in ("hint", "links", "length", "marks")]
+    for what in set(shown):
+        kind, values = what.split(":")[0], two(what)
+        if kind != "hint":  # one hint may stand beside another, so its share is of all elements
+            held = kinds.setdefault(kind, [0.0, 0.0])
+            kinds[kind] = [held[0] + values[0], held[1] + values[1]]
+    speak = {what: tuple(logs(two(what), kinds[what.split(":")[0]])) for what in set(shown)}
+    return TreeModel(logs(two("root"), [sum(two("root"))] * 2), pair, speak)
 
 
 # --- extraction -------------------------------------------------------------
@@ -383,7 +416,7 @@ def main_text(html: str | None, model: TreeModel) -> str:
         if piece == "\0":
             blocks.append("".join(held))
             held = []
-        elif node and likely[node] >= 0.5:
+        elif likely[node] >= 0.5:
             held.append(piece)
     blocks.append("".join(held))
     return " ".join(" ".join(b.split()) for b in blocks if not b.isspace() and b)

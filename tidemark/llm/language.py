@@ -69,7 +69,7 @@ def _folded() -> np.ndarray:
 
 def ngram_counts(text: str | None) -> np.ndarray | None:
     """Counts of hashed n-grams over a whole text, or None if it has no letter."""
-    points = np.frombuffer((text or "").encode("utf-32-le"), "<u4")
+    points = np.frombuffer(((text or "") + " ").encode("utf-32-le"), "<u4")
     counts, seen = np.zeros(SIZE), False
     for start in range(0, len(points), _BLOCK):
         c = _folded()[points[start : start + _BLOCK]]
