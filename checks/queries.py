@@ -6,23 +6,27 @@ same name to SQL for an independent engine.
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.oracle import NOISE, _coarse, after, lit
-from tidemark.config import checkpoint_root
+from tidemark.config import EngineConfig, shared_folder
 from tidemark.functions import text
 from tidemark.operators import normalize as norm
 from tidemark.operators import routing, rowkey, sentiment, tagger, train
 from tidemark.operators.ner import Token, recognise, token_info
 from tidemark.plans.pipeline import Resources, annotate, build_pipeline, text_stages
 from tidemark.sources import sink
-from tidemark.sources.posts import spread, stream_posts
+from tidemark.sources.posts import read_posts, stream_posts
 from tidemark.streaming.stream import run_stream
 
+#: A file of one row group is one task. Where that is too few, as on one machine
+#: with small tables, the caller may name a number of partitions here.
+PARTS = "spark.tidemark.input_partitions"
+
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
 _resources: dict[int, tuple[SparkSession, Resources]] = {}
@@ -46,7 +50,9 @@ def resources(spark: SparkSession) -> Resources:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    parts = spark.conf.get(PARTS, None)
+    return docs.repartition(int(parts)) if parts else docs
 
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -472,11 +478,10 @@ def sentiment_end_to_end(spark, sf_dir):
 
 @query(_SENTIMENT)
 def stream_sentiment(spark, sf_dir):
-    root = checkpoint_root(spark) or tempfile.gettempdir()
-    folder = f"{root}/tidemark-{spark.sparkContext.applicationId}-{abs(hash(sf_dir))}"
-    posts(spark, sf_dir).write.mode("overwrite").parquet(f"{folder}/posts")
+    folder = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    posts(spark, sf_dir).write.parquet(f"{folder}/posts")
     source = stream_posts(spark, f"{folder}/posts", max_files=4)
-    run_stream(source, f"{folder}/out", resources(spark), f"{folder}/checkpoint").awaitTermination()
+    run_stream(source, f"{folder}/out", resources(spark)).awaitTermination()
     return sink.read_sentiment(spark, f"{folder}/out")
 
 

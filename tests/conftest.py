@@ -32,8 +32,8 @@ def bundled(spark):
 
 @pytest.fixture(scope="session")
 def by_join(spark):
-    """The same tables with an in-row bound of nothing: every lookup joins."""
-    return Resources(spark, max_rows=0)
+    """The same tables, looked up by joins."""
+    return Resources(spark, lookup="join")
 
 
 @pytest.fixture(scope="session")

@@ -1,9 +1,10 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark import EngineConfig, build_pipeline
+from tidemark import EngineConfig, Resources, build_pipeline
 from tidemark.operators import rowkey, routing
-from tidemark.sources.posts import read_posts, spread, stream_posts
+from tidemark.jobs import run_batch, run_stream_job
+from tidemark.sources.posts import read_posts, stream_posts
 from tidemark.sources.sink import compact_sentiment, read_sentiment, write_sentiment
 from tidemark.streaming.stream import run_stream
 
@@ -60,16 +61,44 @@ def test_stream_with_large_tables_equals_batch(spark, by_join, bundled, posts, t
     assert rows(read_sentiment(spark, out)) == rows(build_pipeline(read_posts(spark, path), bundled))
 
 
-def test_sink_last_write_wins_and_repeats_are_safe(spark, tmp_path):
-    out, compacted = str(tmp_path / "out"), str(tmp_path / "compacted")
-    make = lambda *r: spark.createDataFrame(r, "rowkey string, sentiment int")
-    write_sentiment(make(("a", 1), ("b", -1)), out, 0)
-    write_sentiment(make(("a", -1), ("a", 0), ("c", 1)), out, 1)
-    write_sentiment(make(("a", -1), ("a", 0), ("c", 1)), out, 1)
-    want = [("a", 0), ("b", -1), ("c", 1)]
+def made(spark, *r):
+    return spark.createDataFrame(r, "rowkey string, sentiment int")
+
+
+def test_sink_keeps_keys_that_a_write_does_not_hold(spark, tmp_path):
+    out = str(tmp_path / "out")
+    assert rows(read_sentiment(spark, out)) == []
+    write_sentiment(made(spark, ("a", 1), ("b", -1)), out)
+    write_sentiment(made(spark, ("c", 1)), out)
+    write_sentiment(made(spark, ("a", -1)), out)
+    assert rows(read_sentiment(spark, out)) == [("a", -1), ("b", -1), ("c", 1)]
+
+
+def test_sink_repeats_are_safe_and_compaction_is_followed(spark, tmp_path):
+    out = str(tmp_path / "out")
+    write_sentiment(made(spark, ("a", 1), ("b", -1)), out, "s", 0)
+    for _ in range(2):
+        write_sentiment(made(spark, ("a", -1), ("a", 0), ("c", 1)), out, "s", 1)
+    write_sentiment(made(spark, ("d", 1)), out, "t", 1)
+    want = [("a", 0), ("b", -1), ("c", 1), ("d", 1)]
     assert rows(read_sentiment(spark, out)) == want
-    compact_sentiment(spark, out, compacted)
-    assert rows(read_sentiment(spark, compacted)) == want
+    before = read_sentiment(spark, out)
+    for _ in range(2):
+        compact_sentiment(spark, out)
+        assert rows(read_sentiment(spark, out)) == want == rows(before)
+    write_sentiment(made(spark, ("b", 0)), out, "s", 2)
+    assert rows(read_sentiment(spark, out)) == [("a", 0), ("b", 0), ("c", 1), ("d", 1)]
+    compact_sentiment(spark, out)
+    assert rows(read_sentiment(spark, out)) == [("a", 0), ("b", 0), ("c", 1), ("d", 1)]
+
+
+def test_sink_order_inside_a_write(spark, tmp_path):
+    out = str(tmp_path / "out")
+    df = spark.createDataFrame([("a", 1, 1), ("a", -1, 2), ("b", -1, 1), ("b", 1, 2)], "rowkey string, sentiment int, ts int")
+    write_sentiment(df, out, order=F.col("ts"))
+    assert rows(read_sentiment(spark, out)) == [("a", -1), ("b", 1)]
+    with pytest.raises(ValueError):
+        write_sentiment(df, out, batch_id=3)
 
 
 def test_routing(spark, posts):
@@ -90,13 +119,55 @@ def test_row_keys(spark):
         assert source == (k.split("_") + [None])[1]
 
 
-def test_spread_only_moves_small_inputs(spark, posts, tmp_path):
+def test_round_robin_in_pieces(spark):
+    df = spark.range(3000).selectExpr(
+        "if(id % 3 = 0, id % 7, -1) as g", "cast(id div 2 as int) as o", "concat('k', lpad(id, 5, '0')) as k"
+    )
+    got = rowkey.salt_round_robin(df.repartition(5), "k", "g", "o").collect()
+    groups = {}
+    for r in got:
+        groups.setdefault(r.g, []).append((r.o, r.k, int(r.salted_key[:2])))
+    assert len(got) == 3000
+    for g in groups.values():
+        assert [x[2] for x in sorted(g)] == [i % 32 for i in range(len(g))]
+
+
+def test_posts_are_not_moved(spark, bundled, posts, tmp_path):
     posts(*TEXTS).coalesce(1).write.parquet(str(tmp_path / "one"))
-    posts(*TEXTS).repartition(8).write.parquet(str(tmp_path / "many"))
-    assert "Exchange" in plan(spread(read_posts(spark, str(tmp_path / "one"))))
-    many = spark.range(0, 80, 1, 8).selectExpr("cast(id as string) rowkey", "'x' content", "'en' language")
-    many.write.parquet(str(tmp_path / "eight"))
-    assert "Exchange" not in plan(spread(read_posts(spark, str(tmp_path / "eight"))))
+    assert "Exchange" not in plan(build_pipeline(read_posts(spark, str(tmp_path / "one")), bundled))
+
+
+def test_a_table_over_the_bound_is_an_error(spark, posts):
+    small = Resources(spark, max_rows=3)
+    with pytest.raises(ValueError, match="lookup='join'"):
+        build_pipeline(posts("a"), small)
+    with pytest.raises(ValueError):
+        Resources(spark, lookup="guess").words
+
+
+def test_jobs_use_every_setting(spark, posts, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    posts(*TEXTS[:3]).union(posts("x", language="es")).write.json(source)
+    config = EngineConfig(input_path=source, input_format="json", output_path=out, lookup="join", fixed=True)
+    run_batch(spark, config)
+    want = rows(build_pipeline(posts(*TEXTS[:3]), Resources(spark), fixed=True).select("rowkey", "sentiment"))
+    assert rows(read_sentiment(spark, out)) == want
+
+    archive, streamed = str(tmp_path / "done"), str(tmp_path / "streamed")
+    config = EngineConfig(
+        input_path=source, input_format="json", output_path=streamed, max_files_per_trigger=1, after_read="archive", archive_path=archive
+    )
+    run_stream_job(spark, config).awaitTermination()
+    compat = rows(build_pipeline(posts(*TEXTS[:3]), Resources(spark)))
+    assert rows(read_sentiment(spark, streamed)) == compat
+    # A file is archived after the batch that follows its own has been planned.
+    posts("late post").withColumn("rowkey", F.lit("late")).write.mode("append").json(source)
+    run_stream_job(spark, config).awaitTermination()
+    assert [p for p in (tmp_path / "done").rglob("*.json")]
+    assert rows(read_sentiment(spark, streamed)) == sorted([*compat, ("late", 0)])
+    for missing in ("input_path", "output_path"):
+        with pytest.raises(ValueError, match=missing):
+            run_batch(spark, EngineConfig(**{"input_path": source, "output_path": out, missing: ""}))
 
 
 def test_config(spark):

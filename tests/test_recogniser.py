@@ -62,7 +62,7 @@ def tables(spark, tmp_path_factory):
     return load_dictionary(spark, str(path)), spark.createDataFrame([("ace",)], "word string")
 
 
-@pytest.mark.parametrize("bounds", [{}, {"max_rows": 0}])
+@pytest.mark.parametrize("bounds", [{}, {"by": "join"}])
 def test_golden(spark, tables, bounds):
     rows = [(f"{i:03d}", text.split(" ")) for i, (text, _) in enumerate(CASES)]
     df = spark.createDataFrame(rows, "rowkey string, tokens array<string>")

@@ -44,7 +44,7 @@ def run(spark, model, texts, fixed=False, **bounds):
     return [[(x.token, x.lemma, x.tag) for x in r.tagged] for r in out]
 
 
-@pytest.mark.parametrize("bounds", [{}, {"max_rows": 0}])
+@pytest.mark.parametrize("bounds", [{}, {"by": "join"}])
 def test_golden(spark, model, bounds):
     first, second, empty = run(spark, model, [*LINES, ""], **bounds)
     assert first == [("the", "the", "DT"), ("dog", "dog", "NN"), ("runs", "run", "NNS"), (".", ".", "Fp")]

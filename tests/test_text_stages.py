@@ -60,7 +60,7 @@ def test_fixed_normalisation_is_idempotent(spark, posts):
     assert {r.rowkey: r.normalized for r in again.collect()} == first
 
 
-@pytest.mark.parametrize("bounds", [{}, {"max_rows": 0}])
+@pytest.mark.parametrize("bounds", [{}, {"by": "join"}])
 def test_abbreviations_protect_only_in_fixed_mode(spark, posts, bounds):
     table = spark.createDataFrame([("approx.",)], "abbr string")
     lookup = Lookup(table, "abbr", table["abbr"], **bounds)

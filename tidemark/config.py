@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +14,9 @@ PREFIX = "spark.tidemark."
 class EngineConfig:
     """Input and output buffers plus the pipeline's options.
 
+    ``after_read`` is what a stream does with a file that it has read:
+    ``archive`` (into ``archive_path``), ``delete``, or nothing.
+
     Each field may come from ``spark.tidemark.<field>`` in the session or from
     a ``key=value`` properties file.
     """
@@ -24,7 +27,11 @@ class EngineConfig:
     resources: str = ""
     language: str = "en"
     fixed: bool = False
+    lookup: str = "in_row"
     max_files_per_trigger: int = 1000
+    checkpoint_path: str = ""
+    after_read: str = ""
+    archive_path: str = ""
 
     @classmethod
     def _typed(cls, raw: dict[str, str]) -> EngineConfig:
@@ -59,18 +66,23 @@ def session(app: str = "tidemark", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-def checkpoint_root(spark: SparkSession) -> str | None:
-    """The shared folder the cluster names for checkpoints, if it names one."""
-    return spark.conf.get("spark.checkpoint.dir", None)
+def shared_folder(spark: SparkSession) -> str:
+    """A folder that all executors share, for tables between jobs.
 
+    It is the one the session names in ``spark.checkpoint.dir``. Where none is
+    named, a local session uses its warehouse; any other has to name one.
+    """
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if named is None and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(named or spark.conf.get("spark.sql.warehouse.dir"))
+    return context.getCheckpointDir()
 
-def settle(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once, in the cluster's checkpoint folder.
 
-    A temporary folder serves only where the session names none, as in tests.
-    """
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        folder = checkpoint_root(spark) or tempfile.mkdtemp(prefix="tidemark-")
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint()
+def settle(df: DataFrame) -> DataFrame:
+    """``df`` written once as a table of the shared folder, and read back."""
+    path = f"{shared_folder(df.sparkSession)}/settled-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

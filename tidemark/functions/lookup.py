@@ -5,11 +5,12 @@ table against them the usual way means one row per token, a shuffle back per
 post, and a sort of everything. Instead a table of checked size is published
 once as a SQL session variable (an array of hash buckets, each a small map),
 so a lookup is two array accesses in the expression that needs it, and a plan
-over posts stays scan -> project with no exchange.
+over posts stays scan -> project with no exchange. This is the way unless the
+caller asks for the other; a table over the bound is an error, which names it.
 
-A table over the bound takes the join path: the distinct keys of each post are
-joined to the table on a salted key, and only the hits come back to the post.
-Both ways give the stage the same ``probe``.
+``by="join"`` is for larger tables: the distinct keys of each post are joined
+to the table, and only the hits come back to the post. Nothing chooses between
+the two but the caller. Both ways give the stage the same ``probe``.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 
 from tidemark.config import settle
 
+
 @dataclass(frozen=True)
 class Probe:
     """Looks a key up in the bucketed table that column ``name`` holds."""
@@ -33,10 +35,12 @@ class Probe:
         return F.element_at(F.get(F.col(self.name), _bucket(key, self.buckets)), key)
 
 
+#: What a published table may measure: rows, and bytes as JSON text. As maps on
+#: the heap it takes a few times that, once for each executor.
 MAX_ROWS = 1_000_000
 MAX_BYTES = 64 << 20
-JOIN_SALTS = 16
 JOIN_BUCKETS = 64
+WAYS = ("in_row", "join")
 
 _names = itertools.count()
 
@@ -53,31 +57,36 @@ class Lookup:
         table: DataFrame,
         key: str,
         value: Column,
+        by: str = "in_row",
         max_rows: int = MAX_ROWS,
         max_bytes: int = MAX_BYTES,
     ):
+        if by not in WAYS:
+            raise ValueError(f"a lookup is one of {WAYS}")
+        self.by = by
         self.table = table.select(F.col(key).alias("key"), value.alias("value"))
         self.max_rows = max_rows
         self.max_bytes = max_bytes
         self._variable: Probe | None = None
         self._hits = f"_hits_{next(_names)}"
-        self._small: bool | None = None
-        self._rows = 0
-
-    def fits(self) -> bool:
-        """True when the measured table stays within the in-row bound."""
-        if self._small is None:
-            size = F.octet_length(F.to_json(F.struct("key", "value")))
-            rows, total = self.table.agg(F.count("*"), F.sum(size)).first()
-            self._rows = rows
-            self._small = rows <= self.max_rows and (total or 0) <= self.max_bytes
-        return self._small
-
-    def _publish(self) -> Probe:
+
+    def _measured(self) -> int:
+        """Rows of the table, once it has been found to stay within the bound."""
+        size = F.octet_length(F.to_json(F.struct("key", "value")))
+        rows, total = self.table.agg(F.count("*"), F.sum(size)).first()
+        if rows > self.max_rows or (total or 0) > self.max_bytes:
+            raise ValueError(
+                f"a lookup table of {rows} rows and {total} bytes is over the bound of {self.max_rows} rows "
+                f"and {self.max_bytes} bytes for lookups in the row; use lookup='join'"
+            )
+        return rows
+
+    def publish(self) -> Probe:
+        """Measure the table and hand it to the session; once only."""
         if self._variable is None:
             spark = self.table.sparkSession
-            buckets = 1
-            while buckets < self._rows:
+            rows, buckets = self._measured(), 1
+            while buckets < rows:
                 buckets *= 2
             maps = (
                 self.table.groupBy(_bucket(F.col("key"), buckets).alias("slot"))
@@ -106,8 +115,8 @@ class Lookup:
 
         ``keys`` lists every key a row may probe; only the join path reads it.
         """
-        if self.fits():
-            return df, self._publish()
+        if self.by == "in_row":
+            return df, self.publish()
         return self._bind_by_join(df, keys)
 
     def _bind_by_join(self, df: DataFrame, keys: Column) -> tuple[DataFrame, Probe]:
@@ -120,17 +129,15 @@ class Lookup:
             .withColumn("_k1", F.xxhash64("_keys"))
             .withColumn("_k2", F.xxhash64(F.lit("second"), F.col("_keys")))
         )
-        salt = F.pmod(F.col("_k1"), F.lit(JOIN_SALTS)).cast("int")
         asked = (
             named.groupBy("_k1", "_k2")
             .agg(F.any_value("_keys").alias("_keys"))
-            .select("_k1", "_k2", salt.alias("salt"), F.explode("_keys").alias("key"))
-        )
-        salted = self.table.withColumn(
-            "salt", F.explode(F.sequence(F.lit(0), F.lit(JOIN_SALTS - 1)))
+            .select("_k1", "_k2", F.explode("_keys").alias("key"))
         )
+        # The table has one row for a word, so a word that most key sets ask for is
+        # a skewed key of this side only, which the runtime divides as it needs.
         found = (
-            asked.join(salted, ["key", "salt"])
+            asked.join(self.table, "key")
             .groupBy("_k1", "_k2", _bucket(F.col("key"), JOIN_BUCKETS).alias("slot"))
             .agg(F.map_from_entries(F.collect_list(F.struct("key", "value"))).alias("entries"))
             .groupBy("_k1", "_k2")

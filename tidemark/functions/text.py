@@ -104,13 +104,13 @@ def scan(
     state: Column,
     step: Callable[[Column, Column], Column],
     out_type: str,
-    block: int = 16,
 ) -> Column:
     """Left-to-right pass emitting one value per item.
 
     ``step(state, item)`` gives a struct ``(state, out)``. Appending to one long
     array would copy it at each step, so the items are cut into blocks and only
-    the blocks' outputs are appended to the outer list.
+    the blocks' outputs are appended to the outer list. A block has about the
+    square root of the items, so no step copies more than that.
     """
     none = F.expr(f"cast(null as {out_type})")
     empty = F.expr(f"cast(array() as array<{out_type}>)")
@@ -133,15 +133,16 @@ def scan(
             lambda acc, item: pair(step(acc["last"]["state"], item), appended(acc)),
             lambda acc: F.struct(
                 acc["last"]["state"].alias("state"),
-                F.slice(appended(acc), 2, block).alias("out"),
+                F.slice(appended(acc), F.lit(2), F.size(items_in_block)).alias("out"),
             ),
         )
 
     def blocks(xs: Column) -> Column:
-        last = F.floor((F.size(xs) - 1) / F.lit(block)).cast("int")
-        cut = F.transform(
-            F.sequence(F.lit(0), last), lambda b: F.slice(xs, b * block + 1, F.lit(block))
-        )
+        def cut_by(block: Column) -> Column:
+            last = F.floor((F.size(xs) - 1) / block).cast("int")
+            return F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(xs, b * block + 1, block))
+
+        cut = let(F.ceil(F.sqrt(F.size(xs))).cast("int"), cut_by)
         every = F.aggregate(
             cut,
             start(state, empty, empty_blocks),

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.lookup import Lookup, Probe, drop_bound
-from tidemark.functions.text import LOWER, UPPER, build_once, fold_case, let, truthy
+from tidemark.functions.text import LOWER, UPPER, build_once, fold_case, let, scan, truthy
 from tidemark.operators.tokens import PUNCT, PUNCT_URL
 from tidemark.schema import ANALYSES, RECOGNISED
 
@@ -470,48 +470,90 @@ def _late_date(at, text: Column, month: Column) -> Column:
     return F.when(month, reduce(lambda c, r: c.when(r[0], found(r[1], r[2])), _month_first(at), F))
 
 
-_CHOSEN = f"struct<lead:int,start:int,entry:{_ENTRY}>"
+_KEPT = "struct<lead:int,start:int,at:int,late:boolean>"
 
 
 def _choose(outcomes: Column) -> Column:
-    """Walk the claims left to right and keep those that start on free ground."""
+    """Walk the claims left to right and keep those that start on free ground.
+
+    The pass carries three places and emits three for each claim kept; entries
+    are put together outside it. The numbers read so far matter only where a
+    late date asks for one, so only those that some date asks for are carried.
+    """
 
     def matters(o: Column) -> Column:
         c = o["claim"]
-        return (c["end"] > c["start"]) | c["number"] | c["late"].isNotNull()
+        return o["claim"].isNotNull() & ((c["end"] > c["start"]) | c["number"] | c["late"].isNotNull())
 
-    claims = F.filter(outcomes, lambda o: o["claim"].isNotNull() & matters(o))
+    no_days = F.expr("cast(array() as array<string>)")
     start = F.struct(
-        F.lit(0).alias("free"),
-        F.lit(-1).alias("name_end"),
-        F.expr("cast(array() as array<string>)").alias("days"),
-        F.expr(f"cast(array() as array<{_CHOSEN}>)").alias("kept"),
+        F.lit(0).alias("free"), F.lit(-1).alias("name_end"), no_days.alias("days")
     )
 
-    def step(acc: Column, o: Column) -> Column:
-        c = o["claim"]
-        late = F.coalesce(F.array_contains(acc["days"], c["late"]["day"]), F.lit(False))
-        end = F.when(late, c["start"] + c["late"]["reach"]).otherwise(c["end"])
-        grown = c["number"] & (c["end"] > c["name_end"])
-        days = F.array_remove(acc["days"], c["text"])
-        taken = F.struct(
-            (end + 1).cast("int").alias("free"),
-            c["name_end"].alias("name_end"),
-            F.when(grown, F.concat(days, F.array(c["text"]))).otherwise(days).alias("days"),
-            F.concat(
-                acc["kept"],
-                F.array(
+    def walk(claims: Column) -> Column:
+        asked = F.array_distinct(
+            F.filter(F.transform(claims, lambda c: c["late"]["day"]), lambda d: d.isNotNull())
+        )
+
+        def step(asked: Column) -> Column:
+            def one(state: Column, c: Column) -> Column:
+                late = F.coalesce(F.array_contains(state["days"], c["late"]["day"]), F.lit(False))
+                end = F.when(late, c["start"] + c["late"]["reach"]).otherwise(c["end"])
+                grown = c["number"] & (c["end"] > c["name_end"])
+                others = F.array_remove(state["days"], c["text"])
+                days = F.when(
+                    F.array_contains(asked, c["text"]),
+                    F.when(grown, F.concat(others, F.array(c["text"]))).otherwise(others),
+                ).otherwise(state["days"])
+                taken = F.struct(
+                    F.struct(
+                        (end + 1).cast("int").alias("free"), c["name_end"].alias("name_end"), days.alias("days")
+                    ).alias("state"),
                     F.struct(
-                        acc["free"].alias("lead"),
-                        c["start"].alias("start"),
-                        F.when(late, c["late"]["entry"]).otherwise(o["entry"]).alias("entry"),
-                    )
-                ),
-            ).alias("kept"),
+                        state["free"].alias("lead"), c["start"].alias("start"), c["at"].alias("at"), late.alias("late")
+                    ).alias("out"),
+                )
+                passed = F.struct(state.alias("state"), F.lit(None).cast(_KEPT).alias("out"))
+                return F.when(c["start"] >= state["free"], taken).otherwise(passed)
+
+            steps = scan(claims, start, one, _KEPT)
+            return F.filter(steps, lambda k: k.isNotNull())
+
+        def finish(kept: Column) -> Column:
+            # What the pass ends with follows from the last claim kept.
+            last = F.get(kept, F.size(kept) - 1)
+            claim = lambda k: F.get(outcomes, k["at"])["claim"]
+            end = F.when(last["late"], last["start"] + claim(last)["late"]["reach"]).otherwise(claim(last)["end"])
+            return F.struct(
+                F.when(F.size(kept) > 0, (end + 1).cast("int")).otherwise(0).alias("free"),
+                F.when(F.size(kept) > 0, claim(last)["name_end"]).otherwise(-1).alias("name_end"),
+                F.transform(
+                    kept,
+                    lambda k: F.struct(
+                        k["lead"].alias("lead"),
+                        k["start"].alias("start"),
+                        F.when(k["late"], claim(k)["late"]["entry"])
+                        .otherwise(F.get(outcomes, k["at"])["entry"])
+                        .alias("entry"),
+                    ),
+                ).alias("kept"),
+            )
+
+        return let(let(asked, step), finish)
+
+    def small(o: Column, at: Column) -> Column:
+        """A claim without its entries, and where it stands."""
+        c = o["claim"]
+        late = F.when(
+            c["late"].isNotNull(), F.struct(c["late"]["day"].alias("day"), c["late"]["reach"].alias("reach"))
+        )
+        named = F.struct(
+            *[c[f].alias(f) for f in ("start", "name_end", "end", "number", "text")], late.alias("late"), at.alias("at")
         )
-        return F.when(c["start"] >= acc["free"], taken).otherwise(acc)
+        return F.when(matters(o), named)
 
-    return F.aggregate(claims, start, step)
+    claims = F.filter(F.transform(outcomes, small), lambda c: c.isNotNull())
+    return let(claims, walk)
 
 
 def recognise_tokens(tokens: Column, probe: Probe, fixed: bool = False) -> Column:

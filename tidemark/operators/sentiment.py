@@ -237,10 +237,26 @@ def decide(balance: Column, hits: Column, pos: Column, neg: Column) -> Column:
 
 
 def _score_keys(tables: PolarityTables) -> Column:
+    """The lemmas, and each joined to the nearest operator among content lines before it.
+
+    A compound joins a word to the content lemma right before it, so if that
+    one is an operator, it is the nearest. Lines that are no content do not
+    count, as they do not part a compound.
+    """
     lemmas = F.transform("tagged", lambda x: x["lemma"])
-    operators = sorted({w for n in LISTS[1:] for w in tables.lists.get(n, [])})
-    joined = lambda w: F.array(*[F.concat(F.lit(f"{o}_"), w) for o in operators])
-    return F.concat(lemmas, F.flatten(F.transform(lemmas, joined)))
+    operators = sorted({w for n in LISTS[1:] for w in tables.lists.get(n, [])} - set(tables.lists.get(LISTS[0], [])))
+    if not operators:
+        return lemmas
+
+    def step(last: Column, x: Column) -> Column:
+        opens = x["lemma"].isin(*operators) & x["tag"].rlike(CONTENT_TAG)
+        return F.struct(
+            F.when(opens, x["lemma"]).otherwise(last).alias("state"),
+            F.when(last != "", F.concat(last, F.lit("_"), x["lemma"])).alias("out"),
+        )
+
+    joined = F.filter(scan(F.col("tagged"), F.lit(""), step, "string"), lambda n: n.isNotNull())
+    return F.concat(lemmas, joined)
 
 
 def _scores(tables: PolarityTables, probe: Probe, fixed: bool) -> Column:

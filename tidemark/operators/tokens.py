@@ -79,9 +79,10 @@ def sentence_tokens(sentence: Column) -> Column:
 
 
 def restore(token: Column) -> Column:
-    return reduce(
-        lambda t, pair: F.replace(t, F.lit(pair[0]), F.lit(pair[1])), STAND_INS, token
-    )
+    """The first of each stand-in back as what it stands for; a second one stays."""
+    first = lambda t, pair: F.regexp_replace(t, f"(?s)^(.*?){pair[0]}", f"$1{pair[1]}")
+    held = token.rlike("|".join(mark for mark, _ in STAND_INS))
+    return F.when(held, reduce(first, STAND_INS, token)).otherwise(token)
 
 
 def expand_clitics(token: Column, fixed: bool = False) -> Column:

@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.config import settle
 from tidemark.functions.text import rows_of
 from tidemark.operators.tagger import BEGIN, BORDER_TAGS, coarse_tag
 from tidemark.sources.resources import Model
@@ -22,25 +21,26 @@ CLASS = ""
 def _model(examples: DataFrame, lists: DataFrame | None = None) -> Model:
     """Model from rows ``(cat, feats)``, one per labelled thing.
 
-    The examples sit behind the whole text pipeline, so one pass counts both
-    the classes and the features, and only the counts are used from there on.
+    The examples sit behind the whole text pipeline, so one aggregate counts
+    both the classes and the features. ``own`` marks the classes' own rows: as
+    it is an aggregate, no filter on it moves below the exchange, and the plan
+    reuses one exchange for all that is taken from the counts.
     """
     feats = F.concat(F.array(F.lit(CLASS)), F.col("feats"))
-    counts = settle(
+    counts = (
         rows_of(examples, feats, "i", "feat", "cat")
         .groupBy("feat", "cat")
-        .agg(F.count("*").alias("n"))
+        .agg(F.count("*").alias("n"), F.max(F.col("feat") == CLASS).alias("own"))
     )
-    sizes = counts.filter(F.col("feat") == CLASS).select("cat", F.col("n").alias("size"))
+    sizes = counts.filter("own").select("cat", F.col("n").alias("size"))
     n_docs = sizes.agg(F.sum("size").alias("n_docs"))
     prior = sizes.select("cat", (F.col("size") / n_docs.select("n_docs").scalar()).alias("p"))
     # At most one counted row per class stands behind each feature here.
     freq = F.sum("n").over(Window.partitionBy("feat")).cast("int")
-    # One row per class, so this side of the join is bounded by the class count.
     cond = (
-        counts.filter(F.col("feat") != CLASS)
+        counts.filter(~F.col("own"))
         .withColumn("freq", freq)
-        .join(F.broadcast(sizes), "cat")
+        .join(sizes, "cat")
         .select("feat", "cat", (F.col("n") / F.col("size")).alias("p"), "freq")
     )
     return Model(n_docs, prior, cond, lists)

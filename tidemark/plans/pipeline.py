@@ -1,6 +1,6 @@
 """The whole annotation pipeline as one DataFrame.
 
-With tables inside the lookup bound the plan is scan -> project: no exchange,
+With lookups in the row the plan is scan -> project: no exchange,
 no key, so neither hot keys nor copies matter, and a lost task only repeats
 its own split. The same plan works on a streaming DataFrame.
 """
@@ -30,11 +30,20 @@ class Resources:
     """The lookup tables of one language, each loaded and published once.
 
     ``folder`` holds the text resources; the bundled ones are a small invented
-    sample, for trying the pipeline out.
+    sample, for trying the pipeline out. ``lookup`` is ``in_row`` (no shuffle;
+    tables within a bound) or ``join`` (tables of any size).
     """
 
-    def __init__(self, spark: SparkSession, folder: str = BUNDLED, names: dict[str, str] | None = None, **bounds):
-        self.spark, self.folder, self.names, self.bounds = spark, folder, names or {}, bounds
+    def __init__(
+        self,
+        spark: SparkSession,
+        folder: str = BUNDLED,
+        names: dict[str, str] | None = None,
+        lookup: str = "in_row",
+        **bounds,
+    ):
+        self.spark, self.folder, self.names, self.lookup = spark, folder, names or {}, lookup
+        self.bounds = {"by": lookup, **bounds}
 
     def path(self, name: str) -> str:
         return self.names.get(name, f"{self.folder}/{name}.txt")
@@ -76,10 +85,11 @@ class Resources:
     def polarity(self) -> PolarityTables:
         return PolarityTables(self.lexicon, self.nb_model, **self.bounds)
 
-    def in_row(self) -> bool:
-        """True when every table is small enough to be looked up in the row."""
-        tables = (self.words, self.pos.cond, self.pos.prior, self.polarity.scores, self.abbreviations)
-        return all(t.fits() for t in tables)
+    def publish(self) -> None:
+        """Publish the tables ahead of their first use; with joins there are none."""
+        if self.lookup == "in_row":
+            for table in (self.words, self.pos.cond, self.pos.prior, self.polarity.scores, self.abbreviations):
+                table.publish()
 
 
 def text_stages(posts: DataFrame, resources: Resources | None = None, fixed: bool = False) -> DataFrame:

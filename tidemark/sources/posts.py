@@ -8,7 +8,11 @@ from tidemark.schema import POST
 
 
 def read_posts(spark: SparkSession, path: str, format: str = "parquet", **options: str) -> DataFrame:
-    """All posts under ``path``; the schema is given, never inferred."""
+    """All posts under ``path``; the schema is given, never inferred.
+
+    Spark cuts the files into splits of ``spark.sql.files.maxPartitionBytes``;
+    that setting, not a shuffle, is what spreads the work.
+    """
     return spark.read.format(format).schema(POST).options(**options).load(path)
 
 
@@ -38,14 +42,3 @@ def stream_posts(
     if archive is not None:
         reader = reader.option("sourceArchiveDir", archive)
     return reader.load(path)
-
-
-def spread(posts: DataFrame) -> DataFrame:
-    """Rebalance an input of fewer files than cores; else leave it alone.
-
-    A large input has many splits and needs no shuffle; a single small file
-    would otherwise run the whole pipeline in one task. A few parts per core
-    even out long posts.
-    """
-    cores = posts.sparkSession.sparkContext.defaultParallelism
-    return posts.repartition(3 * cores) if len(posts.inputFiles()) < cores else posts

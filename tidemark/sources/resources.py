@@ -1,7 +1,8 @@
 """Loaders for the text resources: lookup tables, lexicon and models.
 
 Each loader takes any path Spark reads and returns typed DataFrames; lines
-that do not fit the format are kept apart, not guessed at.
+that do not fit the format are kept apart, not guessed at. Where a key is
+listed twice, the last line counts, in whatever splits the file is read.
 """
 
 from __future__ import annotations
@@ -13,11 +14,24 @@ BOM = "﻿"
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """``(line, at)``: ``at`` orders lines by file, split and place in the split."""
+    at = F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("row"),
+    )
     return spark.read.text(path).select(
-        F.trim(F.regexp_replace("value", f"^{BOM}", "")).alias("line")
+        F.trim(F.regexp_replace("value", f"^{BOM}", "")).alias("line"), at.alias("at")
     )
 
 
+def _last(rows: DataFrame, *keys: str) -> DataFrame:
+    """The last row of each key, by ``at``; lines are combined before the shuffle."""
+    values = [c for c in rows.columns if c not in (*keys, "at")]
+    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "at").alias("v"))
+    return last.select(*keys, *[F.col(f"v.{c}").alias(c) for c in values])
+
+
 def _fields(line: Column, regex: str = "\\s+") -> Column:
     return F.split(line, regex, -1)
 
@@ -25,12 +39,12 @@ def _fields(line: Column, regex: str = "\\s+") -> Column:
 def load_abbreviations(spark: SparkSession, path: str) -> DataFrame:
     """``(abbr, expansion)`` for the lines that hold a dot."""
     parts = _fields(F.col("line"))
-    return (
+    rows = (
         _lines(spark, path)
         .filter(F.contains("line", F.lit(".")))
-        .select(F.get(parts, F.lit(0)).alias("abbr"), F.get(parts, F.lit(1)).alias("expansion"))
-        .dropDuplicates(["abbr"])
+        .select(F.get(parts, F.lit(0)).alias("abbr"), F.get(parts, F.lit(1)).alias("expansion"), "at")
     )
+    return _last(rows, "abbr")
 
 
 def load_ambiguous(spark: SparkSession, path: str) -> DataFrame:
@@ -66,9 +80,9 @@ def load_dictionary(spark: SparkSession, path: str) -> DataFrame:
     rows = (
         _lines(spark, path)
         .filter(F.size(parts) >= 3)
-        .select(F.get(parts, F.lit(0)).alias("form"), pairs.alias("analyses"))
+        .select(F.get(parts, F.lit(0)).alias("form"), pairs.alias("analyses"), "at")
     )
-    return with_flags(rows.dropDuplicates(["form"]))
+    return with_flags(_last(rows, "form"))
 
 
 def _load_model(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
@@ -81,7 +95,7 @@ def _load_model(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, D
     )
     head = F.split(F.regexp_extract(line, "<cat>([^<]*)", 1), "\\s+")
     prior = lines.filter(line.startswith("<cat>")).select(
-        F.get(head, F.lit(0)).alias("cat"), F.get(head, F.lit(1)).cast("double").alias("p")
+        F.get(head, F.lit(0)).alias("cat"), F.get(head, F.lit(1)).cast("double").alias("p"), "at"
     )
     listed = F.split(F.regexp_extract(line, "<list>([^<]*)", 1), "\\s+")
     lists = lines.filter(line.startswith("<list>")).select(
@@ -93,8 +107,9 @@ def _load_model(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, D
         F.get(parts, F.lit(1)).alias("cat"),
         F.get(parts, F.lit(2)).cast("double").alias("p"),
         F.get(parts, F.lit(3)).cast("int").alias("freq"),
+        "at",
     )
-    return n_docs, prior, cond, lists
+    return n_docs, _last(prior, "cat"), _last(cond, "feat", "cat"), lists
 
 
 class Model:

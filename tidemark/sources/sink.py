@@ -1,52 +1,116 @@
 """The keyed result store: rowkey -> sentiment, the last write wins.
 
-Each batch is one folder, written whole, so a batch that is run again replaces
-itself. Readers take the latest value per key; compaction folds the folders
-into a new generation. A batch costs what it holds, not what the store holds.
+A write adds one folder of rows and then publishes it with one line in a log;
+a reader takes the log first, so it sees a write whole or not at all, and no
+write touches what an earlier one published. Readers take the latest value per
+key. Compaction folds what is published into one folder and publishes that in
+their place, in the same store, so readers and running streams just go on.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.schema import SENTIMENT
 
-LOGGED = T.StructType([*SENTIMENT.fields, T.StructField("batch_id", T.LongType())])
+#: Rows of a folder: a compacted one holds rows of many writes.
+LOGGED = T.StructType([*SENTIMENT.fields, T.StructField("seq", T.LongType())])
+#: Lines of the log. ``replaces`` lists the folders that a compaction folded.
+ENTRY = "seq bigint, writer string, batch_id bigint, folder string, replaces array<string>"
 
 
-def latest(logged: DataFrame) -> DataFrame:
-    """One row per key, from its highest batch.
+def latest(logged: DataFrame, order: str = "seq") -> DataFrame:
+    """One row per key, from its highest ``order``.
 
     The aggregate keeps one value per key on the map side, so a key written a
-    billion times reaches its reducer once per task. Two values for a key in
-    one batch have no order; the larger one is taken, on every run alike.
+    billion times reaches its reducer once per task. Of two values with equal
+    order the larger one is taken, on every run alike.
     """
     return logged.groupBy("rowkey").agg(
-        F.max(F.struct("batch_id", "sentiment"))["sentiment"].alias("sentiment")
+        F.max(F.struct(order, "sentiment"))["sentiment"].alias("sentiment")
     )
 
 
-def write_sentiment(df: DataFrame, path: str, batch_id: int = 0) -> None:
-    rows = df.select("rowkey", F.col("sentiment").cast("int"), F.lit(batch_id).cast("long").alias("batch_id"))
-    final = latest(rows).select("rowkey", "sentiment")
-    final.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+def _log(spark: SparkSession, path: str) -> DataFrame:
+    try:
+        return spark.read.schema(ENTRY).json(f"{path}/log")
+    except Exception as error:
+        if "PATH_NOT_FOUND" in str(error):
+            return spark.createDataFrame([], ENTRY)
+        raise
+
+
+def _live(spark: SparkSession, path: str) -> DataFrame:
+    """The log lines whose folders count.
+
+    A writer that repeats a batch replaces it. Lines of a writer and batch are
+    few, and a compaction's list ends with the compaction.
+    """
+    log = _log(spark, path)
+    newest = Window.partitionBy("writer", "batch_id").orderBy(F.desc("seq"), F.desc("folder"))
+    once = log.withColumn("r", F.row_number().over(newest)).filter("r = 1").drop("r")
+    gone = log.select(F.explode("replaces").alias("gone")).distinct()
+    return once.join(gone, once["folder"] == gone["gone"], "left_anti")
+
+
+def _publish(spark: SparkSession, path: str, rows: DataFrame, seq: int, writer: str, batch_id: int, replaces: list[str]) -> None:
+    folder = f"data/{seq}-{uuid.uuid4().hex}"
+    rows.write.parquet(f"{path}/{folder}")
+    line = spark.createDataFrame([(seq, writer, batch_id, folder, replaces)], ENTRY)
+    line.coalesce(1).write.mode("append").json(f"{path}/log")
+
+
+def write_sentiment(
+    df: DataFrame, path: str, writer: str | None = None, batch_id: int | None = None, order: Column | None = None
+) -> None:
+    """Upsert the rows of ``df``; keys that it does not hold stay as they are.
+
+    A write with a ``writer`` and ``batch_id`` replaces the same writer's
+    earlier try of that batch; a write without is a job of its own. ``order``
+    tells which of two rows of a key in ``df`` came last; rows that it does not
+    tell apart, and all rows without it, have no order, and the larger
+    sentiment is taken. Jobs that write at the same time come in the order of
+    their folders' names.
+    """
+    if (writer is None) != (batch_id is None):
+        raise ValueError("give writer and batch_id together")
+    spark = df.sparkSession
+    seq = (_log(spark, path).agg(F.max("seq")).first()[0] or 0) + 1
+    rows = df.select(
+        "rowkey", F.col("sentiment").cast("int"), (F.lit(0) if order is None else order).alias("place")
+    )
+    final = latest(rows, "place").withColumn("seq", F.lit(seq).cast("long"))
+    _publish(spark, path, final, seq, writer or uuid.uuid4().hex, batch_id or 0, [])
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(LOGGED).parquet(path)
+    """Every published row, with the ``seq`` of the write it came by."""
+    folders = [f"{path}/{r.folder}" for r in _live(spark, path).select("folder").collect()]
+    if not folders:
+        return spark.createDataFrame([], LOGGED)
+    return spark.read.schema(LOGGED).parquet(*folders)
 
 
 def read_sentiment(spark: SparkSession, path: str) -> DataFrame:
     return latest(read_log(spark, path))
 
 
-def compact_sentiment(spark: SparkSession, path: str, target: str) -> None:
-    """Write the current state of ``path`` as the first batch of ``target``.
+def compact_sentiment(spark: SparkSession, path: str) -> None:
+    """Fold all that is published now into one folder, in their place.
 
-    The source stays as it is, so readers switch when the target is complete.
+    Rows keep the ``seq`` of their write, so a write that is published
+    meanwhile, or by a stream later on, still comes after them. The folders
+    stay for readers that have already taken the log.
     """
-    log = read_log(spark, path)
-    top = log.agg(F.max("batch_id")).first()[0] or 0
-    latest(log).write.mode("overwrite").parquet(f"{target}/batch_id={top}")
+    live = _live(spark, path).agg(F.collect_list("folder"), F.max("seq")).first()
+    folders, top = live[0], live[1]
+    if len(folders) < 2:
+        return
+    log = spark.read.schema(LOGGED).parquet(*[f"{path}/{f}" for f in folders])
+    newest = log.groupBy("rowkey").agg(F.max(F.struct("seq", "sentiment")).alias("n"))
+    rows = newest.select("rowkey", "n.sentiment", "n.seq")
+    _publish(spark, path, rows, top, f"compaction-{uuid.uuid4().hex}", 0, folders)

@@ -1,16 +1,15 @@
 """The streaming job: posts in, sentiment upserted per micro-batch.
 
 Every post stands alone, so the pipeline keeps no state and the streaming plan
-is the batch plan while the lookup tables stay within the in-row bound. The
-sink works per batch, to be safe to repeat.
+is the batch plan. The sink works per batch, to be safe to repeat.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.config import checkpoint_root
 from tidemark.plans.pipeline import Resources, build_pipeline
 from tidemark.sources.posts import read_posts
 from tidemark.sources.sink import write_sentiment
@@ -27,26 +26,29 @@ def run_stream(
 ) -> StreamingQuery:
     """Start the job; by default it drains what is there and stops.
 
-    The checkpoint goes under the folder the session names, unless one is given.
+    The checkpoint lies beside the store's data unless another is given: two
+    jobs with different stores never share one. It also names the writer, so a
+    job that starts again goes on with its batches, and a repeated batch
+    replaces itself.
     """
-    if checkpoint is None:
-        root = checkpoint_root(source.sparkSession)
-        if root is None:
-            raise ValueError("give a checkpoint folder or set spark.checkpoint.dir")
-        checkpoint = f"{root}/tidemark-stream"
-    if resources.in_row():
+    checkpoint = checkpoint or f"{sink}/checkpoint-{language}-{'fixed' if fixed else 'compat'}"
+    if resources.lookup == "in_row":
         stream = build_pipeline(source, resources, language, fixed).select("rowkey", "sentiment")
-        store = lambda batch, batch_id: write_sentiment(batch, sink, batch_id)
+
+        def store(batch: DataFrame, batch_id: int) -> None:
+            write_sentiment(batch, sink, checkpoint, batch_id)
+
     else:
-        # Tables over the bound need joins, which take a finished batch: it is
-        # staged beside the checkpoint, and a repeated batch stages itself anew.
+        # Joins take a finished batch: it is staged beside the checkpoint. There
+        # are two stages, taken in turn, and a batch is kept until the next but
+        # one, so what is staged stays as large as two batches.
         stream = source
 
         def store(batch: DataFrame, batch_id: int) -> None:
-            staged = f"{checkpoint}-staged/batch_id={batch_id}"
+            staged = f"{checkpoint}/staged/{batch_id % 2}"
             batch.write.mode("overwrite").parquet(staged)
-            posts = read_posts(resources.spark, staged)
-            write_sentiment(build_pipeline(posts, resources, language, fixed), sink, batch_id)
+            scored = build_pipeline(read_posts(resources.spark, staged), resources, language, fixed)
+            write_sentiment(scored.select("rowkey", F.col("sentiment")), sink, checkpoint, batch_id)
 
     return (
         stream.writeStream.option("checkpointLocation", checkpoint)
