@@ -37,6 +37,14 @@ NOISE = (
     (" to ", " U.S.A. ... "),
     (" he ", " May of 2015 "),
     (" thre ", " gooood "),
+    (" in ", " we've won't they're "),
+    (" nd ", " wanna gonna musta "),
+    (" wh ", " quiiick D: ]] #tag "),
+    (" sh ", " << so >> `` be '' "),
+    (" re ", " she'll I'm 3.5 "),
+    (" ed ", " THE DOG "),
+    (" ti ", " 3 kg May the 3 , 2015 "),
+    (" th ", " 7 kg june 7 2016 and May 3 2015 "),
 )
 
 
@@ -151,7 +159,7 @@ word AS (
 ),
 {_collapse_levels("word")},
 kept AS (SELECT rowkey, si, wi, tail, {_word_case("w")} AS w FROM w9),
-norm AS (
+norm AS MATERIALIZED (
   SELECT s.rowkey, s.si, coalesce(n.normalized, '') AS normalized
   FROM sent s LEFT JOIN (
     SELECT rowkey, si, string_agg(w || CASE WHEN tail = '' THEN '' ELSE ' ' || tail END || ' ', '' ORDER BY wi) AS normalized
@@ -162,7 +170,7 @@ norm AS (
 
 def _restored(t: str) -> str:
     for mark, text in tokens.STAND_INS:
-        t = f"replace({t}, {lit(mark)}, {lit(text)})"
+        t = f"regexp_replace({t}, {lit(mark)}, {lit(text)})"
     return t
 
 
@@ -197,7 +205,7 @@ part AS (
          unnest(generate_series(1, len(string_split(t, chr(10))))) AS pi FROM raw
 ),
 first_part AS (SELECT rowkey, arg_min(token, (si, ti, pi)) AS token FROM part GROUP BY rowkey),
-tok AS (
+tok AS MATERIALIZED (
   SELECT rowkey, row_number() OVER (PARTITION BY rowkey ORDER BY si, ti, pi) - 1 AS pos, token
   FROM (SELECT rowkey, si, ti, pi, token FROM part WHERE token <> ''
         UNION ALL
@@ -232,6 +240,7 @@ _NUMBER_RULES = (
     (f"l1 IN ({_MONTHS})", 1, "'W'"),
 )
 
+_year = lambda c: f"coalesce(regexp_matches({c}, '^[0-9]{{4,}}$'), false)"
 _PREP_END, _PREP_ART_END = ner._PREP_END, ner._PREP_ART_END
 _BOUND = lits([*ner.BOUNDARY, ""])
 _caps = lambda k: f"regexp_matches(t{k}, '^{ner.UPPER}')"
@@ -266,6 +275,7 @@ f1 AS (
   SELECT *, lag(token) OVER w AS p, coalesce(lag(prep) OVER w, false) AS pprep, count(*) OVER (PARTITION BY rowkey) AS n,
          {", ".join(f"lead(token, {k}) OVER w AS t{k}" for k in range(1, 7))},
          {", ".join(f"lead(lo, {k}) OVER w AS l{k}" for k in range(1, 5))},
+         coalesce(lead(num, 1) OVER w, false) AS num1, coalesce(lead(num, 2) OVER w, false) AS num2,
          coalesce(lead(caps) OVER w, false) AS ncaps, coalesce(lead(known) OVER w, false) AS nknown,
          coalesce(lag(caps) OVER w, false) AS pcaps, coalesce(lag(known) OVER w, false) AS pknown
   FROM f0 WINDOW w AS (PARTITION BY rowkey ORDER BY pos)
@@ -276,12 +286,12 @@ f2 AS (
          coalesce(caps AND known AND ((ncaps AND nknown) OR (pcaps AND pknown AND t1 IN ({lits(ner.CAPS_END)}))), false) AS capsrun
   FROM f1
 ),
-f3 AS (
+f3 AS MATERIALIZED (
   SELECT *, coalesce({_QUOTED}, 0) AS q,
          coalesce(min(CASE WHEN brk THEN pos END) OVER (PARTITION BY rowkey ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), n) - pos AS run
   FROM f2
 ),
-f4 AS (
+f4 AS MATERIALIZED (
   SELECT f3.*, CASE WHEN token = 'I' THEN 'UNK' WHEN capsrun THEN 'UNK' WHEN up AND noamb THEN 'NNP'
                  WHEN up AND NOT stop AND p IS NOT NULL AND NOT bound AND p <> '...' THEN 'NNP'
                  WHEN ((up AND NOT stop AND bound) OR pos = 0) AND (NOT known OR amb) THEN 'NNP' ELSE 'UNK' END AS tag0,
@@ -302,40 +312,57 @@ f6 AS (
               WHEN cnt > 0 THEN regexp_replace(cand, {lit(_PREP_ART_END)}, '') ELSE cand END AS text
   FROM f5
 ),
-f7 AS (
-  SELECT *, CASE WHEN name_end > pos THEN 0 WHEN num THEN coalesce({_chain(_NUMBER_RULES, "{0}")}, 0)
+f7 AS MATERIALIZED (
+  SELECT *, name_end = pos AND month AND l1 = 'the' AND num2 AND t3 = ',' AND {_year("l4")} AS late4,
+         name_end = pos AND month AND l1 = 'the' AND num2 AND {_year("l3")} AS late3,
+         name_end = pos AND month AND num1 AND {_year("l2")} AS late2,
+         CASE WHEN name_end > pos THEN regexp_matches(text, '[0-9]') ELSE num END AS counts,
+         CASE WHEN name_end > pos THEN 0 WHEN num THEN coalesce({_chain(_NUMBER_RULES, "{0}")}, 0)
                  WHEN month AND l1 = 'of' AND regexp_matches(l2, '^[0-9]{{4,}}$') THEN 2 ELSE 0 END AS nlen,
          CASE WHEN num THEN {_chain(_NUMBER_RULES, "{1}")} ELSE 'W' END AS ntag
   FROM f6
 ),
-claim AS (SELECT rowkey, pos, name_end + nlen AS last, row_number() OVER (PARTITION BY rowkey ORDER BY pos) AS r
-          FROM f7 WHERE name_end + nlen > pos),
-jump AS (SELECT a.rowkey, a.pos, a.last, min(b.pos) AS nxt FROM claim a LEFT JOIN claim b ON a.rowkey = b.rowkey AND b.pos > a.last
-         AND b.pos <= a.last + 200 GROUP BY ALL),
-jump2 AS (SELECT j.rowkey, j.pos, j.last, coalesce(j.nxt, (SELECT min(b.pos) FROM claim b WHERE b.rowkey = j.rowkey AND b.pos > j.last)) AS nxt FROM jump j),
+claim AS (
+  SELECT *, row_number() OVER (PARTITION BY rowkey ORDER BY pos) AS r FROM (
+    SELECT rowkey, pos, name_end, name_end + nlen AS last, text, counts,
+           CASE WHEN late4 THEN 4 WHEN late3 THEN 3 WHEN late2 THEN 2 END AS reach,
+           CASE WHEN late4 OR late3 THEN t2 WHEN late2 THEN t1 END AS day
+    FROM f7) x WHERE last > pos OR counts OR reach IS NOT NULL),
+-- The claim that comes next depends on where this one ends: as it is, or as a late date.
+jump AS MATERIALIZED (
+  SELECT c.*, n.r AS nxt, m.r AS nxt_late
+  FROM claim c ASOF LEFT JOIN claim n ON n.rowkey = c.rowkey AND n.pos > c.last
+       ASOF LEFT JOIN claim m ON m.rowkey = c.rowkey AND m.pos > c.pos + coalesce(c.reach, 0)),
+-- days: the texts of numbers that reached over more than themselves when last read.
 walk AS (
-  SELECT j.* FROM jump2 j JOIN (SELECT rowkey, min(pos) AS pos FROM claim GROUP BY rowkey) s USING (rowkey, pos)
+  SELECT rowkey, pos, last, false AS late, nxt, CASE WHEN counts AND last > name_end THEN [text] ELSE [] END AS days FROM jump WHERE r = 1
   UNION ALL
-  SELECT j.* FROM walk w JOIN jump2 j ON j.rowkey = w.rowkey AND j.pos = w.nxt
+  SELECT j.rowkey, j.pos, CASE WHEN l THEN j.pos + j.reach ELSE j.last END, l, CASE WHEN l THEN j.nxt_late ELSE j.nxt END,
+         list_filter(w.days, lambda d: d <> j.text) || CASE WHEN j.counts AND j.last > j.name_end THEN [j.text] ELSE [] END
+  FROM walk w JOIN jump j ON j.rowkey = w.rowkey AND j.r = w.nxt,
+       LATERAL (SELECT coalesce(list_contains(w.days, j.day), false) AS l) x
 ),
-hidden AS (SELECT rowkey, unnest(generate_series(pos + 1, last)) AS pos FROM walk),
+hidden AS (SELECT rowkey, unnest(generate_series(pos + 1, last)) AS pos FROM walk WHERE last > pos),
 entry0 AS (
   SELECT f.rowkey, f.pos, f.name_end, f.nlen, f.n,
-         CASE WHEN nlen > 0 THEN array_to_string(toks[pos + 1:pos + 1 + nlen], '_') ELSE text END AS token,
-         CASE WHEN nlen > 0 THEN lower(array_to_string(toks[pos + 1:pos + 1 + nlen], '_')) || '/' || ntag
-              WHEN name_end = pos AND marktag IS NOT NULL THEN f.token || '/' || marktag
-              WHEN name_end = pos AND num THEN f.token || '/Z'
+         CASE WHEN w.late THEN array_to_string(toks[f.pos + 1:w.last + 1], '_')
+              WHEN nlen > 0 THEN array_to_string(toks[f.pos + 1:f.pos + 1 + nlen], '_') ELSE text END AS token,
+         CASE WHEN w.late THEN lower(array_to_string(toks[f.pos + 1:w.last + 1], '_')) || '/W'
+              WHEN nlen > 0 THEN lower(array_to_string(toks[f.pos + 1:f.pos + 1 + nlen], '_')) || '/' || ntag
+              WHEN name_end = f.pos AND marktag IS NOT NULL THEN f.token || '/' || marktag
+              WHEN name_end = f.pos AND num THEN f.token || '/Z'
               WHEN regexp_matches(text, '\\S_\\S') THEN lower(text) || '/NNP'
               WHEN tag0 = 'UNK' AND known THEN an
               ELSE lower(text) || '/' || tag0 END AS an
-  FROM f7 f ANTI JOIN hidden h ON f.rowkey = h.rowkey AND f.pos = h.pos WHERE f.token <> ''
+  FROM f7 f LEFT JOIN walk w ON w.rowkey = f.rowkey AND w.pos = f.pos AND w.late
+       ANTI JOIN hidden h ON f.rowkey = h.rowkey AND f.pos = h.pos WHERE f.token <> ''
 ),
 closing AS (
   SELECT rowkey, n AS pos, '<blank>' AS token, '<blank>/Fp' AS an FROM (
     SELECT rowkey, any_value(n) AS n, arg_max(name_end, pos) AS name_end, arg_max(token, pos) AS token FROM entry0 GROUP BY rowkey)
   WHERE name_end = n - 1 AND token <> '.'
 ),
-entry AS (SELECT rowkey, pos, token, an FROM entry0 UNION ALL SELECT rowkey, pos, token, an FROM closing)
+entry AS MATERIALIZED (SELECT rowkey, pos, token, an FROM entry0 UNION ALL SELECT rowkey, pos, token, an FROM closing)
 """
 
 _coarse = lambda tag: (
@@ -368,21 +395,21 @@ line AS (
   FROM line0 l JOIN ana a ON a.rowkey = l.rowkey AND a.ln = l.ln AND a.k = 1
   WINDOW w AS (PARTITION BY l.rowkey ORDER BY l.ln)
 ),
-closed AS (SELECT l.* FROM line l WHERE l.ln <= (SELECT max(ln) FROM line b WHERE b.rowkey = l.rowkey AND b.border)),
-vis AS (
+closed AS MATERIALIZED (SELECT l.* FROM line l WHERE l.ln <= (SELECT max(ln) FROM line b WHERE b.rowkey = l.rowkey AND b.border)),
+vis AS MATERIALIZED (
   SELECT rowkey, ln, c, arg_max(fine, k) AS fine, arg_max(lemma, k) AS lemma FROM (
     SELECT a.rowkey, a.ln, a.k, {_coarse("a.tag")} AS c, a.tag AS fine, a.lemma FROM ana a
     UNION ALL SELECT rowkey, ln, 9, 'RB', 'RB', lemma1 FROM line WHERE adverb
     UNION ALL SELECT rowkey, ln, 9, 'VB', 'VBG', '' FROM line WHERE gerund) x
   WHERE c <> '' GROUP BY rowkey, ln, c
 ),
-cand AS (
+cand AS MATERIALIZED (
   SELECT v.rowkey, v.ln, v.c, v.fine, v.lemma FROM vis v JOIN closed l USING (rowkey, ln) WHERE NOT l.unknown AND NOT l.fixed AND NOT l.border
   UNION ALL
   SELECT l.rowkey, l.ln, o.c, o.c, l.token FROM closed l, (VALUES {", ".join(f"({lit(c)})" for c in tagger.OPEN_CLASSES)}) o(c) WHERE l.unknown
 ),
 open_line AS (SELECT rowkey, ln, token, starts, CASE WHEN starts THEN lower(token) ELSE token END AS word FROM closed WHERE NOT fixed AND NOT border),
-lefts AS (
+lefts AS MATERIALIZED (
   SELECT rowkey, ln, word, 'BEGIN' AS lt FROM open_line WHERE starts
   UNION ALL SELECT o.rowkey, o.ln, o.word, '' FROM open_line o JOIN closed b ON b.rowkey = o.rowkey AND b.ln = o.ln - 1 WHERE NOT o.starts AND b.unknown
   UNION ALL SELECT o.rowkey, o.ln, o.word, v.c FROM open_line o JOIN closed b ON b.rowkey = o.rowkey AND b.ln = o.ln - 1
@@ -395,8 +422,8 @@ feats AS (
             FROM lefts f JOIN closed a ON a.rowkey = f.rowkey AND a.ln = f.ln + 1 AND NOT a.border
             JOIN vis v ON v.rowkey = a.rowkey AND v.ln = a.ln
 ),
-seen AS (SELECT f.* FROM feats f SEMI JOIN pcond p ON p.feat = f.feat AND p.freq <> 0),
-score AS (
+seen AS MATERIALIZED (SELECT f.* FROM feats f SEMI JOIN pcond p ON p.feat = f.feat AND p.freq <> 0),
+score AS MATERIALIZED (
   SELECT c.rowkey, c.ln, f.lt, c.c, any_value(c.fine) AS fine, any_value(c.lemma) AS lemma, any_value(coalesce(pr.p, 0)) AS prior,
          2 * any_value(CASE WHEN coalesce(pr.p, 0) > 0 THEN ln(pr.p) ELSE -1e9 END)
          + sum(CASE WHEN {_VETO} THEN -1e9 WHEN coalesce(p.p, 0) = 0 THEN ln(CAST(CAST(1.0 / {POS_N} AS FLOAT) AS DOUBLE)) ELSE ln(p.p) END) AS s
@@ -410,7 +437,7 @@ ranked AS (
   FROM cand c JOIN (SELECT DISTINCT rowkey, ln, lt FROM lefts) l USING (rowkey, ln)
        LEFT JOIN score s ON s.rowkey = c.rowkey AND s.ln = c.ln AND s.lt = l.lt AND s.c = c.c LEFT JOIN pprior pr ON pr.c = c.c
 ),
-best AS (SELECT * FROM ranked WHERE r = 1),
+best AS MATERIALIZED (SELECT * FROM ranked WHERE r = 1),
 -- An open word's choice is already settled unless its left neighbour is open too.
 chain AS (
   SELECT b.rowkey, b.ln, b.lt, b.c, b.fine, b.lemma FROM best b
@@ -499,5 +526,5 @@ STAGES = {
 }
 
 
-def after(stage: str, select: str) -> str:
-    return "WITH RECURSIVE " + ",\n".join(s.strip() for s in STAGES[stage]) + "\n" + select
+def after(stage: str, select: str, posts: str = POSTS) -> str:
+    return "WITH RECURSIVE " + ",\n".join(s.strip() for s in (posts, *STAGES[stage][1:])) + "\n" + select
