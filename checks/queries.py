@@ -9,18 +9,19 @@ from __future__ import annotations
 import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.oracle import NOISE, _coarse, after, lit
-from tidemark.config import EngineConfig, shared_folder
+from checks.oracle import NOISE, _coarse, _noisy, after
+from tidemark.config import EngineConfig, settle, shared_folder
 from tidemark.functions import text
+from tidemark.jobs import run_batch
 from tidemark.operators import normalize as norm
 from tidemark.operators import routing, rowkey, sentiment, tagger, train
 from tidemark.operators.ner import Token, recognise, token_info
 from tidemark.plans.pipeline import Resources, annotate, build_pipeline, text_stages
 from tidemark.sources import sink
-from tidemark.sources.posts import read_posts, stream_posts
+from tidemark.sources.posts import stream_posts
 from tidemark.streaming.stream import run_stream
 
 #: A file of one row group is one task. Where that is too few, as on one machine
@@ -55,12 +56,15 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.repartition(int(parts)) if parts else docs
 
 
+def _noise(column: Column) -> Column:
+    return reduce(lambda c, n: F.replace(c, F.lit(n[0]), F.lit(n[1])), NOISE, column)
+
+
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents as posts, with common words turned into social text."""
-    noisy = reduce(lambda c, n: F.replace(c, F.lit(n[0]), F.lit(n[1])), NOISE, F.col("text"))
     return documents(spark, sf_dir).select(
         F.col("doc_id").cast("string").alias("rowkey"),
-        noisy.alias("content"),
+        _noise(F.col("text")).alias("content"),
         F.col("lang").alias("language"),
     )
 
@@ -98,14 +102,16 @@ def unrouted_languages(spark, sf_dir):
 
 
 @query(
-    "SELECT count(*) FILTER (WHERE doc_id IS NULL) AS null_rowkey, "
-    "count(*) FILTER (WHERE doc_id IS NOT NULL AND nullif(quality, 0) IS NULL) AS null_content FROM labels"
+    "SELECT count(*) FILTER (WHERE l.doc_id IS NULL) AS null_rowkey, "
+    "count(*) FILTER (WHERE l.doc_id IS NOT NULL AND d.text IS NULL) AS null_content "
+    "FROM labels l FULL JOIN (SELECT * FROM documents WHERE lang = 'en') d ON d.doc_id = l.doc_id"
 )
 def null_posts(spark, sf_dir):
-    # Only a quality label carries content here, so unlabelled rows are null posts.
-    rows = spark.read.parquet(f"{sf_dir}/labels.parquet").select(
-        F.col("doc_id").cast("string").alias("rowkey"),
-        F.nullif("quality", F.lit(0)).cast("string").alias("content"),
+    # Labels of texts in other languages have no content, texts without a label no key.
+    english_docs = documents(spark, sf_dir).filter("lang = 'en'").select(F.col("doc_id").alias("d"), "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id")
+    rows = labels.join(english_docs, F.col("doc_id") == F.col("d"), "full").select(
+        F.col("doc_id").cast("string").alias("rowkey"), F.col("text").alias("content")
     )
     return routing.count_null_posts(rows)
 
@@ -137,17 +143,20 @@ def key_roundtrip(spark, sf_dir):
 
 
 @query(
-    "SELECT doc_id, array_to_string(list_filter(string_split_regex(text, '[a-z]+'), lambda x: x <> ''), '|') AS parts, "
+    "WITH p AS (SELECT *, string_split_regex(text, '[a-z]+') AS p FROM documents), "
+    "t AS (SELECT *, CASE WHEN len(p) = 1 OR p[-1] <> '' THEN p WHEN len(p) = 2 AND p[1] = '' THEN [] ELSE p[:-2] END AS kept FROM p) "
+    "SELECT doc_id, array_to_string(kept, '|') AS parts, CAST(len(kept) AS INTEGER) AS n_parts, "
     "lower(text) AS folded, regexp_replace(text, '[aeiou]+', '<') AS first_only, "
     "regexp_replace(text, '^[\\x00-\\x20]+|[\\x00-\\x20]+$', '', 'g') AS chomped, "
-    "coalesce(source NOT IN ('', '0'), false) AS truth, CAST(CAST(1.0 / n_chars AS FLOAT) AS DOUBLE) AS single FROM documents"
+    "coalesce(source NOT IN ('', '0'), false) AS truth, CAST(CAST(1.0 / n_chars AS FLOAT) AS DOUBLE) AS single FROM t"
 )
 def text_helpers(spark, sf_dir):
     t = F.col("text")
-    parts = F.filter(text.split_all(t, "[a-z]"), lambda x: x != "")
+    parts = text.split_all(t, "[a-z]")
     return documents(spark, sf_dir).select(
         "doc_id",
         F.array_join(parts, "|").alias("parts"),
+        F.size(parts).alias("n_parts"),
         text.fold_case(t).alias("folded"),
         text.replace_first(t, "[aeiou]+", "<$2").alias("first_only"),
         text.chomp(t).alias("chomped"),
@@ -223,27 +232,13 @@ def tokenize(spark, sf_dir):
     return text.rows_of(tokenised(spark, sf_dir), "tokens", "i", "token", "rowkey")
 
 
-_CLITIC_TOKENS = ("not", "'2", "'s", "can", "do", "IAPOTEMPd", "have")
-
-
-@query(
-    after(
-        "tokens",
-        "SELECT token, count(*) AS uses, count(DISTINCT rowkey) AS posts FROM tok WHERE token IN ("
-        + ", ".join(lit(t) for t in _CLITIC_TOKENS)
-        + ") GROUP BY token",
-    )
-)
+@query(after("tokens", "SELECT token, count(*) AS uses, count(DISTINCT rowkey) AS posts FROM tok GROUP BY token"))
 def clitics(spark, sf_dir):
-    # Counted inside each post first: one row per post and token is shuffled.
-    each = F.transform(
-        F.array(*[F.lit(t) for t in _CLITIC_TOKENS]),
-        lambda w: F.struct(w.alias("token"), F.size(F.filter("tokens", lambda t: t == w)).alias("n")),
-    )
+    # Counted inside each post first: one row per post and token goes on.
+    each = text.rows_of(tokenised(spark, sf_dir), "tokens", "i", "token", "rowkey")
     return (
-        text.rows_of(tokenised(spark, sf_dir), each, "i", "x")
-        .select("x.*")
-        .filter("n > 0")
+        each.groupBy("rowkey", "token")
+        .agg(F.count("*").alias("n"))
         .groupBy("token")
         .agg(F.sum("n").alias("uses"), F.count("*").alias("posts"))
     )
@@ -339,8 +334,8 @@ def pos_features(spark, sf_dir):
 @query(
     after(
         "tagged",
-        "SELECT s.rowkey, CAST(s.ln - 1 AS INTEGER) AS i, s.c AS tag, CAST(round(-s.s * 1000) AS BIGINT) AS cost FROM score s "
-        "JOIN closed l USING (rowkey, ln) WHERE s.lt = 'BEGIN' AND NOT l.unknown AND s.s > -1e8",
+        "SELECT s.rowkey, CAST(s.ln - 1 AS INTEGER) AS i, s.lt AS before, s.c AS tag, "
+        "CASE WHEN s.s > -1e8 THEN CAST(round(-s.s * 1000) AS BIGINT) ELSE -1 END AS cost FROM score s",
     )
 )
 def pos_scores(spark, sf_dir):
@@ -348,13 +343,15 @@ def pos_scores(spark, sf_dir):
     tables = resources(spark).pos
     lines = tagger.line_info(F.col("analyses"))
     df, cond, prior = tagger.bind_tables(df, tables)
-    scored = text.rows_of(df, tagger.start_scores(lines, tables, cond, prior), "k", "x", "rowkey")
-    ranks = text.rows_of(scored, "x.ranks", "r", "rank", "rowkey", "x.i")
-    return ranks.filter(F.col("rank.cost") < 1e8).select(
+    scored = text.rows_of(df, tagger.all_scores(lines, tables, cond, prior), "k", "x", "rowkey")
+    lefts = text.rows_of(scored, "x.lefts", "l", "left", "rowkey", "x.i")
+    ranks = text.rows_of(lefts, "left.ranks", "r", "rank", "rowkey", "i", "left.before")
+    return ranks.select(
         "rowkey",
         "i",
+        "before",
         F.col("rank.name").alias("tag"),
-        F.round(F.col("rank.cost") * 1000).cast("bigint").alias("cost"),
+        F.when(F.col("rank.cost") < 1e8, F.round(F.col("rank.cost") * 1000).cast("bigint")).otherwise(-1).alias("cost"),
     )
 
 
@@ -454,18 +451,36 @@ def sentiment_cascade(spark, sf_dir):
     )
 
 
+_TURNS = f"""
+posts AS (SELECT conv_id || '_' || turn AS rowkey, {_noisy("text")} AS content, 'en' AS language FROM conversations),
+en AS (SELECT rowkey, content FROM posts WHERE rowkey IS NOT NULL AND content IS NOT NULL)
+"""
+
+
 @query(
-    "SELECT CAST(conv_id AS VARCHAR) AS rowkey, CAST(arg_max(length(text) % 3 - 1, turn) AS INTEGER) AS sentiment "
-    "FROM conversations GROUP BY conv_id"
+    after(
+        "scored",
+        "SELECT split_part(rowkey, '_', 1) AS rowkey, arg_max(sentiment, CAST(split_part(rowkey, '_', 2) AS BIGINT)) AS sentiment "
+        "FROM sentiment GROUP BY 1",
+        _TURNS,
+    )
 )
 def sentiment_upsert(spark, sf_dir):
-    # Every turn of a conversation writes the same key again.
-    log = spark.read.parquet(f"{sf_dir}/conversations.parquet").select(
-        F.col("conv_id").cast("string").alias("rowkey"),
-        (F.length("text") % 3 - 1).cast("int").alias("sentiment"),
-        F.col("turn").alias("batch_id"),
-    )
-    return sink.latest(log)
+    # Every turn writes its conversation's key. Roles are separate writes, each of
+    # which lacks keys of the others, and later turns come in later writes.
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select(
+        F.concat_ws("_", F.col("conv_id"), F.col("turn")).alias("rowkey"),
+        _noise(F.col("text")).alias("content"),
+        F.lit("en").alias("language"),
+    )
+    scored = settle(build_pipeline(turns, resources(spark)))
+    folder = f"{shared_folder(spark)}/upsert-{uuid.uuid4().hex}"
+    turn = F.split("rowkey", "_")[1].cast("bigint")
+    keyed = scored.select(F.split("rowkey", "_")[0].alias("rowkey"), "sentiment", turn.alias("turn"))
+    for rule in ("turn = 0", "turn = 1", "turn between 2 and 3", "turn > 3"):
+        sink.write_sentiment(keyed.filter(rule), folder, order=F.col("turn"))
+    sink.compact_sentiment(spark, folder)
+    return sink.read_sentiment(spark, folder)
 
 
 _SENTIMENT = after("scored", "SELECT rowkey, sentiment FROM sentiment")
@@ -485,6 +500,15 @@ def stream_sentiment(spark, sf_dir):
     return sink.read_sentiment(spark, f"{folder}/out")
 
 
+@query(_SENTIMENT)
+def job_batch(spark, sf_dir):
+    # The whole job from a configuration: stored posts in, the store out.
+    folder = f"{shared_folder(spark)}/job-{uuid.uuid4().hex}"
+    posts(spark, sf_dir).write.json(f"{folder}/posts")
+    run_batch(spark, EngineConfig(input_path=f"{folder}/posts", input_format="json", output_path=f"{folder}/out"))
+    return sink.read_sentiment(spark, f"{folder}/out")
+
+
 @query()
 def sentiment_fixed(spark, sf_dir):
     return build_pipeline(posts(spark, sf_dir), resources(spark), fixed=True)

@@ -221,26 +221,46 @@ def with_priors(cands: Column, prior: Probe) -> Column:
     )
 
 
-def start_scores(lines: Column, tables: PosTables, cond: Probe, prior: Probe) -> Column:
-    """Ranked candidates of each ambiguous word that opens a sentence.
+def all_scores(lines: Column, tables: PosTables, cond: Probe, prior: Probe) -> Column:
+    """Ranked candidates of each open word under every tag that may stand before it.
 
-    Elsewhere a score depends on the tag chosen before it; here it does not.
+    ``(i, lefts)`` with ``lefts`` of ``(before, ranks)``: ``before`` is BEGIN at
+    a sentence start and '' after an unknown word. Without evidence there are
+    no ranks, as the prior alone decides then.
     """
 
     def of(xs: Column) -> Column:
         def one(x: Column, i: Column) -> Column:
-            word = _word(x, F.lit(True))
-            names = F.concat(
-                _right_features(xs, x, i, word, False), _left_features(F.lit(BEGIN), word)
-            )
-            opens = (x["kind"] == 1) & _starts_sentence(xs, i)
-            ranks = let(
-                _known(cond, names),
-                lambda e: rank_candidates(with_priors(x["cands"], prior), e, tables),
-            )
-            return F.struct(i.alias("i"), F.when(opens, ranks).alias("ranks"))
+            starts = _starts_sentence(xs, i)
+
+            def scored(word: Column) -> Column:
+                right = _known(cond, _right_features(xs, x, i, word, False))
+                before = F.get(xs, i - 1)
+                tags = (
+                    F.when(starts, F.array(F.lit(BEGIN)))
+                    .when(before["kind"] == 2, F.array(F.lit("")))
+                    .otherwise(F.transform(before["cands"], lambda c: c["c"]))
+                )
+                open_ = F.transform(
+                    F.array(*[F.lit(c) for c in OPEN_CLASSES]),
+                    lambda c: F.struct(c.alias("c"), F.lit("").alias("fine"), F.lit("").alias("lemma")),
+                )
+                cands = with_priors(F.when(x["kind"] == 2, open_).otherwise(x["cands"]), prior)
+
+                def under(tag: Column) -> Column:
+                    left = F.when(tag != "", _known(cond, _left_features(tag, word)))
+                    evidence = F.concat(right, F.coalesce(left, F.slice(right, 1, 0)))
+                    ranks = let(
+                        evidence, lambda e: F.when(F.size(e) > 0, rank_candidates(cands, e, tables))
+                    )
+                    return F.struct(tag.alias("before"), ranks.alias("ranks"))
+
+                return F.transform(tags, under)
+
+            choice = x["kind"].isin(1, 2)
+            return F.struct(i.alias("i"), F.when(choice, let(_word(x, starts), scored)).alias("lefts"))
 
-        return F.filter(F.transform(xs, one), lambda r: r["ranks"].isNotNull())
+        return F.filter(F.transform(xs, one), lambda r: r["lefts"].isNotNull())
 
     return let(lines, of)
 
