@@ -273,7 +273,7 @@ f0 AS (
 ),
 f1 AS (
   SELECT *, lag(token) OVER w AS p, coalesce(lag(prep) OVER w, false) AS pprep, count(*) OVER (PARTITION BY rowkey) AS n,
-         {", ".join(f"lead(token, {k}) OVER w AS t{k}" for k in range(1, 7))},
+         {", ".join(f"lead(token, {k}) OVER w AS t{k}" for k in range(1, ner.MAX_NAME + 1))},
          {", ".join(f"lead(lo, {k}) OVER w AS l{k}" for k in range(1, 5))},
          coalesce(lead(num, 1) OVER w, false) AS num1, coalesce(lead(num, 2) OVER w, false) AS num2,
          coalesce(lead(caps) OVER w, false) AS ncaps, coalesce(lead(known) OVER w, false) AS nknown,
@@ -296,12 +296,12 @@ f4 AS MATERIALIZED (
                  WHEN up AND NOT stop AND p IS NOT NULL AND NOT bound AND p <> '...' THEN 'NNP'
                  WHEN ((up AND NOT stop AND bound) OR pos = 0) AND (NOT known OR amb) THEN 'NNP' ELSE 'UNK' END AS tag0,
          CASE WHEN q = 0 AND cap AND NOT (bound AND known AND NOT amb) AND run BETWEEN 2 AND {ner.MAX_NAME} THEN run ELSE 0 END AS cnt,
-         l.toks
-  FROM f3 JOIN (SELECT rowkey, list(token ORDER BY pos) AS toks FROM tok GROUP BY rowkey) l USING (rowkey)
+         CASE WHEN q > 0 OR cap OR num OR month THEN [token, {", ".join(f"t{k}" for k in range(1, ner.MAX_NAME + 1))}] END AS toks
+  FROM f3
 ),
 f5 AS (
-  SELECT *, CASE WHEN q > 0 THEN array_to_string(toks[pos + 1:pos + q], '_')
-                 WHEN cnt > 0 THEN array_to_string(toks[pos + 1:pos + cnt], '_') ELSE token END AS cand FROM f4
+  SELECT *, CASE WHEN q > 0 THEN array_to_string(toks[1:q], '_')
+                 WHEN cnt > 0 THEN array_to_string(toks[1:cnt], '_') ELSE token END AS cand FROM f4
 ),
 f6 AS (
   SELECT *, CASE WHEN q > 0 THEN pos + q - 1
@@ -345,10 +345,10 @@ walk AS (
 hidden AS (SELECT rowkey, unnest(generate_series(pos + 1, last)) AS pos FROM walk WHERE last > pos),
 entry0 AS (
   SELECT f.rowkey, f.pos, f.name_end, f.nlen, f.n,
-         CASE WHEN w.late THEN array_to_string(toks[f.pos + 1:w.last + 1], '_')
-              WHEN nlen > 0 THEN array_to_string(toks[f.pos + 1:f.pos + 1 + nlen], '_') ELSE text END AS token,
-         CASE WHEN w.late THEN lower(array_to_string(toks[f.pos + 1:w.last + 1], '_')) || '/W'
-              WHEN nlen > 0 THEN lower(array_to_string(toks[f.pos + 1:f.pos + 1 + nlen], '_')) || '/' || ntag
+         CASE WHEN w.late THEN array_to_string(toks[1:w.last - f.pos + 1], '_')
+              WHEN nlen > 0 THEN array_to_string(toks[1:1 + nlen], '_') ELSE text END AS token,
+         CASE WHEN w.late THEN lower(array_to_string(toks[1:w.last - f.pos + 1], '_')) || '/W'
+              WHEN nlen > 0 THEN lower(array_to_string(toks[1:1 + nlen], '_')) || '/' || ntag
               WHEN name_end = f.pos AND marktag IS NOT NULL THEN f.token || '/' || marktag
               WHEN name_end = f.pos AND num THEN f.token || '/Z'
               WHEN regexp_matches(text, '\\S_\\S') THEN lower(text) || '/NNP'
