@@ -45,6 +45,8 @@ NOISE = (
     (" ed ", " THE DOG "),
     (" ti ", " 3 kg May the 3 , 2015 "),
     (" th ", " 7 kg june 7 2016 and May 3 2015 "),
+    (" st ", " e.g. Dr. Smith A.B. "),
+    (" er ", " not very good "),
 )
 
 
@@ -526,5 +528,5 @@ STAGES = {
 }
 
 
-def after(stage: str, select: str, posts: str = POSTS) -> str:
-    return "WITH RECURSIVE " + ",\n".join(s.strip() for s in (posts, *STAGES[stage][1:])) + "\n" + select
+def after(stage: str, select: str, posts: str = POSTS, stages: dict = STAGES) -> str:
+    return "WITH RECURSIVE " + ",\n".join(s.strip() for s in (posts, *stages[stage][1:])) + "\n" + select

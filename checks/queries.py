@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.oracle import NOISE, _coarse, _noisy, after
+from checks.oracle_fixed import STAGES as FIXED
 from tidemark.config import EngineConfig, settle, shared_folder
 from tidemark.functions import text
 from tidemark.jobs import run_batch
@@ -509,12 +510,27 @@ def job_batch(spark, sf_dir):
     return sink.read_sentiment(spark, f"{folder}/out")
 
 
-@query()
+@query(
+    after(
+        "scored",
+        "SELECT rowkey, sentiment, CASE WHEN hits > 0 THEN CAST(round(1e6 / (1 + exp(neg - pos))) AS BIGINT) ELSE -1 END AS p_positive "
+        "FROM total JOIN sentiment USING (rowkey)",
+        stages=FIXED,
+    )
+)
 def sentiment_fixed(spark, sf_dir):
-    return build_pipeline(posts(spark, sf_dir), resources(spark), fixed=True)
+    done = build_pipeline(posts(spark, sf_dir), resources(spark), fixed=True)
+    millionths = F.round(F.col("p_positive") * 1e6).cast("bigint")
+    return done.select("rowkey", "sentiment", F.coalesce(millionths, F.lit(-1).cast("bigint")).alias("p_positive"))
 
 
-@query()
+@query(
+    after(
+        "tagged",
+        "SELECT rowkey, CAST(row_number() OVER (PARTITION BY rowkey ORDER BY ln) - 1 AS INTEGER) AS i, token, lemma, tag FROM tagged",
+        stages=FIXED,
+    )
+)
 def pos_tags_fixed(spark, sf_dir):
     done = annotate(english(spark, sf_dir), resources(spark), fixed=True)
     return text.rows_of(done, "tagged", "i", "x", "rowkey").select(
