@@ -1,7 +1,9 @@
 """Headline queries at one scale; prints one JSON line.
 
-The lookup tables are published before timing, as once per session. Results go
-to Spark's no-op sink: all rows are computed and none pass through the driver.
+Results go to Spark's no-op sink: all rows are computed and none pass through
+the driver. The table is one file of one row group, so it is dealt to a number
+of partitions that the bench names. What is done once per session (publishing
+the lookup tables, building the stage expressions) is timed and in the total.
 """
 
 from __future__ import annotations
@@ -34,13 +36,14 @@ def main() -> None:
             "spark.master": f"local[{cpus}]",
             "spark.driver.memory": os.environ.get("BENCH_MEMORY", "16g"),
             "spark.sql.shuffle.partitions": cpus,
+            "spark.tidemark.input_partitions": str(3 * int(cpus)),
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
     start = time.perf_counter()
-    resources(spark).in_row()
+    resources(spark).publish()
     QUERIES["sentiment_end_to_end"](spark, sf_dir).limit(0).count()
     setup = round(time.perf_counter() - start, 3)
     times = {}
@@ -51,8 +54,8 @@ def main() -> None:
     print(
         json.dumps(
             {
-                "metric": "total wall time of the headline queries",
-                "value": round(sum(times.values()), 3),
+                "metric": "total wall time of the headline queries and their set-up",
+                "value": round(setup + sum(times.values()), 3),
                 "unit": "sec",
                 "queries": times,
                 "setup": setup,

@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -177,3 +179,15 @@ def test_config(spark):
     spark.conf.set("spark.tidemark.language", "es")
     assert EngineConfig.from_session(spark).language == "es"
     spark.conf.unset("spark.tidemark.language")
+
+
+@pytest.mark.parametrize("unit", ["Re nt ou the dog runs . ", "x 5 dollars "])
+def test_a_long_post_costs_in_proportion(bundled, posts, unit):
+    def seconds(words):
+        df = posts(unit * (words // len(unit.split())))
+        start = time.perf_counter()
+        build_pipeline(df, bundled).collect()
+        return time.perf_counter() - start
+
+    seconds(100)
+    assert seconds(96_000) <= 5 * seconds(24_000) + 1

@@ -17,10 +17,12 @@ LOWER = "[a-záéíóúàèìòùâêîôûñçü]"
 
 
 _built: dict = {}
+#: Expressions kept; beyond it the one built first is let go.
+_MOST_BUILT = 64
 
 
 def build_once(build: Callable[..., Column], *args) -> Column:
-    """``build(*args)``, kept for the life of the Spark application.
+    """``build(*args)``, kept while the Spark application uses it.
 
     An expression names columns, not frames, so one serves every frame. The
     stage expressions hold thousands of nodes, each a call into the JVM, and
@@ -29,10 +31,20 @@ def build_once(build: Callable[..., Column], *args) -> Column:
     context = SparkContext._active_spark_context
     key = (context and context.applicationId, build, args)
     if key not in _built:
+        while len(_built) >= _MOST_BUILT:
+            del _built[next(iter(_built))]
         _built[key] = build(*args)
     return _built[key]
 
 
+def few(rows: DataFrame, what: str, most: int = 10_000) -> list:
+    """The rows of a table that goes into an expression; over ``most`` is an error."""
+    found = rows.limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"over {most} {what}")
+    return found
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Bind ``value`` once and use it many times inside ``body``.
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.lookup import Lookup, Probe, drop_bound
-from tidemark.functions.text import build_once, float32, scan
+from tidemark.functions.text import build_once, few, float32, scan
 from tidemark.operators.normalize import NEGATIVE as NEGATIVE_MARK
 from tidemark.operators.normalize import POSITIVE as POSITIVE_MARK
 from tidemark.sources.resources import Model
@@ -71,10 +71,10 @@ class PolarityTables:
 
     def __init__(self, lexicon: DataFrame, model: Model, **bounds):
         self.n_docs = model.n_docs.select("n_docs").first()[0]
-        prior = {r["cat"]: r["p"] for r in model.prior.collect()}
+        prior = {r["cat"]: r["p"] for r in few(model.prior.filter(F.col("cat").isin(POSITIVE, NEGATIVE)), "priors")}
         self.prior = {c: prior[c] for c in (POSITIVE, NEGATIVE)}
-        words = model.lists.groupBy("name").agg(F.collect_list("word").alias("words")).collect()
-        self.lists = {r["name"]: sorted(set(r["words"])) for r in words}
+        listed = few(model.lists.filter(F.col("name").isin(*LISTS)).distinct(), "listed words")
+        self.lists = {n: sorted(r["word"] for r in listed if r["name"] == n) for n in {r["name"] for r in listed}}
         self.smooth = F.ln(float32(F.lit(1.0) / F.lit(float(self.n_docs))))
         self.scores = Lookup(
             word_scores(lexicon, model),

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.lookup import Lookup, Probe, drop_bound
-from tidemark.functions.text import build_once, float32, let, scan
+from tidemark.functions.text import build_once, few, float32, let, scan
 from tidemark.schema import TAGGED
 from tidemark.sources.resources import Model
 
@@ -60,7 +60,7 @@ class PosTables:
             by_feat, "feat", F.struct(F.col("lp"), veto.alias("veto")), **bounds
         )
         self.prior = Lookup(model.prior, "cat", F.col("p"), **bounds)
-        known = model.prior.filter(F.col("cat").isin(*OPEN_CLASSES)).collect()
+        known = few(model.prior.filter(F.col("cat").isin(*OPEN_CLASSES)), "open classes", len(OPEN_CLASSES))
         self.open_prior = {c: 0.0 for c in OPEN_CLASSES} | {r["cat"]: r["p"] for r in known}
 
 

@@ -22,13 +22,13 @@ def _model(examples: DataFrame, lists: DataFrame | None = None) -> Model:
     """Model from rows ``(cat, feats)``, one per labelled thing.
 
     The examples sit behind the whole text pipeline, so one aggregate counts
-    both the classes and the features. ``own`` marks the classes' own rows: as
+    both the classes and the features; a thing without a class is no example. ``own`` marks the classes' own rows: as
     it is an aggregate, no filter on it moves below the exchange, and the plan
     reuses one exchange for all that is taken from the counts.
     """
     feats = F.concat(F.array(F.lit(CLASS)), F.col("feats"))
     counts = (
-        rows_of(examples, feats, "i", "feat", "cat")
+        rows_of(examples.filter("cat is not null"), feats, "i", "feat", "cat")
         .groupBy("feat", "cat")
         .agg(F.count("*").alias("n"), F.max(F.col("feat") == CLASS).alias("own"))
     )
