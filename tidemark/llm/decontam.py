@@ -8,13 +8,14 @@ all of them out; its hash then agrees, and hits are verified token by token.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
-from itertools import combinations
+from functools import reduce
+from itertools import chain, combinations
 
 import numpy as np
 import pyarrow as pa
-import regex
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,10 +28,10 @@ WINDOW, AGREE = 13, 0.8
 LEAST_TOKENS = 5
 #: Bits of the prefilter, as a power of two: its size is fixed, 8 MB.
 FILTER_BITS = 26
-_KNOWN_TOKENS = 1 << 18
-_BLOCK = 1 << 17
+_KNOWN_TOKENS, _KNOWN_LENGTH = 1 << 18, 40
+_BLOCK = 1 << 15
 
-_words = regex.compile(r"[\p{L}\p{N}]+").findall
+_words = re.compile(r"[^\W_]+").findall
 
 
 def tokens(text: str | None) -> list[str]:
@@ -66,18 +67,22 @@ def masks(length: int) -> list[Mask]:
 
 
 class TokenHashes(dict):
-    """Token to 64-bit hash; forgets all when it holds too many."""
+    """What stands between white space, to the 64-bit hashes of its tokens.
 
-    def __missing__(self, token: str) -> int:
-        if len(self) > _KNOWN_TOKENS:
-            self.clear()
-        value = self[token] = xxhash.xxh64_intdigest(token.encode())
-        return value
+    It remembers the short ones, and forgets all when it holds too many.
+    """
+
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        found = tuple(xxhash.xxh64_intdigest(t.encode()) for t in tokens(word))
+        if len(word) <= _KNOWN_LENGTH:
+            if len(self) > _KNOWN_TOKENS:
+                self.clear()
+            self[word] = found
+        return found
 
 
 def token_hashes(text: str | None, known: TokenHashes) -> np.ndarray:
-    found = tokens(text)
-    return np.fromiter((known[t] for t in found), np.uint64, len(found))
+    return np.fromiter(chain.from_iterable(map(known.__getitem__, (text or "").split())), np.uint64)
 
 
 def _odd(*parts_: int) -> np.uint64:
@@ -95,8 +100,9 @@ def seed_hashes(h: np.ndarray, length: int) -> list[np.ndarray]:
         sums[i % chosen[0].groups] += h[i : i + n] * _odd(length, i)
     out = []
     for mask in chosen:
-        mixed = sums[list(mask.kept)].sum(axis=0, dtype=np.uint64) * _odd(length, -1, mask.number)
-        out.append(mixed ^ (mixed >> np.uint64(29)))
+        mixed = reduce(np.add, [sums[k] for k in mask.kept]) * _odd(length, -1, mask.number)
+        mixed ^= mixed >> np.uint64(29)
+        out.append(mixed)
     return out
 
 
@@ -149,65 +155,73 @@ _REGION = (
 )
 
 
-def _hits(table: np.ndarray, h: np.ndarray, lengths: list[int]) -> list[tuple[np.ndarray, np.ndarray, int]]:
+_HITS = pa.list_(pa.struct([("start", pa.int32()), ("seed", pa.int64()), ("length", pa.int32())]))
+
+
+def _hits(table: np.ndarray, h: np.ndarray, lengths: list[int]) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
     """(starts, seeds, length) of the windows in ``h`` whose seed passes."""
 
-    def passes(seeds: np.ndarray) -> np.ndarray:
-        one, two = _bits_of(seeds)
-        at = np.flatnonzero((table[one >> np.uint64(3)] >> (one & np.uint64(7)).astype(np.uint8)) & 1)
-        two = two[at]
-        return at[((table[two >> np.uint64(3)] >> (two & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)]
+    def passes(bits: np.ndarray) -> np.ndarray:
+        return ((table[bits >> np.uint64(3)] >> (bits & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
 
-    out = []
-    for length in lengths:
-        for found in seed_hashes(h, length):
-            at = passes(found)
-            if len(at):
-                out.append((at, found[at], length))
-    return out
+    for start in range(0, len(h), _BLOCK):
+        for length in lengths:
+            for found in seed_hashes(h[start : start + _BLOCK + length - 1], length):
+                one, two = _bits_of(found)
+                at = np.flatnonzero(passes(one))
+                at = at[passes(two[at])]
+                if len(at):
+                    yield at + start, found[at], length
 
 
 def _search(table, lengths: list[int], longest: int) -> Callable:
     """Documents to their regions: runs of hits with ``longest`` tokens around.
 
-    A region's hits are listed beside the token hashes that verifying needs.
+    The documents of a part are searched as one row of tokens; a window that
+    reaches over a document's end is no hit. A region's hits are listed beside
+    the token hashes that verifying needs.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, bits = TokenHashes(), table.value
-        reach = max(lengths, default=0) - 1
+        reach = max(lengths, default=0)
         for part in parts(batches, "text"):
+            each = [token_hashes(t.as_py(), known) for t in column_of(part, "text")]
+            ends = np.cumsum([0, *map(len, each)])
+            h = np.concatenate(each)
+            hits: dict[int, list[tuple[int, int, int]]] = {}
+            for at, seeds, length in _hits(bits, h, lengths):
+                doc = np.searchsorted(ends, at, "right") - 1
+                inside = at + length <= ends[doc + 1]
+                for d, start, seed in zip(doc[inside].tolist(), (at - ends[doc])[inside].tolist(), seeds[inside].view(np.int64).tolist()):
+                    hits.setdefault(d, []).append((start, seed, length))
+            if not hits:
+                continue
             ids, keys = column_of(part, "doc_id").to_pylist(), column_of(part, "text_key").to_pylist()
-            rows: list[tuple] = []
-            for doc_id, key, text in zip(ids, keys, column_of(part, "text")):
-                h = token_hashes(text.as_py(), known)
-                hits = []
-                for start in range(0, len(h), _BLOCK):
-                    for at, seeds, length in _hits(bits, h[start : start + _BLOCK + reach], lengths):
-                        here = at < _BLOCK
-                        hits += zip((at[here] + start).tolist(), seeds[here].view(np.int64).tolist(), [length] * int(here.sum()))
-                hits.sort()
-                for number, run_ in enumerate(_runs(hits, longest)):
+            rows = []
+            for d, found in hits.items():
+                for number, run_ in enumerate(_runs(sorted(found), longest)):
                     first = max(0, run_[0][0] - longest)
-                    around = h[first : run_[-1][0] + longest + reach + 1].view(np.int64)
-                    rows.append((doc_id, key, number, first, around, run_))
-            if rows:
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([r[0] for r in rows], pa.int64()),
-                        pa.array([r[1] for r in rows], pa.int64()),
-                        pa.array([r[2] for r in rows], pa.int32()),
-                        pa.array([r[3] for r in rows], pa.int32()),
-                        pa.array([r[4] for r in rows], pa.list_(pa.int64())),
-                        pa.array([[{"start": s, "seed": v, "length": n} for s, v, n in r[5]] for r in rows], _HITS),
-                    ],
-                    ["doc_id", "text_key", "region", "first", "hashes", "hits"],
-                )
+                    around = each[d][first : run_[-1][0] + longest + reach].view(np.int64)
+                    rows.append((ids[d], keys[d], number, first, around, [{"start": s, "seed": v, "length": n} for s, v, n in run_]))
+            types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()), _HITS]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(c), t) for c, t in zip(zip(*rows), types)], ["doc_id", "text_key", "region", "first", "hashes", "hits"]
+            )
 
     return run
 
 
-_HITS = pa.list_(pa.struct([("start", pa.int32()), ("seed", pa.int64()), ("length", pa.int32())]))
+def _runs(hits: list[tuple], longest: int) -> Iterator[list[tuple]]:
+    """Hits, by start, cut where the next one is over ``longest`` tokens away."""
+    held: list[tuple] = []
+    for hit in hits:
+        if held and (hit[0] - held[-1][0] > longest or hit[0] - held[0][0] > 64 * longest):
+            yield held
+            held = []
+        held.append(hit)
+    if held:
+        yield held
 
 
 def _runs(hits: list[tuple], longest: int) -> Iterator[list[tuple]]:
