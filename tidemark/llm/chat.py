@@ -126,8 +126,8 @@ def link_calls(calls: DataFrame, results: DataFrame, tools: DataFrame) -> DataFr
 
     In a conversation, (level, kind, turn, call_id) is a topological order: a
     call comes after the call that it names, and a result after its call. The
-    least row (turn, name, arguments, after) of a call id counts, others are
-    'duplicate'. Repeated rows count once. ``status`` is 'answered',
+    least row (turn, name, SHA-256 of the arguments, after) of a call id counts,
+    others are 'duplicate'. Repeated rows count once. ``status`` is 'answered',
     'unanswered' or 'duplicate' for calls and 'linked' or 'orphan' for results;
     ``errors`` joins what validating found, then 'cycle' or 'dangling'. A call
     id that is null links to nothing. Empty tables give no rows; extra columns
@@ -136,22 +136,28 @@ def link_calls(calls: DataFrame, results: DataFrame, tools: DataFrame) -> DataFr
     calls = plain(calls, "conv_id", "call_id", "turn", "name", "arguments", "after").distinct()
     results = plain(results, "conv_id", "call_id", "turn", "content").distinct()
     calls, results = settled(calls, "calls"), settled(results, "results")
-    body = F.struct("turn", "name", "arguments", "after")
-    firsts = settled(calls.filter("call_id is not null").groupBy("conv_id", "call_id").agg(F.min(body).alias("b")), "firsts")
-    firsts = firsts.select("conv_id", "call_id", "b.*")
-    placed = levels(firsts)
+    # A row is compared by its digest, so arguments only move where rows are made.
+    body = F.struct("turn", "name", F.sha2("arguments", 256).alias("digest"), "after")
+    firsts = calls.filter("call_id is not null").groupBy("conv_id", "call_id").agg(F.min(body).alias("chosen"))
+    firsts = settled(firsts, "firsts")
+    placed = levels(firsts.select("conv_id", "call_id", "chosen.after"))
+    placed = placed.select(F.col("conv_id").alias("p_conv"), F.col("call_id").alias("p_call"), "level", "order")
     answers = results.filter("call_id is not null").groupBy("conv_id", "call_id").agg(F.count("*").alias("answers"))
-    state = placed.join(answers, _same(placed, answers, ("conv_id", "conv_id"), ("call_id", "call_id")), "left").select(
-        placed["conv_id"].alias("f_conv"), placed["call_id"].alias("f_call"), "level", "order", F.col("answers").isNotNull().alias("answered")
+    answers = answers.select(F.col("conv_id").alias("a_conv"), F.col("call_id").alias("a_call"), "answers")
+    met = firsts.join(placed, _same(firsts, placed, ("conv_id", "p_conv")) & (firsts["call_id"] == placed["p_call"]))
+    met = met.join(answers, _same(met, answers, ("conv_id", "a_conv")) & (met["call_id"] == answers["a_call"]), "left")
+    state = met.select(
+        F.col("conv_id").alias("f_conv"),
+        F.col("call_id").alias("f_call"),
+        "level",
+        "order",
+        "chosen",
+        F.col("answers").isNotNull().alias("answered"),
     )
     state = settled(state, "state")
-    chosen = firsts.select(
-        F.col("conv_id").alias("c_conv"), F.col("call_id").alias("c_call"), F.struct("turn", "name", "arguments", "after").alias("chosen")
-    )
     checked = validated(calls, tools)
-    met = checked.join(state, _same(checked, state, ("conv_id", "f_conv"), ("call_id", "f_call")), "left")
-    met = met.join(chosen, _same(met, chosen, ("conv_id", "c_conv"), ("call_id", "c_call")), "left")
-    first = F.coalesce(F.col("chosen").eqNullSafe(F.struct("turn", "name", "arguments", "after")) & F.col("chosen").isNotNull(), F.lit(False))
+    met = checked.join(state, _same(checked, state, ("conv_id", "f_conv")) & (checked["call_id"] == state["f_call"]), "left")
+    first = F.col("chosen").isNotNull() & F.col("chosen").eqNullSafe(body)
     status = (
         F.when(F.col("call_id").isNull(), "unanswered")
         .when(~first, "duplicate")
