@@ -47,6 +47,7 @@ NOISE = (
     (" th ", " 7 kg june 7 2016 and May 3 2015 "),
     (" st ", " e.g. Dr. Smith A.B. "),
     (" er ", " not very good "),
+    (" ea ", " hate that dog "),
 )
 
 
