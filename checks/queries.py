@@ -52,9 +52,12 @@ def resources(spark: SparkSession) -> Resources:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    parts = spark.conf.get(PARTS, None)
-    return docs.repartition(int(parts)) if parts else docs
+    return dealt(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def dealt(rows: DataFrame) -> DataFrame:
+    parts = rows.sparkSession.conf.get(PARTS, None)
+    return rows.repartition(int(parts)) if parts else rows
 
 
 def _noise(column: Column) -> Column:
@@ -469,7 +472,7 @@ en AS (SELECT rowkey, content FROM posts WHERE rowkey IS NOT NULL AND content IS
 def sentiment_upsert(spark, sf_dir):
     # Every turn writes its conversation's key. Roles are separate writes, each of
     # which lacks keys of the others, and later turns come in later writes.
-    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select(
+    turns = dealt(spark.read.parquet(f"{sf_dir}/conversations.parquet")).select(
         F.concat_ws("_", F.col("conv_id"), F.col("turn")).alias("rowkey"),
         _noise(F.col("text")).alias("content"),
         F.lit("en").alias("language"),

@@ -138,29 +138,36 @@ def scan(
         return pair(F.struct(state.alias("state"), out.alias("out")), outs)
 
     # Each step appends what the step before it emitted, so nothing is bound twice.
-    def run_block(state: Column, items_in_block: Column) -> Column:
+    def run_block(state: Column, items_in_block: Column, size: Column) -> Column:
         return F.aggregate(
             items_in_block,
             start(state, none, empty),
             lambda acc, item: pair(step(acc["last"]["state"], item), appended(acc)),
             lambda acc: F.struct(
                 acc["last"]["state"].alias("state"),
-                F.slice(appended(acc), F.lit(2), F.size(items_in_block)).alias("out"),
+                F.slice(appended(acc), F.lit(2), size).alias("out"),
             ),
         )
 
+    # Blocks are cut where they are read: a list of blocks would copy every item.
     def blocks(xs: Column) -> Column:
-        def cut_by(block: Column) -> Column:
+        def over(block: Column) -> Column:
             last = F.floor((F.size(xs) - 1) / block).cast("int")
-            return F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(xs, b * block + 1, block))
-
-        cut = let(F.ceil(F.sqrt(F.size(xs))).cast("int"), cut_by)
-        every = F.aggregate(
-            cut,
-            start(state, empty, empty_blocks),
-            lambda acc, part: pair(run_block(acc["last"]["state"], part), appended(acc)),
-            lambda acc: F.flatten(appended(acc)),
-        )
+            return F.aggregate(
+                F.sequence(F.lit(0), last),
+                start(state, empty, empty_blocks),
+                lambda acc, b: pair(
+                    run_block(
+                        acc["last"]["state"],
+                        F.slice(xs, b * block + 1, block),
+                        F.least(block, F.size(xs) - b * block),
+                    ),
+                    appended(acc),
+                ),
+                lambda acc: F.flatten(appended(acc)),
+            )
+
+        every = let(F.ceil(F.sqrt(F.size(xs))).cast("int"), over)
         return F.when(F.size(xs) > 0, every).otherwise(empty)
 
     return let(items, blocks)

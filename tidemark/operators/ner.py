@@ -527,16 +527,7 @@ def _choose(outcomes: Column) -> Column:
             return F.struct(
                 F.when(F.size(kept) > 0, (end + 1).cast("int")).otherwise(0).alias("free"),
                 F.when(F.size(kept) > 0, claim(last)["name_end"]).otherwise(-1).alias("name_end"),
-                F.transform(
-                    kept,
-                    lambda k: F.struct(
-                        k["lead"].alias("lead"),
-                        k["start"].alias("start"),
-                        F.when(k["late"], claim(k)["late"]["entry"])
-                        .otherwise(F.get(outcomes, k["at"])["entry"])
-                        .alias("entry"),
-                    ),
-                ).alias("kept"),
+                kept.alias("kept"),
             )
 
         return let(let(asked, step), finish)
@@ -561,14 +552,24 @@ def recognise_tokens(tokens: Column, probe: Probe, fixed: bool = False) -> Colum
 
     def pieces(info: Column, outcomes: Column, chosen: Column) -> Column:
         size = F.size(info)
-        plain = lambda lo, n: F.transform(F.slice(outcomes, lo + 1, n), lambda o: o["entry"])
+        # Places first, then one entry for each: lists of entries would copy them at each joint.
+        place = lambda i, late: F.struct(i.cast("int").alias("i"), late.alias("late"))
+        none = F.expr("cast(array() as array<struct<i:int,late:boolean>>)")
+        upto = lambda lo, hi: F.when(
+            hi > lo, F.transform(F.sequence(lo, hi - 1), lambda i: place(i, F.lit(False)))
+        ).otherwise(none)
         held = F.flatten(
             F.transform(
                 chosen["kept"],
-                lambda c: F.concat(plain(c["lead"], c["start"] - c["lead"]), F.array(c["entry"])),
+                lambda c: F.concat(upto(c["lead"], c["start"]), F.array(place(c["at"], c["late"]))),
             )
         )
-        rest = plain(chosen["free"], size - chosen["free"])
+        rest = upto(chosen["free"], size)
+
+        def entry(p: Column) -> Column:
+            o = F.get(outcomes, p["i"])
+            return F.when(p["late"], o["claim"]["late"]["entry"]).otherwise(o["entry"])
+
         last = F.element_at(info, -1)["t"]
         # A post ending inside a number gets no closing mark in compat.
         closes = (last != ".") & (last != "")
@@ -580,7 +581,7 @@ def recognise_tokens(tokens: Column, probe: Probe, fixed: bool = False) -> Colum
             )
         )
         nothing = F.expr(f"cast(array() as {RECOGNISED})")
-        body = F.filter(F.concat(held, rest), lambda e: e["token"] != "")
+        body = F.filter(F.transform(F.concat(held, rest), entry), lambda e: e["token"] != "")
         return F.concat(body, F.when(closes, blank).otherwise(nothing))
 
     def run(info: Column) -> Column:

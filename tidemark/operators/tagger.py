@@ -268,24 +268,6 @@ def all_scores(lines: Column, tables: PosTables, cond: Probe, prior: Probe) -> C
 def tag_lines(
     lines: Column, tables: PosTables, cond: Probe, prior: Probe, fixed: bool = False
 ) -> Column:
-    no_evidence = F.filter(
-        F.transform(F.expr("cast(array() as array<string>)"), cond), lambda v: v.isNotNull()
-    )
-
-    def prepare(xs: Column) -> Column:
-        def one(x: Column, i: Column) -> Column:
-            choice = x["kind"].isin(1, 2)
-            starts = _starts_sentence(xs, i)
-            word = _word(x, starts)
-            right = F.when(choice, _known(cond, _right_features(xs, x, i, word, fixed)))
-            return F.struct(
-                x.alias("x"),
-                starts.alias("starts"),
-                F.coalesce(right, no_evidence).alias("right"),
-            )
-
-        return F.transform(xs, one)
-
     def emit(left: Column, token: Column, lemma: Column, tag: Column) -> Column:
         return F.struct(
             left.alias("state"),
@@ -312,21 +294,26 @@ def tag_lines(
             lambda b: emit(b["c"], x["token"], b["lemma"], b["fine"]),
         )
 
-    def step(left: Column, item: Column) -> Column:
-        x = item["x"]
-        before = F.when(item["starts"], F.lit(BEGIN)).otherwise(left)
-        from_left = _known(cond, _left_features(before, _word(x, item["starts"])))
-        evidence = F.when(before != "", F.concat(item["right"], from_left)).otherwise(item["right"])
+    # The pass goes over places, not lines: a list of prepared lines would copy them all.
+    def step(left: Column, i: Column) -> Column:
+        x, starts = F.get(lines, i), _starts_sentence(lines, i)
+        word = _word(x, starts)
+        right = _known(cond, F.coalesce(_right_features(lines, x, i, word, fixed), no_names))
+        before = F.when(starts, F.lit(BEGIN)).otherwise(left)
+        from_left = let(before, lambda b: F.when(b != "", _known(cond, _left_features(b, word))))
         settled = emit(
             F.coalesce(F.get(x["cands"], F.lit(0))["c"], F.lit("")), x["token"], x["lemma"], x["tag"]
         )
+        evidence = let(from_left, lambda l: F.when(l.isNotNull(), F.concat(right, l)).otherwise(right))
         return (
             F.when(x["kind"] == 2, let(evidence, lambda e: unknown(x, e)))
             .when(x["kind"] == 1, let(evidence, lambda e: several(x, e)))
             .otherwise(settled)
         )
 
-    return scan(prepare(lines), F.lit(""), step, TAGGED[len("array<") : -1])
+    no_names = F.expr("cast(array() as array<string>)")
+    places = F.transform(lines, lambda _, i: i)
+    return scan(places, F.lit(""), step, TAGGED[len("array<") : -1])
 
 
 def _lines(fixed: bool) -> Column:
