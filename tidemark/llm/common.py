@@ -6,23 +6,10 @@ import uuid
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share, from ``spark.checkpoint.dir``.
-
-    Where the session names none, a local session (as in tests) uses its
-    warehouse folder; any other session must name one.
-    """
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        if named is None and not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(named or spark.conf.get("spark.sql.warehouse.dir"))
-    return context.getCheckpointDir()
+from tidemark.config import shared_folder
 
 
 def settled(df: DataFrame, name: str) -> DataFrame:

@@ -75,7 +75,6 @@ def interleave(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataF
     placed = placed.withColumn("bucket", F.least(F.floor(F.col("share") * buckets), F.lit(buckets - 1)))
     placed = settled(placed, "placed")
     along = _numbered(placed, [], ["share", "source", "h", "doc_id", "text_crc32", "size"])
-    shard = F.floor(F.col("rank") * shards / total) if total else F.lit(0)
     shard = F.expr(f"rank * {shards} div {max(total, 1)}")
     cut = along.withColumn("shard", shard)
     first = F.expr(f"(shard * {total} + {shards - 1}) div {shards}")
