@@ -68,3 +68,9 @@ def test_live_index(docs):
     after = ed.apply_changes(index, docs((4, "d")), docs((1, "ab"), (3, "c"), (9, "never")), parts=4)
     seen = {r.text: r.seen for r in ed.contains(after, docs((1, "ab"), (2, "c"), (3, "d"), (4, None))).collect()}
     assert seen == {"ab": True, "c": False, "d": True, None: False}
+
+
+def test_a_column_named_text_key(docs):
+    rows = docs((1, "a b"), (2, "ab"), (3, "c"), (3, "c")).withColumn("text_key", F.lit("mine"))
+    got = ed.drop_exact_duplicates(rows).collect()
+    assert sorted((r.doc_id, r.text_key) for r in got) == [(1, "mine"), (3, "mine")]

@@ -70,10 +70,10 @@ def keep_rows(docs: DataFrame, decisions: DataFrame) -> DataFrame:
     )
     kept = settled(kept, "kept")
     keyed = docs.withColumn("__key", F.xxhash64("text"))
-    on = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("text_key"))
+    on = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__side_key"))
 
     def held(rule: str) -> DataFrame:
-        side = kept.filter(rule).select(F.col("doc_id").alias("__id"), "text_key")
+        side = kept.filter(rule).select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__side_key"))
         return keyed.join(side, on, "left_semi")
 
     twins = held("copies > 1").dropDuplicates(["doc_id", "__key"])
