@@ -91,3 +91,13 @@ def test_edge_cases(docs):
     assert got[1] == got[2] == [] and [tuple(s) for s in got[3]] == [("assign", 400_000, 400_019)]
     assert [tuple(s) for s in got[None]] == [("access", 0, 16)] and [s.kind for s in got[4]] == ["guess"]
     assert secrets.find_secrets(docs().limit(0)).count() == 0
+
+
+def test_values_of_letters_and_context_inside_dropped_values():
+    def found(text):
+        return [text[s:e] for s, e, _ in secrets.added_spans(text, secrets.base_spans(text))]
+
+    assert found("pwd: QxZkVbNmLpTr") == ["QxZkVbNmLpTr"]
+    assert found("login: password is xK9#mQ2$vL7p") == ["xK9#mQ2$vL7p"]
+    assert found("key: token=abcdefgh12;pwd:tR5!vB8nW3kZ6") == ["tR5!vB8nW3kZ6"]
+    assert found("the key: international pressure; auth: government, login: Something") == []

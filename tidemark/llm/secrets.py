@@ -8,11 +8,13 @@ after a credential word that would take too many guesses is a secret.
 
 from __future__ import annotations
 
+import base64
 import math
 import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
+import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -43,7 +45,16 @@ _WORDS = (
     "token api key access auth bearer basic private public server client database mysql postgres oracle redis cloud local host "
     "http https www com org net file path config env variable the and for with this that from are was have not you all"
 ).split()
-_RANK = {w: i + 1 for i, w in enumerate(dict.fromkeys(_WORDS))}
+
+
+def _common_words() -> list[str]:
+    """The whole words, of four letters or more, among the public ranks: the most frequent first."""
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as lines:
+        tokens = [base64.b64decode(line.split()[0]) for line in lines if line.strip()]
+    return [t[1:].decode().lower() for t in tokens if len(t) > 4 and t[:1] == b" " and t[1:].isalpha()]
+
+
+_RANK = {w: i + 1 for i, w in enumerate(dict.fromkeys([*_WORDS, *_common_words()]))}
 _LONGEST_WORD = max(map(len, _RANK))
 _PLAIN = str.maketrans("@4310$57!", "aaeiosstl"[:9])
 _DATE = re.compile(r"(?:(?:19|20)\d\d[-/._]?(?:0?[1-9]|1[0-2])[-/._]?(?:[0-2]?\d|3[01])|(?:[0-2]?\d|3[01])[-/._]?(?:0?[1-9]|1[0-2])[-/._]?(?:19|20)\d\d|(?:19|20)\d\d)")
@@ -150,17 +161,17 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 def added_spans(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
     """Values in credential context that cost too much and no base match holds."""
-    found = []
-    for m in _CONTEXT.finditer(text):
-        start, end = m.span(2)
+    found, at = [], 0
+    while m := _CONTEXT.search(text, at):
+        start = m.start(2)
         value = m[2].rstrip(".!?)]}:")
         end = start + len(value)
-        if len(value) < 6 or not any(c.isdigit() or not c.isalnum() for c in value):
-            continue  # plain words after a colon are prose
-        if any(s < end and start < e for s, e, _ in base):
+        at = start  # a credential word inside a dropped value has a value of its own
+        if len(value) < 6 or any(s < end and start < e for s, e, _ in base):
             continue
         if _costly(value) if len(value) <= BLOCK else guess_cost(value) >= LEAST_COST:
             found.append((start, end, "guess"))
+            at = m.end()
     return found
 
 
