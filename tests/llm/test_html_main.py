@@ -107,3 +107,13 @@ def test_edge_cases(spark, model):
     assert (1, 0) in by and (2, 0) in by and (5, 999_999) in by
     assert h.extract(pages.limit(0), model).count() == 0
     assert h.fit(pages.limit(0)).marginals(h.parse("<p>x")[0])
+
+
+def test_open_head_and_formulas():
+    def shown(html):
+        nodes, stream = h.parse(html)
+        return " ".join("".join(" " if t == "\0" else t for n, t in stream if not nodes[n].hidden).split())
+
+    assert shown("<head><title>T</title><main><p>one two</p></main>") == "one two"
+    assert shown("<head><title>T</title><meta charset=x></head><p>one</p>") == "one"
+    assert shown("<article><p>so <math><mi>a</mi><mo>=</mo><mn>2</mn></math> holds</p></article>") == "so a=2 holds"

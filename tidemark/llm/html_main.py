@@ -30,11 +30,15 @@ _SMOOTH, _OTHER = 0.5, "#other"
 
 # Element names of the HTML standard, by how a parser treats them (fixed values).
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = frozenset("script style textarea title noscript template iframe svg math object noframes noembed xmp".split())
+_RAW = frozenset("script style textarea title noscript template iframe svg object noframes noembed xmp".split())
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong "
-    "sub sup time tt u var wbr".split()
+    "sub sup time tt u var wbr "
+    "math maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mroot mrow ms mspace msqrt mstyle msub "
+    "msubsup msup mtable mtd mtext mtr munder munderover semantics annotation".split()
 )
+#: Elements that may stand in a head; any other ends it.
+_IN_HEAD = frozenset("head base basefont bgsound link meta title style script noscript noframes template".split())
 _CLOSES_P = frozenset(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr "
     "main menu nav ol p pre section table ul".split()
@@ -58,7 +62,7 @@ _HINTS = {
 }
 _HINT_OF = {word: kind for kind, words in _HINTS.items() for word in words.split()}
 #: Elements whose text is never part of a page's text.
-_HIDDEN = frozenset("script style noscript template iframe svg math object textarea title head select button input noframes noembed".split())
+_HIDDEN = frozenset("script style noscript template iframe svg object textarea title head select button input noframes noembed".split())
 
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)(?:>|\Z)|</[^>]*(?:>|\Z)""", re.S
@@ -144,6 +148,8 @@ def parse(html: str) -> tuple[list[Node], list[tuple[int, str]]]:
                 stream.append((open_[-1], "\0"))
             close({tag}, frozenset() if tag not in _FORMATTING else _SCOPE)
             continue
+        if nodes[open_[-1]].tag == "head" and tag not in _IN_HEAD:
+            pop_to(len(open_) - 1)
         if tag == "br" or tag == "hr":
             stream.append((open_[-1], "\0" if tag == "hr" else " "))
             continue
