@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import byte_bpe, decontam, exact_dedup, near_copies, quality
+from tidemark.llm import byte_bpe, decontam, exact_dedup, quality, simhash
 from tidemark.llm.common import settled
 from tidemark.llm.queries import RANKS, table
 
@@ -26,8 +26,8 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word shingle sets at a Jaccard of 0.8 or more."""
-    return near_copies.drop_near_copies(docs)
+    """One document of each group that op7 links: three-word shingles, two bits at most."""
+    return simhash.drop_near_duplicates(docs)
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
