@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, chat, decontam, exact_dedup, html_main, language, quality, secrets, sharding, simhash
+from tidemark.llm import byte_bpe, chat, decontam, exact_dedup, html_main, language, merkle, quality, secrets, sharding, simhash, sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -154,3 +154,14 @@ def op10_secrets(spark, sf_dir):
         F.sha2(F.array_join(F.transform(base, _listed), ",").cast("binary"), 256).alias("base_sha256"),
         F.array_join(F.transform("spans", _listed), ",").alias("spans"),
     )
+
+
+@query(sql.MANIFEST)
+def op11_merkle_manifest(spark, sf_dir):
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    presented = F.when(tampered, merkle.leaf_digest(merkle.lowered()))
+    found = merkle.proofs(merkle.manifest(table(spark, sf_dir, "documents"), presented))
+    root = merkle.folded(F.coalesce("presented", "leaf"))
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof_digest().alias("proof_sha256"), root.alias("folded_root")
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
