@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, chat, decontam, exact_dedup, html_main, language, merkle, quality, secrets, sharding, simhash, sql
+from tidemark.llm import byte_bpe, chat, decontam, exact_dedup, html_main, language, merkle, quality, repair, secrets, sharding, simhash, sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -165,3 +165,9 @@ def op11_merkle_manifest(spark, sf_dir):
     return found.select(
         "doc_id", "leaf", "subroot", "root", merkle.proof_digest().alias("proof_sha256"), root.alias("folded_root")
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+@query(sql.REPAIR)
+def op13_conversation_repair(spark, sf_dir):
+    conversations = table(spark, sf_dir, "conversations")
+    return repair.repair(repair.damaged(conversations), conversations)
