@@ -8,12 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, chat, decontam, exact_dedup, html_main, language, merkle, quality, repair, secrets, sharding, simhash, sql
+from tidemark.llm import byte_bpe, chat, decontam, exact_dedup, html_main, language, merkle, packing, quality, repair, secrets, sharding, simhash, sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 #: The file of ranks; a parameter of the operators.
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+#: The same vocabulary as a file of the tokenizers library.
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def query(sql: str | None = None):
@@ -167,6 +169,11 @@ def op11_merkle_manifest(spark, sf_dir):
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+@query()
+def op12_retrieval_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"), VOCABULARY, public_tokenizers.PATTERN)
+
+
 @query(sql.REPAIR)
 def op13_conversation_repair(spark, sf_dir):
     conversations = table(spark, sf_dir, "conversations")
