@@ -77,6 +77,12 @@ def test_encoder_equals_the_library():
     dice = random.Random(3)
     letters = "abz AZ09.,'’\n\t  \r\x0b  éßñ日本🙂🙂🏽‍́<|endoftext|>"
     coder = packing.encoder(queries.VOCABULARY, public_tokenizers.PATTERN)
+    assert coder.quick is not None
+    every = [f"a{chr(c)}{chr(c)} b {chr(c)}1{chr(c)}.  {chr(c)}{chr(c)}" for c in range(0, 0x20000, 3) if not 0xD800 <= c < 0xE000]
+    for text, found in zip(every, WHOLE.encode_batch(every, add_special_tokens=False)):
+        assert coder.encode(text).tolist() == found.ids
+    blanks = " " * 3_000_000 + "x"
+    assert coder.encode(blanks).tolist() == WHOLE.encode(blanks, add_special_tokens=False).ids
     for n in range(400):
         text = "".join(dice.choice(letters) for _ in range(dice.randrange(60)))
         if n % 7 == 0:
