@@ -9,6 +9,7 @@ from __future__ import annotations
 import uuid
 from functools import reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,14 +17,14 @@ from checks.oracle import NOISE, _coarse, _noisy, after
 from checks.oracle_fixed import STAGES as FIXED
 from tidemark.config import EngineConfig, settle, shared_folder
 from tidemark.functions import text
-from tidemark.jobs import run_batch
+from tidemark.jobs import run_batch, run_stream_job
 from tidemark.operators import normalize as norm
 from tidemark.operators import routing, rowkey, sentiment, tagger, train
 from tidemark.operators.ner import Token, recognise, token_info
 from tidemark.plans.pipeline import Resources, annotate, build_pipeline, text_stages
 from tidemark.sources import sink
-from tidemark.sources.posts import stream_posts
-from tidemark.streaming.stream import run_stream
+from tidemark.sources.posts import read_unrouted, stream_posts
+from tidemark.streaming.stream import OBSERVED, run_stream
 
 #: A file of one row group is one task. Where that is too few, as on one machine
 #: with small tables, the caller may name a number of partitions here.
@@ -513,6 +514,130 @@ def job_batch(spark, sf_dir):
     return sink.read_sentiment(spark, f"{folder}/out")
 
 
+class Broken(RuntimeError):
+    """What a job meets that is made to fail once."""
+
+
+def _drained(spark: SparkSession, sf_dir: str, after_read: str) -> DataFrame:
+    """The store after a drain whose second batch fails before it is published, and a restart.
+
+    Files that a batch has consumed are archived or deleted; the checkpoint, not
+    that, makes each count once, so the failed batch is read again.
+    """
+    folder = f"{shared_folder(spark)}/drain-{uuid.uuid4().hex}"
+    posts(spark, sf_dir).repartition(6).write.parquet(f"{folder}/posts")
+    config = EngineConfig(
+        input_path=f"{folder}/posts", output_path=f"{folder}/out", max_files_per_trigger=2, after_read=after_read, archive_path=f"{folder}/done" if after_read == "archive" else ""
+    )
+    broken = []
+
+    def once(batch_id: int) -> None:
+        if batch_id == 1 and not broken:
+            broken.append(batch_id)
+            raise Broken("this batch fails on purpose")
+
+    try:
+        run_stream_job(spark, config, before_publish=once).awaitTermination()
+    except StreamingQueryException as error:
+        if "this batch fails on purpose" not in str(error):
+            raise
+    run_stream_job(spark, config, before_publish=once).awaitTermination()
+    if not broken:
+        raise AssertionError("no batch failed")
+    return sink.read_sentiment(spark, f"{folder}/out")
+
+
+@query(_SENTIMENT)
+def drain_archive(spark, sf_dir):
+    return _drained(spark, sf_dir, "archive")
+
+
+@query(_SENTIMENT)
+def drain_delete(spark, sf_dir):
+    return _drained(spark, sf_dir, "delete")
+
+
+_MIXED = """
+WITH p AS (SELECT l.doc_id AS rowkey, d.text AS content, d.lang AS language
+           FROM labels l FULL JOIN documents d ON d.doc_id = l.doc_id)
+SELECT count(*) AS posts, count(*) FILTER (WHERE language IS NULL OR language <> 'en') AS unrouted,
+       CAST(0 AS BIGINT) AS other, count(*) FILTER (WHERE language = 'en' AND rowkey IS NULL) AS null_rowkey,
+       count(*) FILTER (WHERE language = 'en' AND rowkey IS NOT NULL AND content IS NULL) AS null_content,
+       count(*) FILTER (WHERE language = 'en' AND rowkey IS NOT NULL AND content IS NOT NULL) AS scored
+FROM p
+"""
+
+
+def _mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posts keyed by their labels: a text without a label has no key."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id")
+    docs = documents(spark, sf_dir).select(F.col("doc_id").alias("d"), "text", "lang")
+    return labels.join(docs, F.col("doc_id") == F.col("d"), "full").select(
+        F.col("doc_id").cast("string").alias("rowkey"), _noise(F.col("text")).alias("content"), F.col("lang").alias("language")
+    )
+
+
+@query(_MIXED)
+def job_counts(spark, sf_dir):
+    # What the batch job observed of its input while it scored it.
+    folder = f"{shared_folder(spark)}/counts-{uuid.uuid4().hex}"
+    _mixed(spark, sf_dir).write.parquet(f"{folder}/posts")
+    seen = run_batch(spark, EngineConfig(input_path=f"{folder}/posts", output_path=f"{folder}/out"))
+    return spark.createDataFrame([seen], ", ".join(f"{n} bigint" for n in seen))
+
+
+@query(_MIXED)
+def stream_counts(spark, sf_dir):
+    # The same counts from the progress of all micro-batches.
+    folder = f"{shared_folder(spark)}/counts-{uuid.uuid4().hex}"
+    _mixed(spark, sf_dir).repartition(4).write.parquet(f"{folder}/posts")
+    job = run_stream_job(spark, EngineConfig(input_path=f"{folder}/posts", output_path=f"{folder}/out", max_files_per_trigger=2))
+    job.awaitTermination()
+    seen = [p.observedMetrics[OBSERVED].asDict() for p in job.recentProgress if OBSERVED in p.observedMetrics]
+    total = {n: sum(s[n] for s in seen) for n in seen[0]}
+    return spark.createDataFrame([total], ", ".join(f"{n} bigint" for n in total))
+
+
+@query("SELECT lang AS language, count(*) AS posts FROM documents WHERE lang IS NULL OR lang <> 'en' GROUP BY lang")
+def stream_unrouted(spark, sf_dir):
+    # The side output of a stream: one batch, two outputs.
+    folder = f"{shared_folder(spark)}/unrouted-{uuid.uuid4().hex}"
+    posts(spark, sf_dir).repartition(4).write.parquet(f"{folder}/posts")
+    config = EngineConfig(input_path=f"{folder}/posts", output_path=f"{folder}/out", unrouted_path=f"{folder}/rest", max_files_per_trigger=2)
+    run_stream_job(spark, config).awaitTermination()
+    return read_unrouted(spark, f"{folder}/rest").groupBy("language").agg(F.count("*").alias("posts"))
+
+
+_FIRST_KEYS = "(SELECT DISTINCT split_part(rowkey, '_', 1) AS rowkey FROM posts ORDER BY 1 LIMIT 5)"
+
+
+@query(
+    after(
+        "scored",
+        "SELECT rowkey, sentiment FROM (SELECT split_part(rowkey, '_', 1) AS rowkey, arg_max(sentiment, CAST(split_part(rowkey, '_', 2) AS BIGINT)) AS sentiment "
+        f"FROM sentiment GROUP BY 1) JOIN {_FIRST_KEYS} USING (rowkey)",
+        _TURNS,
+    )
+)
+def point_reads(spark, sf_dir):
+    # Five keys of a compacted store: their buckets are opened, and a later write is seen.
+    turns = dealt(spark.read.parquet(f"{sf_dir}/conversations.parquet")).select(
+        F.concat_ws("_", F.col("conv_id"), F.col("turn")).alias("rowkey"), _noise(F.col("text")).alias("content"), F.lit("en").alias("language")
+    )
+    keyed = settle(
+        build_pipeline(turns, resources(spark)).select(
+            F.split("rowkey", "_")[0].alias("rowkey"), "sentiment", F.split("rowkey", "_")[1].cast("bigint").alias("turn")
+        )
+    )
+    folder = f"{shared_folder(spark)}/points-{uuid.uuid4().hex}"
+    sink.write_sentiment(keyed.filter("turn < 2"), folder, order=F.col("turn"), salted=True)
+    sink.write_sentiment(keyed.filter("turn = 2"), folder)
+    sink.compact_sentiment(spark, folder)
+    sink.write_sentiment(keyed.filter("turn > 2"), folder, order=F.col("turn"))
+    keys = [r.rowkey for r in keyed.select("rowkey").distinct().orderBy("rowkey").limit(5).collect()]
+    return sink.read_sentiment(spark, folder, keys)
+
+
 @query(
     after(
         "scored",

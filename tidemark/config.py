@@ -16,6 +16,8 @@ class EngineConfig:
 
     ``after_read`` is what a stream does with a file that it has read:
     ``archive`` (into ``archive_path``), ``delete``, or nothing.
+    ``unrouted_path`` is where posts in unsupported languages go; without it
+    they are counted only.
 
     Each field may come from ``spark.tidemark.<field>`` in the session or from
     a ``key=value`` properties file.
@@ -32,6 +34,7 @@ class EngineConfig:
     checkpoint_path: str = ""
     after_read: str = ""
     archive_path: str = ""
+    unrouted_path: str = ""
 
     @classmethod
     def _typed(cls, raw: dict[str, str]) -> EngineConfig:

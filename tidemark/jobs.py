@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import uuid
+
+from pyspark.sql import Observation, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.config import EngineConfig
+from tidemark.operators import routing
 from tidemark.plans.pipeline import BUNDLED, Resources, build_pipeline
-from tidemark.sources.posts import read_posts, stream_posts
+from tidemark.sources.posts import read_posts, stream_posts, write_unrouted
 from tidemark.sources.sink import write_sentiment
-from tidemark.streaming.stream import run_stream
+from tidemark.streaming.stream import OBSERVED, run_stream
 
 
 def _checked(config: EngineConfig) -> EngineConfig:
@@ -23,16 +26,28 @@ def _resources(spark: SparkSession, config: EngineConfig) -> Resources:
     return Resources(spark, config.resources or BUNDLED, lookup=config.lookup)
 
 
-def run_batch(spark: SparkSession, config: EngineConfig) -> None:
-    """Score every post of the input and upsert the results."""
+def run_batch(spark: SparkSession, config: EngineConfig) -> dict[str, int]:
+    """Score every post of the input and upsert the results.
+
+    Returns how many posts were read and what became of them, as
+    :func:`tidemark.operators.routing.counts` names it. They are counted as
+    they pass, in the run that scores them; work that is done again after an
+    executor is lost may be counted again.
+    """
     config = _checked(config)
+    supported = tuple({*routing.SUPPORTED, config.language})
     posts = read_posts(spark, config.input_path, config.input_format)
-    scored = build_pipeline(posts, _resources(spark, config), config.language, config.fixed)
-    write_sentiment(scored, config.output_path)
+    seen = Observation(OBSERVED)
+    passed = posts.observe(seen, *routing.counts(config.language, supported))
+    scored = build_pipeline(passed, _resources(spark, config), config.language, config.fixed)
+    write_sentiment(scored, config.output_path, salted=True)
+    if config.unrouted_path:
+        write_unrouted(posts.filter(routing.is_unrouted(supported)), config.unrouted_path, uuid.uuid4().hex, 0)
+    return seen.get
 
 
-def run_stream_job(spark: SparkSession, config: EngineConfig, trigger: dict | None = None) -> StreamingQuery:
-    """Score posts as they arrive; by default what is there, and stop."""
+def run_stream_job(spark: SparkSession, config: EngineConfig, trigger: dict | None = None, **more) -> StreamingQuery:
+    """Score posts as they arrive; by default what is there, and stop. ``more`` goes to ``run_stream``."""
     config = _checked(config)
     source = stream_posts(
         spark,
@@ -50,4 +65,6 @@ def run_stream_job(spark: SparkSession, config: EngineConfig, trigger: dict | No
         config.language,
         config.fixed,
         trigger,
+        config.unrouted_path or None,
+        **more,
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SUPPORTED = ("en",)
@@ -26,4 +26,33 @@ def route_language(posts: DataFrame, language: str = "en") -> DataFrame:
 
 def unrouted(posts: DataFrame, supported: tuple[str, ...] = SUPPORTED) -> DataFrame:
     """Posts no pipeline takes, those without a language included."""
-    return posts.filter(~F.coalesce(F.col("language").isin(*supported), F.lit(False)))
+    return posts.filter(is_unrouted(supported))
+
+
+def is_unrouted(supported: tuple[str, ...] = SUPPORTED) -> Column:
+    return ~F.coalesce(F.col("language").isin(*supported), F.lit(False))
+
+
+def is_usable(language: str = "en") -> Column:
+    """Whether :func:`route_language` and :func:`drop_null_posts` both let a post pass."""
+    routed = F.coalesce(F.col("language") == language, F.lit(False))
+    return routed & F.col("rowkey").isNotNull() & F.col("content").isNotNull()
+
+
+def counts(language: str = "en", supported: tuple[str, ...] = SUPPORTED) -> list[Column]:
+    """What becomes of the posts of a job, to be observed as they pass.
+
+    ``unrouted`` posts have a language that nobody supports or none; the null
+    filter sees those of ``language``; ``other`` are of supported languages
+    that the job does not read. The five add up to ``posts``.
+    """
+    routed = F.coalesce(F.col("language") == language, F.lit(False))
+    named = F.col("rowkey").isNotNull()
+    return [
+        F.count(F.lit(1)).alias("posts"),
+        F.count_if(is_unrouted(supported)).alias("unrouted"),
+        F.count_if(~is_unrouted(supported) & ~routed).alias("other"),
+        F.count_if(routed & ~named).alias("null_rowkey"),
+        F.count_if(routed & named & F.col("content").isNull()).alias("null_content"),
+        F.count_if(is_usable(language)).alias("scored"),
+    ]

@@ -272,11 +272,12 @@ def with_scores(df: DataFrame, tables: PolarityTables, fixed: bool = False) -> D
     return drop_bound(scored.withColumn("balance", balance))
 
 
-def classify(df: DataFrame, tables: PolarityTables, fixed: bool = False) -> DataFrame:
-    """``(rowkey, sentiment)``, one row per post; ``fixed`` adds ``p_positive``."""
+def classify(df: DataFrame, tables: PolarityTables, fixed: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``(rowkey, sentiment)`` and ``keep``, one row per post; ``fixed`` adds ``p_positive``."""
     s = F.col("scores")
     out = [
         F.col("rowkey"),
+        *keep,
         decide(F.col("balance"), s["hits"], s["pos"], s["neg"]).cast("int").alias("sentiment"),
     ]
     if fixed:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.lookup import Lookup
 from tidemark.operators.ner import recognise, word_lookup
 from tidemark.operators.normalize import normalize
-from tidemark.operators.routing import drop_null_posts, route_language
+from tidemark.operators.routing import drop_null_posts, is_unrouted, is_usable, route_language
 from tidemark.operators.sentences import split_sentences
 from tidemark.operators.sentiment import PolarityTables, classify
 from tidemark.operators.tagger import PosTables, tag
@@ -110,3 +110,22 @@ def build_pipeline(
     """``(rowkey, sentiment)`` for the usable posts of one language."""
     usable = drop_null_posts(route_language(posts, language))
     return classify(annotate(usable, resources, fixed), resources.polarity, fixed)
+
+
+def score_all(
+    posts: DataFrame, resources: Resources, language: str, fixed: bool, supported: tuple[str, ...]
+) -> DataFrame:
+    """``(rowkey, usable, unrouted, sentiment)``, one row per post, in one pass.
+
+    What :func:`build_pipeline` would score is ``usable``; other posts pass
+    through the stages as empty ones. ``unrouted`` holds the whole post where
+    its language is not supported, null elsewhere.
+    """
+    whole = F.struct("rowkey", "content", "language")
+    marked = posts.select(
+        "rowkey",
+        F.when(is_usable(language), F.col("content")).otherwise("").alias("content"),
+        is_usable(language).alias("usable"),
+        F.when(is_unrouted(supported), whole).alias("unrouted"),
+    )
+    return classify(annotate(marked, resources, fixed), resources.polarity, fixed, ("usable", "unrouted"))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.schema import POST
@@ -42,3 +45,22 @@ def stream_posts(
     if archive is not None:
         reader = reader.option("sourceArchiveDir", archive)
     return reader.load(path)
+
+
+def write_unrouted(posts: DataFrame, path: str, writer: str, batch_id: int) -> None:
+    """Posts that no pipeline took, in a folder of their own for each writer and batch.
+
+    A batch that is repeated overwrites its folder, so it counts once.
+    """
+    name = f"{hashlib.sha256(writer.encode()).hexdigest()[:16]}-{batch_id}"
+    posts.select(*POST.names).write.mode("overwrite").parquet(f"{path}/{name}")
+
+
+def read_unrouted(spark: SparkSession, path: str) -> DataFrame:
+    """All posts that :func:`write_unrouted` has put under ``path``."""
+    try:
+        return spark.read.schema(POST).parquet(f"{path}/*-*")
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+        return spark.createDataFrame([], POST)

@@ -1,19 +1,26 @@
 """The streaming job: posts in, sentiment upserted per micro-batch.
 
 Every post stands alone, so the pipeline keeps no state and the streaming plan
-is the batch plan. The sink works per batch, to be safe to repeat.
+is the batch plan. The sinks work per batch, to be safe to repeat: both outputs
+of a batch are named by it, and a batch counts as done after the second.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.plans.pipeline import Resources, build_pipeline
-from tidemark.sources.posts import read_posts
+from tidemark.operators import routing
+from tidemark.plans.pipeline import Resources, build_pipeline, score_all
+from tidemark.sources.posts import read_posts, write_unrouted
 from tidemark.sources.sink import write_sentiment
 
+#: The name of the counts in a query's progress.
+OBSERVED = "routing"
+
 
 def run_stream(
     source: DataFrame,
@@ -23,20 +30,46 @@ def run_stream(
     language: str = "en",
     fixed: bool = False,
     trigger: dict | None = None,
+    unrouted: str | None = None,
+    before_publish: Callable[[int], None] | None = None,
 ) -> StreamingQuery:
     """Start the job; by default it drains what is there and stops.
 
     The checkpoint lies beside the store's data unless another is given: two
     jobs with different stores never share one. It also names the writer, so a
     job that starts again goes on with its batches, and a repeated batch
-    replaces itself.
+    replaces itself. Posts in unsupported languages go to ``unrouted``, where
+    it is given. How many posts were dropped and why is in each progress, under
+    ``observedMetrics[OBSERVED]``. ``before_publish`` is called with the number
+    of each batch before its sentiment is published.
     """
     checkpoint = checkpoint or f"{sink}/checkpoint-{language}-{'fixed' if fixed else 'compat'}"
-    if resources.lookup == "in_row":
+    supported = tuple({*routing.SUPPORTED, language})
+    source = source.observe(OBSERVED, *routing.counts(language, supported))
+
+    def publish(scored: DataFrame, rest: DataFrame | None, batch_id: int) -> None:
+        if rest is not None:
+            write_unrouted(rest, unrouted, checkpoint, batch_id)
+        if before_publish is not None:
+            before_publish(batch_id)
+        write_sentiment(scored.select("rowkey", "sentiment"), sink, checkpoint, batch_id)
+
+    if resources.lookup == "in_row" and unrouted is None:
         stream = build_pipeline(source, resources, language, fixed).select("rowkey", "sentiment")
 
         def store(batch: DataFrame, batch_id: int) -> None:
-            write_sentiment(batch, sink, checkpoint, batch_id)
+            publish(batch, None, batch_id)
+
+    elif resources.lookup == "in_row":
+        stream = score_all(source, resources, language, fixed, supported)
+
+        def store(batch: DataFrame, batch_id: int) -> None:
+            # Two outputs of one batch: it is read and scored once.
+            held = batch.select("rowkey", "sentiment", "usable", "unrouted").persist()
+            try:
+                publish(held.filter("usable"), held.filter("unrouted is not null").select("unrouted.*"), batch_id)
+            finally:
+                held.unpersist()
 
     else:
         # Joins take a finished batch: it is staged beside the checkpoint. There
@@ -47,8 +80,9 @@ def run_stream(
         def store(batch: DataFrame, batch_id: int) -> None:
             staged = f"{checkpoint}/staged/{batch_id % 2}"
             batch.write.mode("overwrite").parquet(staged)
-            scored = build_pipeline(read_posts(resources.spark, staged), resources, language, fixed)
-            write_sentiment(scored.select("rowkey", F.col("sentiment")), sink, checkpoint, batch_id)
+            posts = read_posts(resources.spark, staged)
+            rest = None if unrouted is None else posts.filter(routing.is_unrouted(supported))
+            publish(build_pipeline(posts, resources, language, fixed), rest, batch_id)
 
     return (
         stream.writeStream.option("checkpointLocation", checkpoint)
