@@ -1,6 +1,7 @@
 import itertools
 import math
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -117,3 +118,45 @@ def test_open_head_and_formulas():
     assert shown("<head><title>T</title><main><p>one two</p></main>") == "one two"
     assert shown("<head><title>T</title><meta charset=x></head><p>one</p>") == "one"
     assert shown("<article><p>so <math><mi>a</mi><mo>=</mo><mn>2</mn></math> holds</p></article>") == "so a=2 holds"
+
+
+def test_nothing_of_an_article_is_dropped(model):
+    """Paragraphs and lists that are all links, summaries, tables and definitions."""
+    inside = {
+        f"<p><a href=x>{PROSE.strip()}</a></p>": PROSE.strip(),
+        "<p><a href=x>One link, alone in its paragraph</a></p>": "One link, alone in its paragraph",
+        "<ul><li><a href=x>First source</a></li><li><a href=y>Second source</a></li></ul>": "First source Second source",
+        "<details><summary>What is known so far</summary><p>Not much, but for the date.</p></details>": "What is known so far Not much, but for the date.",
+        "<table><tr><th>Year</th><th>Sum</th></tr><tr><td>1901</td><td>12</td></tr></table>": "Year Sum 1901 12",
+        "<dl><dt>Mill</dt><dd>A house that grinds corn.</dd></dl>": "Mill A house that grinds corn.",
+    }
+    for part, text in inside.items():
+        for opening in ("<article>", "<main>", '<div class="post-content">'):
+            tag = opening[1:].split()[0].rstrip(">")
+            page = f"<html><body><nav><ul><li><a href=/>Home</a></li><li><a href=/a>About</a></li></ul></nav>{opening}<h1>Title here</h1><p>{PROSE}</p>{part}<p>{PROSE}</p></{tag}><footer><a href=/b>Imprint</a></footer></body></html>"
+            assert h.main_text(page, model) == " ".join(["Title here", PROSE.strip(), text, PROSE.strip()])
+
+
+def test_comments_and_adverts_inside_an_article_stay_out(model):
+    for junk in (
+        '<section id="comments"><h3>Comments</h3><div class="comment"><p>I read this twice, and liked it.</p></div></section>',
+        '<div class="ad sponsored"><a href=x>Buy now, and save.</a></div>',
+        '<aside class="related"><ul><li><a href=x>Another story</a></li></ul></aside>',
+    ):
+        page = f"<html><body><article><h1>Title here</h1><p>{PROSE}</p>{junk}<p>{PROSE}</p></article></body></html>"
+        assert h.main_text(page, model) == " ".join(["Title here", PROSE.strip(), PROSE.strip()])
+
+
+@pytest.mark.parametrize("page", ["<b>" * 8_000 + "</p>" * 8_000, "<p><li>" + "<b>" * 8_000 + "<h1></h1>" * 8_000, "<div>" * 8_000 + "</td>" * 8_000])
+def test_unclosed_tags_cost_in_proportion(page):
+    start = time.perf_counter()
+    h.parse(page)
+    assert time.perf_counter() - start < 1
+
+
+def test_copies_of_a_page_are_one_page(spark, model):
+    pages = spark.read.parquet(f"{SF}/pages.parquet").limit(20)
+    first = pages.limit(1)
+    for _ in range(6):
+        first = first.union(first)
+    assert h.fit(pages.union(first)) == h.fit(pages)

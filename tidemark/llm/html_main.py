@@ -15,7 +15,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from html import unescape
 
 import pyarrow as pa
@@ -106,6 +106,7 @@ def parse(html: str) -> tuple[list[Node], list[tuple[int, str]]]:
     nodes = [Node("#root", -1, frozenset(), False)]
     stream: list[tuple[int, str]] = []
     open_ = [0]
+    where: dict[str, list[int]] = {}  # the places of each name in open_, so that no tag walks what is open
     position = 0
 
     def text(raw: str) -> None:
@@ -115,17 +116,17 @@ def parse(html: str) -> tuple[list[Node], list[tuple[int, str]]]:
     def pop_to(at: int) -> None:
         while len(open_) > at:
             node = nodes[open_.pop()]
+            where[node.tag].pop()
             if node.tag not in _INLINE:
                 stream.append((open_[-1], "\0"))
 
+    def innermost(names: Iterable[str]) -> int:
+        return max((where[n][-1] for n in names if where.get(n)), default=0)
+
     def close(names: Iterable[str], scope: frozenset[str]) -> None:
-        for at in range(len(open_) - 1, 0, -1):
-            tag = nodes[open_[at]].tag
-            if tag in names:
-                pop_to(at)
-                return
-            if tag in scope:
-                return
+        at = innermost(names)
+        if at and at >= innermost(scope):
+            pop_to(at)
 
     size = len(html)
     while position < size:
@@ -144,7 +145,7 @@ def parse(html: str) -> tuple[list[Node], list[tuple[int, str]]]:
             continue
         tag = m[2].lower()
         if m[1]:
-            if tag == "p" and not any(nodes[i].tag == "p" for i in open_):
+            if tag == "p" and not where.get("p"):
                 stream.append((open_[-1], "\0"))
             close({tag}, frozenset() if tag not in _FORMATTING else _SCOPE)
             continue
@@ -177,6 +178,7 @@ def parse(html: str) -> tuple[list[Node], list[tuple[int, str]]]:
             if not hidden:
                 stream.append((len(nodes) - 1, body))
             continue
+        where.setdefault(tag, []).append(len(open_))
         open_.append(len(nodes) - 1)
     pop_to(1)
     for node, piece in stream:
@@ -212,12 +214,21 @@ def looks(node: Node) -> list[str]:
 class TreeModel:
     """Log potentials: of the root, of a name and label under a label, of looks.
 
-    ``pair[tag][above][label]`` joins a child with its parent.
+    ``pair[tag][above][label]`` joins a child with its parent, and so does
+    ``joint[look][above][label]``: links, length and marks say other things
+    within content than outside of it, where a list of links is a menu. A look
+    that is not in ``joint`` counts alone. Both are shares under what is known
+    of the parent and the name or look, so how many lists or links there are is
+    no evidence by itself. The elements right under the root have potentials of
+    their own in ``top``, which count names as well: a body of paragraphs is
+    content, one of parts is not.
     """
 
     root: list[float]
     pair: dict[str, list[list[float]]]
     looks: dict[str, tuple[float, float]]
+    joint: dict[str, list[list[float]]] = field(default_factory=dict)
+    top: dict[str, list[list[float]]] = field(default_factory=dict)
 
     def marginals(self, nodes: list[Node]) -> list[float]:
         """The probability that each element is content, by sum-product messages.
@@ -227,12 +238,20 @@ class TreeModel:
         """
         own = [[0.0, 0.0] for _ in nodes]
         own[0] = list(self.root)
-        for node, o in zip(nodes, own):
+        edges = []
+        for i, (node, o) in enumerate(zip(nodes, own)):
+            above = self.top if self.top and not node.parent else self.pair
+            edge = [list(row) for row in above.get(node.tag, above[_OTHER])]
             for look in looks(node):
+                together = self.joint.get(look) if i else None
+                if together is not None:
+                    for y, z in _LABELS:
+                        edge[y][z] += together[y][z]
+                    continue
                 a, b = self.looks.get(look, (0.0, 0.0))
                 o[0] += a
                 o[1] += b
-        edges = [self.pair.get(node.tag, self.pair[_OTHER]) for node in nodes]
+            edges.append(edge)
         up = [[0.0, 0.0] for _ in nodes]
         for i in range(len(nodes) - 1, 0, -1):
             parent, pair = nodes[i].parent, edges[i]
@@ -248,6 +267,9 @@ class TreeModel:
         return [1 / (1 + math.exp(max(-700.0, min(700.0, a - b)))) for a, b in beliefs]
 
 
+_LABELS = ((0, 0), (0, 1), (1, 0), (1, 1))
+
+
 def _log_sum(a: float, b: float) -> float:
     high = max(a, b)
     return high + math.log(math.exp(a - high) + math.exp(b - high))
@@ -314,7 +336,11 @@ def _paragraph(text: str, k: int) -> str:
         f"<h3>{first[:40]}</h3><ol><li><p>{middle}</p></li><li><a href='y'>{last}</a></li></ol>",
         f"<div><p>{first}</p><pre><code>{middle}</code></pre></div><figure><figcaption>{last[:80]}</figcaption></figure>",
         f"<table><tr><th>{first[:30]}</th><td>{middle}</td></tr><tr><td>{last}</td></tr></table><p><i>{first}</i> <b>{last}</b></p>",
-    )[k % 8]
+        f"<p><a href='x'>{text}</a></p>",
+        f"<p>{first}</p><ul><li><a href='x'>{middle[:50]}</a></li><li><a href='y'>{last[:70]}</a></li></ul><p>{last}</p>",
+        f"<details><summary>{first[:60]}</summary><p>{middle}</p></details><p><a href='x'>{first[:25]}</a> <a href='y'>{last[:25]}</a></p>",
+        f"<dl><dt>{first[:40]}</dt><dd>{middle}</dd></dl><div><p>{last}</p></div>",
+    )[k % 12]
 
 
 def variants(html: str, number: int) -> Iterator[str]:
@@ -362,9 +388,13 @@ def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for i, n in enumerate(nodes):
                     if i:
                         counts[f"pair:{labels[n.parent]}:{n.tag}", labels[i]] += 1
+                        if not n.parent:
+                            counts[f"top:{labels[0]}:{n.tag}", labels[i]] += 1
                     counts["element", labels[i]] += 1
                     for look in looks(n):
                         counts[look, labels[i]] += 1
+                        if i and not look.startswith("hint:"):
+                            counts[f"under:{labels[n.parent]}:{look}", labels[i]] += 1
     yield pa.RecordBatch.from_arrays(
         [pa.array([k[0] for k in counts], pa.string()), pa.array([k[1] for k in counts], pa.int32()), pa.array(counts.values(), pa.int64())], ["what", "label", "n"]
     )
@@ -373,15 +403,17 @@ def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(pages: DataFrame, sample: int = SAMPLE) -> TreeModel:
     """Potentials from about ``sample`` labelled pages, the first by hash of html.
 
+    Copies of a page are one page: each counts once, and they are combined
+    before the shuffle.
     Counts are summed by Spark; their number depends on the names and looks
     there are, not on the pages. Without a labelled page nothing speaks for or
     against content, and all text is as likely content as not.
     """
-    told = plain(pages, "html").filter(F.col("html").rlike("(?i)<(article|main)[ >]"))
-    total = told.count()
-    h = F.shiftrightunsigned(F.xxhash64("html"), 32)
-    chosen = told.withColumn("h", h).filter(F.col("h") < int((1 << 32) * min(1.0, sample / max(1, total))))
-    rows = chosen.select("html", (F.col("h") % 9973).cast("int").alias("number"))
+    told = plain(pages, "html").filter(F.col("html").rlike("(?i)<(article|main)[ >]")).withColumn("page", F.xxhash64("html"))
+    total = told.select("page").distinct().count()
+    h = F.shiftrightunsigned("page", 32)
+    chosen = told.filter(h < int((1 << 32) * min(1.0, sample / max(1, total)))).groupBy("page").agg(F.first("html").alias("html"))
+    rows = chosen.select("html", (h % 9973).cast("int").alias("number"))
     counts = rows.mapInArrow(_count, "what string, label int, n bigint").groupBy("what", "label").agg(F.sum("n").alias("n")).collect()
     return potentials({(r.what, r.label): r.n for r in counts})
 
@@ -397,8 +429,10 @@ def potentials(counts: dict[tuple[str, int], int]) -> TreeModel:
 
     names = {w.split(":", 2)[2] for w, _ in counts if w.startswith("pair:")} | {_OTHER}
     table = {tag: [two(f"pair:{above}:{tag}") for above in (0, 1)] for tag in names}
-    under = [sum(sum(table[tag][above]) for tag in names) for above in (0, 1)]
-    pair = {tag: [logs(table[tag][above], [under[above]] * 2) for above in (0, 1)] for tag in names}
+    pair = {tag: [logs(table[tag][above], [sum(table[tag][above])] * 2) for above in (0, 1)] for tag in names}
+    first = {tag: [two(f"top:{above}:{tag}") for above in (0, 1)] for tag in names}
+    under = [sum(sum(first[tag][above]) for tag in names) for above in (0, 1)]
+    top = {tag: [logs(first[tag][above], [under[above]] * 2) for above in (0, 1)] for tag in names}
     kinds: dict[str, list[float]] = {"hint": two("element")}
     shown = [w for w, _ in counts if w.split(":")[0] in ("hint", "links", "length", "marks")]
     for what in set(shown):
@@ -407,7 +441,16 @@ def potentials(counts: dict[tuple[str, int], int]) -> TreeModel:
             held = kinds.setdefault(kind, [0.0, 0.0])
             kinds[kind] = [held[0] + values[0], held[1] + values[1]]
     speak = {what: tuple(logs(two(what), kinds[what.split(":")[0]])) for what in set(shown)}
-    return TreeModel(logs(two("root"), [sum(two("root"))] * 2), pair, speak)
+    # The values of one kind that were seen under either label make up the whole.
+    joint = {}
+    for what in {w for w in speak if not w.startswith("hint:")}:
+        kind = what.split(":")[0]
+        same = [w for w in speak if w.startswith(f"{kind}:")]
+        whole = [[sum(two(f"under:{above}:{w}")[y] for w in same) for y in (0, 1)] for above in (0, 1)]
+        seen = [two(f"under:{above}:{what}") for above in (0, 1)]
+        usual = [math.log(sum(seen[above]) / sum(whole[above])) for above in (0, 1)]
+        joint[what] = [[v - usual[above] for v in logs(seen[above], whole[above])] for above in (0, 1)]
+    return TreeModel(logs(two("root"), [sum(two("root"))] * 2), pair, speak, joint, top)
 
 
 # --- extraction -------------------------------------------------------------
