@@ -14,9 +14,9 @@ def brute(docs, items, window=dc.WINDOW):
         d = dc.tokens(text)
         for item_id, itext in items:
             t = dc.tokens(itext)
-            if len(t) < dc.LEAST_TOKENS:
-                continue
             n = min(window, len(t))
+            if not n or (dc.says_nothing(t) and d != t):
+                continue
             best = max(
                 (sum(a == b for a, b in zip(d[i : i + n], t[j : j + n])) for i in range(len(d) - n + 1) for j in range(len(t) - n + 1)),
                 default=0,
@@ -31,7 +31,7 @@ def found(frame):
 
 
 def test_masks_miss_any_allowed_positions():
-    for n in range(dc.LEAST_TOKENS, dc.WINDOW + 1):
+    for n in range(1, dc.WINDOW + 1):
         chosen = dc.masks(n)
         for bad in combinations(range(n), dc.allowed(n)):
             assert any(all(i % m.groups not in m.kept for i in bad) for m in chosen)
@@ -91,3 +91,35 @@ def test_edge_cases(spark, docs):
     assert clean.columns == odd.columns and sorted(r.doc_id for r in clean.collect()) == [1, 2, 5]
     assert dc.overlaps(docs(*rows), bench.limit(0)).count() == 0
     assert dc.overlaps(docs().limit(0), bench).count() == 0
+
+
+def test_items_of_every_length(spark, docs):
+    """One to twenty tokens, in words and in scripts without spaces, with and without common words."""
+    rng = random.Random(21)
+    signs = "今日は天気がいいですね明後海山川田中村กขคงจฉ"
+    common, rare = sorted(dc.common_words())[:400:10], [f"zq{i}" for i in range(40)]
+    items = [(n, " ".join(rng.choices(common + rare[:9], k=n))) for n in range(1, 21)]
+    items += [(100 + n, "".join(rng.choices(signs, k=n))) for n in range(1, 21)]
+    items += [(200 + n, " ".join(rng.choices(common, k=n))) for n in range(1, 5)]
+    items += [(300 + n, " ".join(rng.choices(rare, k=n))) for n in range(1, 5)]
+    rows = []
+    for i, (_, text) in enumerate(items * 3):
+        glue = "" if text and text[0] in signs else " "
+        around = ["".join(rng.choices(signs, k=4)) if not glue else " ".join(rng.choices(common + rare, k=6)) for _ in range(2)]
+        body = list(text) if not glue else text.split()
+        if i % 3 == 1 and len(body) > 5:
+            body[rng.randrange(len(body))] = rng.choice(signs if not glue else rare)
+        middle = glue.join(body)
+        rows.append((i, middle.upper() if i % 4 == 0 else glue.join([around[0], middle, around[1]])))
+    got = found(dc.overlaps(docs(*rows), spark.createDataFrame(items, "item_id bigint, text string")))
+    want = brute(rows, items)
+    assert got == want
+    assert {i for _, i in want} >= {n for n, t in items if not dc.says_nothing(dc.tokens(t))}
+    assert {n for n, t in items if len(dc.tokens(t)) < dc.SHORT and not dc.says_nothing(dc.tokens(t))}
+    assert {i for _, i in want if 200 <= i < 300} == {i for i, t in items if 200 <= i < 300 and any(dc.tokens(x) == dc.tokens(t) for _, x in rows)}
+
+
+def test_a_short_item_of_common_words_is_a_whole_text(spark, docs):
+    bench = spark.createDataFrame([(1, "What is the time"), (2, "the"), (3, "zirconium lattice")], "item_id bigint, text string")
+    rows = [(1, "He said what is the time and left"), (2, "what is the time?"), (3, "The"), (4, "a zirconium lattice of one sort"), (5, "the " * 9)]
+    assert set(found(dc.overlaps(docs(*rows), bench))) == {(2, 1), (3, 2), (4, 3)}

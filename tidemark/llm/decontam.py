@@ -4,17 +4,23 @@ A window of a benchmark item counts as found in a document where the tokens
 agree but for a few substitutions. Fixed masks leave out some positions of the
 window. They are chosen so that, whichever positions differ, one mask has left
 all of them out; its hash then agrees, and hits are verified token by token.
+
+Items of under five tokens allow no substitution. Where all their tokens are
+common words they say nothing inside a longer text, so such an item is found
+only where it is a document's whole text.
 """
 
 from __future__ import annotations
 
+import base64
 import re
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
-from functools import reduce
-from itertools import chain, combinations
+from functools import lru_cache, reduce
+from itertools import chain, combinations, islice
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -24,21 +30,38 @@ from tidemark.llm.common import column_of, parts, plain, settled
 
 #: Tokens of a window, and the share of them that must agree.
 WINDOW, AGREE = 13, 0.8
-#: Items with fewer tokens are not searched for.
-LEAST_TOKENS = 5
+#: Items with fewer tokens are short; one of common words only has to be the whole text.
+SHORT = 5
+#: The tokens of the public vocabulary that count as common words, the first by rank.
+COMMON = 8192
 #: Bits of the prefilter, as a power of two: its size is fixed, 8 MB.
 FILTER_BITS = 26
 _KNOWN_TOKENS, _KNOWN_LENGTH = 1 << 18, 40
 _BLOCK = 1 << 15
 
-_words = re.compile(r"[^\W_]+").findall
+# Scripts that are written without spaces: kana, Han, Thai, Lao, Burmese, Khmer (fixed values).
+_UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_words = re.compile(rf"[^\W_{_UNSPACED}]+|[^\W_]").findall
 
 
 def tokens(text: str | None) -> list[str]:
-    """Lower-cased runs of letters and digits."""
+    """Lower-cased runs of letters and digits; single ones in scripts written without spaces."""
     return _words((text or "").lower())
 
 
+@lru_cache(maxsize=1)
+def common_words() -> frozenset[str]:
+    """Lower-cased words among the first public ranks; single letters and digits are common as well."""
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as lines:
+        first = [base64.b64decode(line.split()[0]) for line in islice(lines, COMMON)]
+    return frozenset(t[1:].decode().lower() for t in first if t[:1] == b" " and t[1:].isalpha())
+
+
+def says_nothing(words: list[str]) -> bool:
+    """Whether an item with these tokens has to be a document's whole text."""
+    return len(words) < SHORT and all(len(w) == 1 or w.isdigit() or w in common_words() for w in words)
+
+
 @dataclass(frozen=True)
 class Mask:
     """A window's length, its number in that length, and the positions that count."""
@@ -106,18 +129,25 @@ def seed_hashes(h: np.ndarray, length: int) -> list[np.ndarray]:
     return out
 
 
+def whole_seed(h: np.ndarray) -> np.ndarray:
+    """The one seed of a whole short text, told from those of windows by its length's sign."""
+    return seed_hashes(h, len(h))[0] * _odd(len(h), -2)
+
+
 def _seeds_of_items(window: int) -> Callable:
-    """Items to (seed, length, item_id, at) for every window and mask."""
+    """Items to (seed, length, item_id, at) for every window and mask; a whole text has its length negated."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = TokenHashes()
         for part in parts(batches, "text"):
             for item, text in zip(column_of(part, "item_id").to_pylist(), column_of(part, "text")):
                 h = token_hashes(text.as_py(), known)
-                if len(h) < LEAST_TOKENS:
+                if not len(h):
                     continue
-                length = min(window, len(h))
-                for found in seed_hashes(h, length):
+                length, seeds = min(window, len(h)), None
+                if says_nothing(tokens(text.as_py())):
+                    length, seeds = -len(h), [whole_seed(h)]
+                for found in seeds or seed_hashes(h, length):
                     n = len(found)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(found.view(np.int64)), pa.array([length] * n, pa.int32()), pa.array([item] * n, pa.int64()), pa.array(range(n), pa.int32())],
@@ -165,7 +195,7 @@ def _hits(table: np.ndarray, h: np.ndarray, lengths: list[int]) -> Iterator[tupl
         return ((table[bits >> np.uint64(3)] >> (bits & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
 
     for start in range(0, len(h), _BLOCK):
-        for length in lengths:
+        for length in (n for n in lengths if n > 0):
             for found in seed_hashes(h[start : start + _BLOCK + length - 1], length):
                 one, two = _bits_of(found)
                 at = np.flatnonzero(passes(one))
@@ -195,6 +225,9 @@ def _search(table, lengths: list[int], longest: int) -> Callable:
                 inside = at + length <= ends[doc + 1]
                 for d, start, seed in zip(doc[inside].tolist(), (at - ends[doc])[inside].tolist(), seeds[inside].view(np.int64).tolist()):
                     hits.setdefault(d, []).append((start, seed, length))
+            for d, own in enumerate(each):
+                if -len(own) in lengths:
+                    hits.setdefault(d, []).append((0, int(whole_seed(own).view(np.int64)[0]), -len(own)))
             if not hits:
                 continue
             ids, keys = column_of(part, "doc_id").to_pylist(), column_of(part, "text_key").to_pylist()
@@ -224,18 +257,6 @@ def _runs(hits: list[tuple], longest: int) -> Iterator[list[tuple]]:
         yield held
 
 
-def _runs(hits: list[tuple], longest: int) -> Iterator[list[tuple]]:
-    """Hits, by start, cut where the next one is over ``longest`` tokens away."""
-    held: list[tuple] = []
-    for hit in hits:
-        if held and (hit[0] - held[-1][0] > longest or hit[0] - held[0][0] > 64 * longest):
-            yield held
-            held = []
-        held.append(hit)
-    if held:
-        yield held
-
-
 def _verify(window: int) -> Callable:
     """Aligned regions and items to the best window of each."""
 
@@ -282,10 +303,11 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Dat
     """(doc_id, text_key, item_id, doc_at, item_at, length, agree): verified overlaps.
 
     One row for each document and item with a window of ``window`` tokens (all
-    of a shorter item, from five tokens on) of which four fifths or more agree
-    in place; it tells the best such window, the earliest among equals. Null
+    of a shorter item) of which four fifths or more agree in place; an item of
+    one to four common words only has to be all of the document. It tells the best such window, the earliest among equals. Null
     and empty texts have no overlap, repeated rows count as one, items without
-    item_id are found too, and an empty table on either side gives no rows.
+    item_id are found too, a text that repeats one token has a hit for each
+    start and each place of the item where it stands, and an empty table on either side gives no rows.
     Extra columns are ignored.
     """
     spark = docs.sparkSession
