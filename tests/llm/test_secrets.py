@@ -101,3 +101,46 @@ def test_values_of_letters_and_context_inside_dropped_values():
     assert found("login: password is xK9#mQ2$vL7p") == ["xK9#mQ2$vL7p"]
     assert found("key: token=abcdefgh12;pwd:tR5!vB8nW3kZ6") == ["tR5!vB8nW3kZ6"]
     assert found("the key: international pressure; auth: government, login: Something") == []
+
+
+def test_words_of_any_language_and_addresses_are_no_secrets():
+    def found(text):
+        return [text[s:e] for s, e, _ in secrets.added_spans(text, secrets.base_spans(text))]
+
+    for prose in (
+        "login: Verantwortlichkeiten", "key: internationalization", "key: donneespersonnelles", "auth: см.документацию",
+        "Key: https://example.com/path/to/page", "key: responsabilidades", "key: " + "-" * 400, "token: requestHandlerConfiguration",
+    ):
+        assert found(prose) == [], prose
+    for secret in ("pwd: QxZkVbNmLpTr", "key: https://example.com/t?k=xK9mQ2vL7pR4tW8z", "auth: tR5vB8nW3kZ6"):
+        assert len(found(secret)) == 1, secret
+
+
+def test_cost_grows_with_one_repeat():
+    for unit in ("-", "ab", "xyz", "k9#q"):
+        costs = [secrets.guess_cost(unit * k) for k in (4, 8, 32, 64, 128, 129, 200, 400, 2000)]
+        assert costs == sorted(costs) and costs[-1] - costs[0] < 3
+
+
+def test_long_values_against_the_slow_program():
+    """Cuts of values up to 600 characters by the recurrence written out."""
+    rng = random.Random(31)
+    pieces = ["password", "1999-12-31", "aaaa", "qwertyuiop", "abcdef", "X", "9#", "Zuständigkeit", "--------", "K7m", "www"]
+    for n in (100, 300, 600):
+        text = "".join(rng.choices(pieces, k=n))[:n]
+        cheap, join, letter = list(secrets.spans(text)), math.log10(2), math.log10(secrets._alphabet(text))
+        free, cut = {0: math.inf}, {0: 0.0}
+        for j in range(1, n + 1):
+            free[j] = letter + min(free[j - 1], cut[j - 1] + (join if j > 1 else 0))
+            cut[j] = min((c + min(free[i], cut[i]) + (join if i else 0) for i, e, _, c in cheap if e == j), default=math.inf)
+        assert abs(secrets.guess_cost(text) - min(free[n], cut[n])) < 1e-9
+        assert len(cheap) < 40 * n
+
+
+def test_costs_of_base_values(docs):
+    rows = [(1, "password=password1 and token: xK9mQ2vL7pR4tW8z and AKIA" + "Q" * 12), (2, "secret = aaaaaaaaaaaa"), (3, None)]
+    got = {r.doc_id: (r.spans, r.costs) for r in secrets.find_secrets(docs(*rows)).collect()}
+    spans, costs = got[1]
+    assert [s.kind for s in spans] == ["assign", "assign", "access"] and costs[2] is None
+    assert costs[0] < 4 < secrets.LEAST_COST < costs[1]
+    assert got[2][1][0] < 4 and got[3] == ([], [])

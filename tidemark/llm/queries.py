@@ -155,6 +155,7 @@ def op10_secrets(spark, sf_dir):
         count("hex").alias("n_hex"),
         F.sha2(F.array_join(F.transform(base, _listed), ",").cast("binary"), 256).alias("base_sha256"),
         F.array_join(F.transform("spans", _listed), ",").alias("spans"),
+        F.array_join(F.transform(F.filter("costs", lambda c: c.isNotNull()), lambda c: F.format_number(c, 1)), " ").alias("guess_costs"),
     )
 
 

@@ -2,8 +2,9 @@
 
 The cost of a value is the least number of guesses, as a power of ten, over all
 ways to cut it into words, dates, repeats, keyboard walks, sequences and
-brute-force spans; dynamic programming over end positions finds it. A value
-after a credential word that would take too many guesses is a secret.
+brute-force spans; dynamic programming over end positions finds it, in one pass
+over the whole value. A value after a credential word that would take too many
+guesses is a secret.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from __future__ import annotations
 import base64
 import math
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -22,8 +24,11 @@ from tidemark.llm.common import column_of, parts, plain
 
 #: Guesses, as a power of ten, from which a value counts as a secret.
 LEAST_COST = 10.0
-#: The longest value whose cuts are compared; a longer one is cut into such blocks.
-BLOCK = 128
+#: Letters in a row that read like a word of some language cost this, and this more for each letter.
+WORDLIKE, WORDLIKE_LETTER = 4.0, 0.04
+#: What it takes to read like one: letters, how often each pair of them is seen, the share of triples that are.
+_LEAST_LETTERS, _LEAST_PAIR, _LEAST_TRIPLES = 5, 5, 0.85
+_REMEMBERED_LENGTH = 128
 KINDS = ("assign", "access", "hex", "guess")
 
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -54,9 +59,27 @@ def _common_words() -> list[str]:
     return [t[1:].decode().lower() for t in tokens if len(t) > 4 and t[:1] == b" " and t[1:].isalpha()]
 
 
+def _letter_groups() -> tuple[Counter, set[str]]:
+    """Pairs of letters, counted over the words and word parts of both public vocabularies, and triples."""
+    pairs, triples = Counter(), set()
+    for name in ("byte_bpe_50k.tiktoken", "byte_bpe_multi_50k.tiktoken"):
+        with open(public_tokenizers.path(name), "rb") as lines:
+            for line in filter(bytes.strip, lines):
+                word = base64.b64decode(line.split()[0]).decode(errors="replace").strip().lower()
+                if word.isalpha():
+                    pairs.update(map("".join, zip(word, word[1:])))
+                    triples.update(map("".join, zip(word, word[1:], word[2:])))
+    return pairs, triples
+
+
+_PAIRS, _TRIPLES = _letter_groups()
+_LETTERS = re.compile(r"[^\W\d_]+")
+_URL = re.compile(r"[A-Za-z][A-Za-z0-9+.-]*://")
+#: Marks that part the words of names, paths and the like; as a piece of its own one is cheap.
+_MARKS, _MARK_COST = frozenset("._-/:+,;|#@&=?"), 1.0
 _RANK = {w: i + 1 for i, w in enumerate(dict.fromkeys([*_WORDS, *_common_words()]))}
 _LONGEST_WORD = max(map(len, _RANK))
-_PLAIN = str.maketrans("@4310$57!", "aaeiosstl"[:9])
+_PLAIN = str.maketrans("@4310$57!", "aaeiosstl")
 _DATE = re.compile(r"(?:(?:19|20)\d\d[-/._]?(?:0?[1-9]|1[0-2])[-/._]?(?:[0-2]?\d|3[01])|(?:[0-2]?\d|3[01])[-/._]?(?:0?[1-9]|1[0-2])[-/._]?(?:19|20)\d\d|(?:19|20)\d\d)")
 
 
@@ -81,17 +104,31 @@ def _alphabet(text: str) -> int:
     return size + 33 * any(not c.isalnum() for c in text) or 10
 
 
-def _run_ends(text: str, joined) -> list[int]:
-    """For each start, the end of the longest run whose neighbours are ``joined``."""
-    ends = [0] * len(text)
-    for i in range(len(text) - 1, -1, -1):
-        ends[i] = ends[i + 1] if i + 1 < len(text) and joined(text[i], text[i + 1]) else i + 1
-    return ends
+def _reads_like_a_word(low: str) -> bool:
+    if len(low) < _LEAST_LETTERS or any(_PAIRS[a + b] < _LEAST_PAIR for a, b in zip(low, low[1:])):
+        return False
+    return sum(t in _TRIPLES for t in map("".join, zip(low, low[1:], low[2:]))) >= _LEAST_TRIPLES * (len(low) - 2)
+
+
+def _humps(text: str, start: int) -> Iterator[tuple[int, int]]:
+    """A run of letters, cut before each large letter that follows a small one."""
+    last = 0
+    for k in range(1, len(text)):
+        if text[k].isupper() and text[k - 1].islower():
+            yield start + last, start + k
+            last = k
+    yield start + last, start + len(text)
 
 
 def spans(text: str) -> Iterator[tuple[int, int, str, float]]:
-    """(start, end, kind, cost) of each cheap span in a block of text."""
+    """(start, end, kind, cost) of each cheap span of a text, as many as its length allows a few times.
+
+    Words and dates are short. A repeat goes from where it starts as far as it
+    does; a walk or sequence starts where its run does or ends where that ends.
+    """
     low = text.lower()
+    if len(low) != len(text):  # a letter whose small form is longer stays as it is
+        low = "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
     plain_ = low.translate(_PLAIN)
     n = len(text)
     for i in range(n):
@@ -104,33 +141,46 @@ def spans(text: str) -> Iterator[tuple[int, int, str, float]]:
                 yield i, j, "word", math.log10(rank + 1) + 0.3 * (case + 2 * swapped)
         if (m := _DATE.match(text, i)) and m.end() - i >= 4:
             yield i, m.end(), "date", 2.1 if m.end() - i == 4 else 4.6
-        for size in (1, 2, 3, 4):
-            unit = text[i : i + size]
-            j = i + size
-            while len(unit) == size and text.startswith(unit, j):
-                j += size
-            if j - i >= max(3, 2 * size):
-                yield i, j, "repeat", size * math.log10(_alphabet(unit)) + math.log10((j - i) // size)
+        if text[i] in _MARKS:
+            yield i, i + 1, "mark", _MARK_COST
+    for m in _LETTERS.finditer(text):
+        for i, j in _humps(m[0], m.start()):
+            word = text[i:j]
+            if word[1:] in (low[i + 1 : j], low[i + 1 : j].upper()) and _reads_like_a_word(low[i:j]):
+                yield i, j, "wordlike", WORDLIKE + WORDLIKE_LETTER * (j - i)
+    for size in (1, 2, 3, 4):
+        same = [0] * (n + 1)
+        for i in range(n - size - 1, -1, -1):
+            same[i] = same[i + 1] + 1 if text[i] == text[i + size] else 0
+            times = 1 + same[i] // size
+            if times * size >= max(3, 2 * size):
+                yield i, i + times * size, "repeat", size * math.log10(_alphabet(text[i : i + size])) + math.log10(times)
     for kind, joined, base in (
         ("walk", lambda a, b: b in _NEAR.get(a, ()), math.log10(47)),
         ("sequence", lambda a, b: ord(b) - ord(a) == 1, math.log10(62)),
         ("sequence", lambda a, b: ord(a) - ord(b) == 1, math.log10(62)),
     ):
-        ends = _run_ends(low, joined)
-        for i in range(n):
-            turn = math.log10(4.6) if kind == "walk" else 0.0
-            for j in range(i + 3, ends[i] + 1):
+        turn = math.log10(4.6) if kind == "walk" else 0.0
+        start = 0
+        while start < n:
+            end = start + 1
+            while end < n and joined(low[end - 1], low[end]):
+                end += 1
+            for i, j in {*((start, j) for j in range(start + 3, end + 1)), *((i, end) for i in range(start, end - 2))}:
                 yield i, j, kind, base + turn * (j - i - 1) / 2 + math.log10(j - i)
+            start = end
 
 
 def guess_cost(text: str) -> float:
     """The least cost, as a power of ten, of guessing the whole text.
 
-    Each further piece adds the cost of guessing where the pieces join. A text
-    over a block long costs what its blocks cost together.
+    Each further piece adds the cost of guessing where the pieces join. Time
+    grows with the text's length, and so does the cost of one repeat. What an
+    address names is not guessed letter by letter: it costs what its costliest
+    part does.
     """
-    if len(text) > BLOCK:
-        return sum(guess_cost(text[i : i + BLOCK]) for i in range(0, len(text), BLOCK))
+    if m := _URL.match(text):
+        return max(map(guess_cost, re.split(r"[/?&=:#@.,;+_-]+", text[m.end() :])))
     n, join = len(text), math.log10(2)
     letter = math.log10(_alphabet(text)) if text else 0.0
     ending: list[list[tuple[int, float]]] = [[] for _ in range(n + 1)]
@@ -145,9 +195,12 @@ def guess_cost(text: str) -> float:
     return min(free[n], cut[n])
 
 
-@lru_cache(maxsize=1 << 14)
-def _costly(value: str) -> bool:
-    return guess_cost(value) >= LEAST_COST
+_remembered = lru_cache(maxsize=1 << 14)(guess_cost)
+
+
+def value_cost(value: str) -> float:
+    """:func:`guess_cost`; short values are remembered."""
+    return _remembered(value) if len(value) <= _REMEMBERED_LENGTH else guess_cost(value)
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -169,34 +222,49 @@ def added_spans(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int,
         at = start  # a credential word inside a dropped value has a value of its own
         if len(value) < 6 or any(s < end and start < e for s, e, _ in base):
             continue
-        if _costly(value) if len(value) <= BLOCK else guess_cost(value) >= LEAST_COST:
+        if value_cost(value) >= LEAST_COST:
             found.append((start, end, "guess"))
             at = m.end()
     return found
 
 
+def costs_of(text: str, found: list[tuple[int, int, str]]) -> list[float | None]:
+    """What guessing the values of ``found`` costs; null for kinds that are no password."""
+
+    def cost(start: int, end: int, kind: str) -> float | None:
+        if kind == "guess":
+            return value_cost(text[start:end])
+        return value_cost(_ASSIGN.match(text, start, end)[2]) if kind == "assign" else None
+
+    return [cost(*span) for span in found]
+
+
 _SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 
 
 def _scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in parts(batches, "text"):
-        rows = []
+        rows, costs = [], []
         for t in column_of(part, "text"):
             text = t.as_py() or ""
             base = base_spans(text)
             every = sorted(base + added_spans(text, base), key=lambda s: (s[0], KINDS.index(s[2])))
             rows.append([{"kind": k, "start": s, "end": e} for s, e, k in every])
-        yield pa.RecordBatch.from_arrays([column_of(part, "doc_id").cast(pa.int64()), pa.array(rows, _SPANS)], ["doc_id", "spans"])
+            costs.append(costs_of(text, every))
+        yield pa.RecordBatch.from_arrays(
+            [column_of(part, "doc_id").cast(pa.int64()), pa.array(rows, _SPANS), pa.array(costs, pa.list_(pa.float64()))], ["doc_id", "spans", "costs"]
+        )
 
 
 def find_secrets(docs: DataFrame) -> DataFrame:
-    """(doc_id, spans): for each row of ``docs`` its secrets, in order of place.
+    """(doc_id, spans, costs): for each row of ``docs`` its secrets, in order of place.
 
     Places count code points, the end is exclusive. Null counts as empty, which
     has no spans; repeated rows are scanned each; whole texts are scanned,
     whatever their length; an empty table gives an empty one and extra columns
     are ignored. Spans of kinds assign, access and hex are the base matches;
-    kind guess is added.
+    kind guess is added. ``costs`` has for each span of kind assign or guess what
+    guessing its value costs, as a power of ten, and null for the others.
     """
-    schema = "doc_id bigint, spans array<struct<kind:string,start:int,end:int>>"
+    schema = "doc_id bigint, spans array<struct<kind:string,start:int,end:int>>, costs array<double>"
     return plain(docs, "doc_id", "text").mapInArrow(_scan, schema)
