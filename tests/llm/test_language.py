@@ -1,6 +1,9 @@
+import random
 import zlib
+from itertools import combinations
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm import language, queries
@@ -46,3 +49,58 @@ def test_edge_cases(docs):
     single = language.fit(docs(*[(i, "abc", "xx") for i in range(20)]))
     assert [r.lang_pred for r in language.identify(docs((1, "zzz")), single).collect()] == ["xx"]
     assert language.identify(docs().limit(0), model).count() == 0
+
+
+def brute(model, text):
+    """Families by pairwise votes, then the languages of the winner, all written out."""
+    x = language.features(text)
+
+    def winner(names, kind):
+        table = []
+        for n in names:
+            margins = []
+            for other in names:
+                if n < other:
+                    margins.append(float(x @ model.machines[f"{kind}:{n}", f"{kind}:{other}"]))
+                elif other < n:
+                    margins.append(-float(x @ model.machines[f"{kind}:{other}", f"{kind}:{n}"]))
+            table.append((-sum(m > 0 for m in margins), -sum(margins), n))
+        return sorted(table)[0][2]
+
+    return winner(sorted(model.families[winner(sorted(model.families), "family")]), "lang")
+
+
+def test_forty_languages_against_brute_force(docs):
+    """Invented tongues, some of them in the families of the table, most on their own."""
+    dice = random.Random(40)
+    named = [*"en de nl fr es it ru uk pl fi et".split(), *[f"x{i:02d}" for i in range(29)]]
+    letters = "abcdefghijklmnoprstuvwz"
+    words = {lang: ["".join(dice.choices(letters, k=dice.randrange(2, 7))) for _ in range(25)] for lang in named}
+    rows = [(i, " ".join(dice.choices(words[lang], k=12)), lang) for i, lang in enumerate(named * 16)]
+    model = language.fit(docs(*rows))
+    assert sorted(lang for langs in model.families.values() for lang in langs) == sorted(named)
+    assert len(model.families) == 33 and len(model.machines) == 33 * 32 // 2 + 3 + 3 + 3 + 1
+    got = {r.doc_id: r.lang_pred for r in language.identify(docs(*rows), model).collect()}
+    assert all(got[i] == brute(model, text) for i, text, _ in rows)
+    held = [got[i] == lang for i, _, lang in rows if zlib.crc32(str(i).encode()) % 4 == 2]
+    assert np.mean(held) > 0.9
+
+
+def test_ties_go_to_the_first_name():
+    still = np.zeros(language.SIZE + 1, np.float32)
+    names = ["xa", "xb", "xc"]
+    model = language.LanguageModel({f"only:{n}": [n] for n in names}, {(f"family:only:{a}", f"family:only:{b}"): still for a, b in combinations(names, 2)})
+    assert model.predict("some text") == ("xa", 0.5)
+    # Each beats one other by the same margin: votes and sums are equal.
+    one = still.copy()
+    one[-1] = 1.0
+    model.machines = dict(zip(model.machines, (one, -one, one)))
+    assert model.predict("some text")[0] == "xa"
+
+
+def test_machines_over_the_bound_are_an_error(docs):
+    frame = docs(*[(i, "some words here", f"x{i % 6}") for i in range(120)])
+    need = language.machine_bytes({f"x{i}": [f"x{i}"] for i in range(6)})
+    assert need == 15 * (language.SIZE + 1) * 4
+    with pytest.raises(ValueError, match=str(need)):
+        language.fit(frame, most_bytes=need - 1)

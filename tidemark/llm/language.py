@@ -24,6 +24,8 @@ from tidemark.llm.common import column_of, parts, plain, settled
 PER_LANGUAGE = 300
 #: Distinct languages that may be named; more are an error, never cut.
 MOST_LANGUAGES = 1000
+#: What all machines may measure, as they go to the driver and from it to every task.
+MOST_BYTES = 128 << 20
 #: Hash bits for 1-, 2- and 3-grams of letters.
 BITS = (9, 11, 12)
 SIZE = sum(1 << b for b in BITS)
@@ -168,11 +170,18 @@ def _train_pair(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"a": [rows["a"].iloc[0]], "b": [rows["b"].iloc[0]], "w": [w.astype(np.float32).tobytes()]})
 
 
-def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageModel:
+def machine_bytes(families: dict[str, list[str]]) -> int:
+    """The size of all machines that these languages need."""
+    pairs = math.comb(len(families), 2) + sum(math.comb(len(langs), 2) for langs in families.values())
+    return pairs * (SIZE + 1) * np.dtype(np.float32).itemsize
+
+
+def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, most_bytes: int = MOST_BYTES) -> LanguageModel:
     """Fit on about ``per_language`` rows of each language, the first by hash.
 
     Rows that are held out, and rows without a language or a letter, are not
-    learnt from. The model's size depends on the number of languages only.
+    learnt from. The model's size depends on the languages only; it is reckoned
+    before anything is trained, and over ``most_bytes`` is an error.
     """
     known = plain(docs, "doc_id", "text", "lang").filter(~held_out(F.col("doc_id")) & F.col("lang").isNotNull())
     counts = known.groupBy("lang").count().limit(MOST_LANGUAGES + 1).collect()
@@ -188,6 +197,9 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageModel:
     model = LanguageModel()
     for lang in langs:
         model.families.setdefault(family_of(lang), []).append(lang)
+    size = machine_bytes(model.families)
+    if size > most_bytes:
+        raise ValueError(f"{len(langs)} languages in {len(model.families)} families need {size} bytes of machines, over {most_bytes}")
     pairs = []
     for a, b in combinations(sorted(model.families), 2):
         pairs += [(lang, f"family:{a}", f"family:{b}", True) for lang in model.families[a]]
