@@ -58,3 +58,21 @@ def test_edge_cases(spark, docs):
     assert q.quality_scores(docs().limit(0), labels).count() == 0
     kept = q.keep_good(odd, labels)
     assert kept.columns == odd.columns and kept.count() <= 6
+
+
+def test_kept_rows_are_those_that_score(spark, docs):
+    """The stage against the scores of the query, with repeated rows, nulls and clashing columns."""
+    rng = np.random.default_rng(7)
+    words = ["river", "mill", "town", "the", "of", "and", "qqq", "zzz!!", "1234"]
+    rows = [(i, " ".join(rng.choice(words[:6] if i % 2 else words[6:], 20 + i % 30))) for i in range(200)]
+    rows += [(300, None), (301, ""), (5, rows[5][1]), (None, rows[4][1])]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id bigint, quality int")
+    odd = docs(*rows).withColumn("x", F.lit("x")).withColumn("fold", F.lit("f")).withColumn("score", F.lit("s"))
+    score = {(r.doc_id, r.text): None for r in odd.collect()}
+    by_id = {r.doc_id: r.score for r in q.quality_scores(odd, labels).collect()}
+    kept = q.keep_good(odd, labels)
+    got = kept.collect()
+    assert kept.schema == odd.schema
+    want = sorted((r for r in odd.collect() if by_id[r.doc_id] >= q.REJECT_BELOW), key=repr)
+    assert sorted(got, key=repr) == want and 90 < len(want) < len(score)
+    assert q.keep_good(odd.limit(0), labels).count() == 0

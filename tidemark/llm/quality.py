@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.common import column_of, parts, plain, settled
 
@@ -290,13 +291,26 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame, labels: DataFrame, least: float = REJECT_BELOW) -> DataFrame:
     """The rows of ``docs``, unchanged, whose text scores ``least`` or more.
 
-    Rows are judged where they are read, so no text is shuffled.
+    A text is measured once: the rows are settled with their statistics, the
+    model is fitted on those, and the rows are judged where they lie, so none
+    is shuffled. Null and empty texts are judged like others, repeated rows
+    each; an empty table gives an empty one. Columns of ``docs`` keep their
+    names and order, whatever they are called, but for ``__x``.
     """
-    model = fit(measured(docs), labels)
+    kept = docs.schema.fields
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts(batches, "text"):
-            x = np.array([statistics(t.as_py()) for t in column_of(part, "text")])
-            yield part.filter(pa.array(model.score(x) >= least))
+            x = [statistics(t.as_py()) for t in column_of(part, "text")]
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(x, pa.list_(pa.float64()))], [*part.schema.names, "__x"])
+
+    rows = settled(docs.mapInArrow(measure, T.StructType([*kept, T.StructField("__x", T.ArrayType(T.DoubleType()))])), "judged")
+    doc_id = F.col("doc_id").cast("bigint")
+    model = fit(rows.select(doc_id.alias("doc_id"), fold_of(doc_id).alias("fold"), F.col("__x").alias("x")), labels)
+
+    def judge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = np.array(column_of(batch, "__x").flatten()).reshape(-1, _SIZE)
+            yield batch.filter(pa.array(model.score(x) >= least)).select([f.name for f in kept])
 
-    return docs.mapInArrow(run, docs.schema)
+    return rows.mapInArrow(judge, docs.schema)
