@@ -10,12 +10,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators import routing
 from tidemark.plans.pipeline import Resources, build_pipeline, score_all
-from tidemark.sources.posts import read_posts, write_unrouted
+from tidemark.sources.posts import write_unrouted
 from tidemark.sources.sink import write_sentiment
 
 #: The name of the counts in a query's progress.
@@ -72,17 +71,17 @@ def run_stream(
                 held.unpersist()
 
     else:
-        # Joins take a finished batch: it is staged beside the checkpoint. There
-        # are two stages, taken in turn, and a batch is kept until the next but
-        # one, so what is staged stays as large as two batches.
+        # The tables are joined with the batch itself, which is held because it is read for both outputs.
         stream = source
 
         def store(batch: DataFrame, batch_id: int) -> None:
-            staged = f"{checkpoint}/staged/{batch_id % 2}"
-            batch.write.mode("overwrite").parquet(staged)
-            posts = read_posts(resources.spark, staged)
-            rest = None if unrouted is None else posts.filter(routing.is_unrouted(supported))
-            publish(build_pipeline(posts, resources, language, fixed), rest, batch_id)
+            held = batch if unrouted is None else batch.persist()
+            try:
+                rest = None if unrouted is None else held.filter(routing.is_unrouted(supported))
+                publish(build_pipeline(held, resources, language, fixed), rest, batch_id)
+            finally:
+                if unrouted is not None:
+                    held.unpersist()
 
     return (
         stream.writeStream.option("checkpointLocation", checkpoint)
