@@ -23,7 +23,7 @@ from tidemark.operators import routing, rowkey, sentiment, tagger, train
 from tidemark.operators.ner import Token, recognise, token_info
 from tidemark.plans.pipeline import Resources, annotate, build_pipeline, text_stages
 from tidemark.sources import sink
-from tidemark.sources.posts import read_unrouted, stream_posts
+from tidemark.sources.posts import read_posts, read_unrouted, stream_posts
 from tidemark.streaming.stream import OBSERVED, run_stream
 
 #: A file of one row group is one task. Where that is too few, as on one machine
@@ -608,6 +608,22 @@ def stream_unrouted(spark, sf_dir):
     return read_unrouted(spark, f"{folder}/rest").groupBy("language").agg(F.count("*").alias("posts"))
 
 
+@query(
+    "SELECT CASE WHEN doc_id % 7 <> 0 THEN lang END AS language, doc_id % 7 = 0 AS corrupt, count(*) AS posts, "
+    "count(DISTINCT doc_id) AS whole FROM documents GROUP BY 1, 2"
+)
+def corrupt_posts(spark, sf_dir):
+    # Every seventh line is cut off: it comes out raw, with its number still in it.
+    folder = f"{shared_folder(spark)}/corrupt-{uuid.uuid4().hex}"
+    line = F.to_json(F.struct(F.col("rowkey"), F.col("content"), F.col("language")))
+    cut = F.when(F.col("rowkey").cast("bigint") % 7 == 0, F.substring(line, 1, 24)).otherwise(line)
+    posts(spark, sf_dir).select(cut.alias("value")).write.text(f"{folder}/posts")
+    read = read_posts(spark, f"{folder}/posts", "json")
+    corrupt = F.col("rowkey").isNull() & F.col("content").startswith('{"rowkey":"')
+    number = F.coalesce("rowkey", F.regexp_extract("content", '^\\{"rowkey":"([0-9]+)"', 1))
+    return read.groupBy("language", corrupt.alias("corrupt")).agg(F.count("*").alias("posts"), F.count_distinct(number).alias("whole"))
+
+
 _FIRST_KEYS = "(SELECT DISTINCT split_part(rowkey, '_', 1) AS rowkey FROM posts ORDER BY 1 LIMIT 5)"
 
 

@@ -1,11 +1,16 @@
 """A stream that fails between the two outputs of a batch, and goes on."""
 
+import os
+import subprocess
+import sys
+
 import pytest
 from pyspark.errors import StreamingQueryException
 
 from tidemark import EngineConfig
+from tidemark.config import package_zip
 from tidemark.jobs import run_batch, run_stream_job
-from tidemark.sources.posts import read_unrouted, write_unrouted
+from tidemark.sources.posts import read_posts, read_unrouted, write_unrouted
 from tidemark.sources.sink import read_sentiment
 from tidemark.streaming.stream import OBSERVED
 
@@ -76,3 +81,32 @@ def test_a_repeated_batch_overwrites_its_unrouted_posts(spark, tmp_path):
         write_unrouted(some, path, "w", 0)
     write_unrouted(some.limit(1), path, "v", 0)
     assert read_unrouted(spark, path).count() == 3
+
+
+def test_rows_that_do_not_parse_come_out_unrouted(spark, tmp_path):
+    """As raw text, from the batch job and from the stream."""
+    good = ['{"rowkey": "a", "content": "This is good :)", "language": "en"}', '{"rowkey": "c", "content": "nada", "language": "es"}']
+    bad = ['{"rowkey": "b", "content": "cut', "no json at all"]
+    source = tmp_path / "in"
+    source.mkdir()
+    (source / "posts.json").write_text("\n".join([good[0], *bad, good[1]]))
+    want = sorted([("c", "nada", "es"), *[(None, line, None) for line in bad]], key=repr)
+    batch = EngineConfig(input_path=str(source), input_format="json", output_path=str(tmp_path / "o1"), unrouted_path=str(tmp_path / "r1"))
+    assert run_batch(spark, batch) == {"posts": 4, "unrouted": 3, "other": 0, "null_rowkey": 0, "null_content": 0, "scored": 1}
+    stream = EngineConfig(input_path=str(source), input_format="json", output_path=str(tmp_path / "o2"), unrouted_path=str(tmp_path / "r2"))
+    run_stream_job(spark, stream).awaitTermination()
+    for config in (batch, stream):
+        assert rows(read_unrouted(spark, config.unrouted_path)) == want
+        assert rows(read_sentiment(spark, config.output_path)) == [("a", 1)]
+    (tmp_path / "posts.csv").write_text("a,fine,en\nonly one field\nb,fine,en,and,more\n")
+    assert rows(read_posts(spark, str(tmp_path / "posts.csv"), "csv")) == sorted(
+        [("a", "fine", "en"), (None, "only one field", None), (None, "b,fine,en,and,more", None)], key=repr
+    )
+
+
+def test_the_package_runs_from_its_zip(tmp_path):
+    """A worker that has only the zip can import what the jobs send by name."""
+    path = package_zip(str(tmp_path))
+    code = f"import sys; sys.path[:] = [p for p in sys.path if p and 'repo' not in p]; sys.path.insert(0, {path!r}); import tidemark.operators.tagger as t; print(t.__file__)"
+    found = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=tmp_path, env={**os.environ, "PYTHONPATH": ""}, check=True)
+    assert path in found.stdout

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
 import uuid
 from dataclasses import dataclass, fields
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,8 +57,26 @@ class EngineConfig:
         return cls._typed({k.strip(): v.strip() for k, v in pairs})
 
 
+def package_zip(folder: str) -> str:
+    """This package as a zip file in ``folder``, for the workers of a cluster."""
+    root = Path(__file__).resolve().parent
+    return shutil.make_archive(f"{folder}/{root.name}", "zip", root.parent, root.name)
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the workers, which run its functions by name.
+
+    A session that was made elsewhere needs this once, unless the package is
+    installed on every machine. Spark itself hands the file to the workers.
+    """
+    spark.sparkContext.addPyFile(package_zip(tempfile.mkdtemp()))
+
+
 def session(app: str = "tidemark", **conf: str) -> SparkSession:
-    """A session with the settings the pipeline relies on; ``conf`` overrides."""
+    """A session with the settings the pipeline relies on; ``conf`` overrides.
+
+    On a cluster the package is sent to the workers.
+    """
     defaults = {
         "spark.sql.adaptive.enabled": "true",
         # The stage expressions are large; tracing each Python call site doubles their cost.
@@ -66,7 +87,10 @@ def session(app: str = "tidemark", **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     for key, value in {**defaults, **conf}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    if not spark.sparkContext.master.startswith("local["):
+        ship(spark)
+    return spark
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -6,17 +6,43 @@ import hashlib
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.schema import POST
 
 
+#: Formats whose rows may fail to parse, one by one.
+PARSED = ("json", "csv")
+_CORRUPT = "_corrupt_record"
+
+
+def _schema(format: str) -> T.StructType:
+    return T.StructType([*POST.fields, T.StructField(_CORRUPT, T.StringType())]) if format in PARSED else POST
+
+
+def _with_corrupt(posts: DataFrame, format: str) -> DataFrame:
+    """Posts of a parsed format: a row that does not parse is a post without key and language, its content the raw text."""
+    if format not in PARSED:
+        return posts
+    broken = F.col(_CORRUPT).isNotNull()
+    return posts.select(
+        F.when(~broken, F.col("rowkey")).alias("rowkey"),
+        F.when(broken, F.col(_CORRUPT)).otherwise(F.col("content")).alias("content"),
+        F.when(~broken, F.col("language")).alias("language"),
+    )
+
+
 def read_posts(spark: SparkSession, path: str, format: str = "parquet", **options: str) -> DataFrame:
     """All posts under ``path``; the schema is given, never inferred.
 
-    Spark cuts the files into splits of ``spark.sql.files.maxPartitionBytes``;
+    A row of a text format that does not parse is kept: it has no key and no
+    language, and its content is the raw text, so it comes out with the posts
+    that no pipeline takes. Spark cuts the files into splits of ``spark.sql.files.maxPartitionBytes``;
     that setting, not a shuffle, is what spreads the work.
     """
-    return spark.read.format(format).schema(POST).options(**options).load(path)
+    found = spark.read.format(format).schema(_schema(format)).options(columnNameOfCorruptRecord=_CORRUPT, **options).load(path)
+    return _with_corrupt(found, format)
 
 
 def stream_posts(
@@ -32,11 +58,13 @@ def stream_posts(
 
     ``after`` is what happens to a consumed file: ``archive`` (into the folder
     ``archive``) or ``delete``. The checkpoint, not the deletion, is what makes
-    a file count once, so a failed batch is read again rather than lost.
+    a file count once, so a failed batch is read again rather than lost. Rows
+    that do not parse come as :func:`read_posts` tells.
     """
     reader = (
         spark.readStream.format(format)
-        .schema(POST)
+        .schema(_schema(format))
+        .option("columnNameOfCorruptRecord", _CORRUPT)
         .option("maxFilesPerTrigger", max_files)
         .options(**options)
     )
@@ -44,7 +72,7 @@ def stream_posts(
         reader = reader.option("cleanSource", after)
     if archive is not None:
         reader = reader.option("sourceArchiveDir", archive)
-    return reader.load(path)
+    return _with_corrupt(reader.load(path), format)
 
 
 def write_unrouted(posts: DataFrame, path: str, writer: str, batch_id: int) -> None:
