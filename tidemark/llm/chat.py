@@ -8,7 +8,7 @@ other rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import plain, settled
@@ -156,6 +156,9 @@ def link_calls(calls: DataFrame, results: DataFrame, tools: DataFrame) -> DataFr
     )
     state = settled(state, "state")
     checked = validated(calls, tools)
+    # Calls and results meet their call's one row by hash join on the identifier; the
+    # runtime cuts a skewed key of the left side.
+    state = state.hint("shuffle_hash")
     met = checked.join(state, _same(checked, state, ("conv_id", "f_conv")) & (checked["call_id"] == state["f_call"]), "left")
     first = F.col("chosen").isNotNull() & F.col("chosen").eqNullSafe(body)
     status = (
@@ -233,3 +236,10 @@ CONVERSATION_TOOLS = [
     ("ask", "turn", "integer", True, None),
     ("configure", "instruction", "string", True, None),
 ]
+
+
+def conversation_tools(spark: SparkSession) -> DataFrame:
+    """:data:`CONVERSATION_TOOLS` as a table, written in expressions."""
+    kinds = [f.split(" ")[1] for f in TOOLS.split(", ")]
+    rows = [F.struct(*[F.lit(v).cast(k).alias(n.split(" ")[0]) for v, k, n in zip(row, kinds, TOOLS.split(", "))]) for row in CONVERSATION_TOOLS]
+    return spark.range(1).select(F.inline(F.array(*rows)))

@@ -129,7 +129,7 @@ FROM t LEFT JOIN l ON l.conv_id = t.conv_id AND l.turn = t.turn - 1 WHERE NOT as
 @query(_CHAT)
 def op4_tool_calls(spark, sf_dir):
     calls, results = chat.from_conversations(table(spark, sf_dir, "conversations"))
-    return chat.link_calls(calls, results, spark.createDataFrame(chat.CONVERSATION_TOOLS, chat.TOOLS))
+    return chat.link_calls(calls, results, chat.conversation_tools(spark))
 
 
 @query()
