@@ -108,8 +108,11 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """``df`` written once as a table of the shared folder, and read back."""
-    path = f"{shared_folder(df.sparkSession)}/settled-{uuid.uuid4().hex}"
+def settle(df: DataFrame, name: str = "settled") -> DataFrame:
+    """``df`` written once as a table of the shared folder, and read back.
+
+    Later steps read the table, so a lost executor costs its own tasks only.
+    """
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
