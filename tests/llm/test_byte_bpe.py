@@ -6,6 +6,7 @@ import pytest
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tidemark.llm import byte_bpe, queries
 
@@ -70,3 +71,15 @@ def test_frames_and_edge_cases(docs, reference):
 def test_gaps_in_ranks_are_refused():
     with pytest.raises(ValueError):
         byte_bpe.serialise_model({b"a": 0, b"b": 2})
+
+
+def test_checked_encoding_of_odd_rows(docs):
+    """Nulls, repeats, long texts and clashing columns in the pipeline's last stage."""
+    rows = [(1, None), (2, ""), (3, "z" * 50_000), (4, "one two"), (4, "one two"), (None, "ü 日本")]
+    odd = docs(*rows).withColumn("ids", F.lit("x")).withColumn("n_tokens", F.lit("y")).withColumn("decoded", F.lit("z"))
+    got = byte_bpe.encode_checked(odd, queries.RANKS, public_tokenizers.PATTERN)
+    assert got.columns == ["doc_id", "lang", "source", "n_chars", "decoded", "n_tokens", "ids"]
+    bpe = byte_bpe.codec(queries.RANKS, public_tokenizers.PATTERN)
+    found = sorted(((r.doc_id, bpe.decode(np.array(r.ids, int)), r.n_tokens == len(r.ids), r.decoded) for r in got.collect()), key=repr)
+    assert found == sorted(((i, (t or "").encode(), True, "z") for i, t in rows), key=repr)
+    assert byte_bpe.encode_checked(odd.limit(0), queries.RANKS, public_tokenizers.PATTERN).count() == 0

@@ -224,7 +224,10 @@ def encode_checked(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """``docs`` with ``ids`` and ``n_tokens`` in place of ``text``.
 
     Each text is decoded again in the same pass; a text that does not come back
-    byte for byte is an error, not a row.
+    byte for byte is an error, not a row. A null text has no ids; empty and very
+    long texts and repeated rows are rows like others, columns of ``docs`` that
+    are named ``ids`` or ``n_tokens`` give way, and an empty table gives an
+    empty one.
     """
     kept = [f for f in docs.schema.fields if f.name not in ("text", "ids", "n_tokens")]
     rows = docs.select(*[f"`{f.name}`" for f in kept], "text")

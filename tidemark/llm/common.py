@@ -2,24 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.config import shared_folder
-
-
-def settled(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once as a table of the shared folder, and read back.
-
-    Later steps read the table, so a lost executor costs its own tasks only.
-    """
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+from tidemark.config import settle as settled  # noqa: F401  (the operators take it from here)
 
 
 def column_of(batch: pa.RecordBatch, name: str) -> pa.Array:
