@@ -110,3 +110,16 @@ def test_the_package_runs_from_its_zip(tmp_path):
     code = f"import sys; sys.path[:] = [p for p in sys.path if p and 'repo' not in p]; sys.path.insert(0, {path!r}); import tidemark.operators.tagger as t; print(t.__file__)"
     found = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=tmp_path, env={**os.environ, "PYTHONPATH": ""}, check=True)
     assert path in found.stdout
+
+
+def test_joined_tables_with_both_outputs(spark, tmp_path):
+    """Tables that are joined in a stream: one read of a batch, two outputs, counts once."""
+    source = str(tmp_path / "in")
+    spark.createDataFrame(ROWS, POSTS).coalesce(1).write.parquet(source)
+    config = EngineConfig(input_path=source, output_path=str(tmp_path / "out"), unrouted_path=str(tmp_path / "rest"), lookup="join")
+    job = run_stream_job(spark, config)
+    job.awaitTermination()
+    assert rows(read_sentiment(spark, config.output_path)) == WANT
+    assert rows(read_unrouted(spark, config.unrouted_path)) == sorted([ROWS[2], ROWS[5]], key=repr)
+    assert [p.observedMetrics[OBSERVED].asDict() for p in job.recentProgress if p.numInputRows] == [COUNTS]
+    assert not list((tmp_path / "out").rglob("staged"))
