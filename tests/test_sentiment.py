@@ -1,11 +1,13 @@
 import math
+import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.operators.sentiment import PolarityTables, classify, polarity_vote, with_scores
 from tidemark.operators.train import fit_nb
 from tidemark.schema import TAGGED
-from tidemark.sources.resources import load_nb_model, load_polarity_lexicon, model_lines
+from tidemark.sources.resources import Model, load_nb_model, load_polarity_lexicon, model_lines
 
 # The few model rows these cases need (fixed values).
 MODEL = """<number_of_docs>48117</number_of_docs>
@@ -77,6 +79,33 @@ def test_golden(spark, loaded, bounds):
     assert [r.sentiment for r in got] == [want for _, want in CASES]
 
 
+def test_lists_of_any_size_are_joined(spark, loaded):
+    """Over 10,000 listed words: an error in the row, the same results by joins."""
+    lexicon, model = loaded
+    more = spark.range(12_000).select(F.lit("neg_noun").alias("name"), F.format_string("w%d", "id").alias("word"))
+    large = Model(model.n_docs, model.prior, model.cond, model.lists.select("name", "word").union(more))
+    with pytest.raises(ValueError, match="lookup='join'"):
+        PolarityTables(lexicon, large)
+    texts = [t for t, _ in CASES] + ["w11999/NN good/JJ", "w12000/NN good/JJ", "w5/NN must/V good/JJ"]
+    tables = PolarityTables(lexicon, large, by="join")
+    got = classify(frame(spark, texts), tables).orderBy("rowkey")
+    assert [r.sentiment for r in got.collect()] == [want for _, want in CASES] + [-1, 1, -1]
+    assert got.columns == ["rowkey", "sentiment"]
+
+
+@pytest.mark.parametrize("fixed", [False, True])
+def test_both_ways_of_the_lists_agree(spark, loaded, fixed):
+    """Random posts over listed, polar and other words, in both modes."""
+    rng = random.Random(3)
+    words = ["not/RB", "no/DT", "no/JJ", "very/RB", "too/RB", "none/NN", "must/VB", "good/JJ", "bad/NN", "love/VB", "of/IN", ",/Fc", "mill/NN"]
+    texts = [" ".join(rng.choices(words, k=rng.randint(1, 9))) for _ in range(150)]
+    ways = []
+    for bounds in ({}, {"by": "join"}):
+        scored = with_scores(frame(spark, texts), PolarityTables(*loaded, **bounds), fixed)
+        ways.append([(r.rowkey, r.scores.hits, round(r.scores.pos, 9), round(r.scores.neg, 9)) for r in scored.orderBy("rowkey").collect()])
+    assert ways[0] == ways[1] and len({w[1:] for w in ways[0]}) > 20
+
+
 def test_score_of_one_word(spark, loaded):
     row = with_scores(frame(spark, ["good/JJ"]), PolarityTables(*loaded)).first()
     assert math.exp(row.scores.pos) == pytest.approx(0.03180025167514737, rel=1e-12)

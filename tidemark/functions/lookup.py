@@ -110,6 +110,11 @@ class Lookup:
             self._variable = Probe(name, buckets)
         return self._variable
 
+    @property
+    def probe(self) -> Probe:
+        """What :meth:`bind` hands out, for expressions that are built ahead of it."""
+        return self.publish() if self.by == "in_row" else Probe(self._hits, JOIN_BUCKETS)
+
     def bind(self, df: DataFrame, keys: Column) -> tuple[DataFrame, Probe]:
         """Make the table reachable from expressions over ``df``.
 
@@ -151,7 +156,7 @@ class Lookup:
         # Many copies of one key set make one hot name here; the hits side has a
         # single row for it, so the runtime skew split divides the posts side.
         bound = named.drop("_keys").join(found, ["_k1", "_k2"], "left").drop("_k1", "_k2")
-        return bound, Probe(self._hits, JOIN_BUCKETS)
+        return bound, self.probe
 
 
 def drop_bound(df: DataFrame) -> DataFrame:

@@ -67,14 +67,25 @@ def word_scores(lexicon: DataFrame, model: Model) -> DataFrame:
 
 
 class PolarityTables:
-    """Lexicon and model prepared for in-row scoring."""
+    """Lexicon and model prepared for in-row scoring.
+
+    The word lists go into the expressions, up to 10,000 words, unless the
+    lookup is by joins: then lists of any size are joined as well, by the
+    lemmas of a post. A compound is not looked up in lists that are joined.
+    """
 
     def __init__(self, lexicon: DataFrame, model: Model, **bounds):
         self.n_docs = model.n_docs.select("n_docs").first()[0]
         prior = {r["cat"]: r["p"] for r in few(model.prior.filter(F.col("cat").isin(POSITIVE, NEGATIVE)), "priors")}
         self.prior = {c: prior[c] for c in (POSITIVE, NEGATIVE)}
-        listed = few(model.lists.filter(F.col("name").isin(*LISTS)).distinct(), "listed words")
-        self.lists = {n: sorted(r["word"] for r in listed if r["name"] == n) for n in {r["name"] for r in listed}}
+        rows = model.lists.filter(F.col("name").isin(*LISTS)).distinct()
+        self.joined_lists: Lookup | None = None
+        if bounds.get("by") == "join":
+            flags = rows.groupBy("word").agg(*[F.max(F.col("name") == n).alias(n) for n in LISTS])
+            self.joined_lists = Lookup(flags, "word", F.struct(*LISTS), **bounds)
+        else:
+            listed = few(rows, "listed words for lookups in the row; use lookup='join'")
+            self.lists = {n: sorted(r["word"] for r in listed if r["name"] == n) for n in {r["name"] for r in listed}}
         self.smooth = F.ln(float32(F.lit(1.0) / F.lit(float(self.n_docs))))
         self.scores = Lookup(
             word_scores(lexicon, model),
@@ -89,8 +100,23 @@ class PolarityTables:
         )
 
     def listed(self, word: Column, name: str) -> Column:
+        if self.joined_lists is not None:
+            return F.coalesce(self.joined_lists.probe(word)[name], F.lit(False))
         return word.isin(*self.lists.get(name, [])) if self.lists.get(name) else F.lit(False)
 
+    def opens(self, word: Column) -> Column:
+        """Whether a compound may begin with this content word."""
+        any_of = self.listed(word, LISTS[1])
+        for name in LISTS[2:]:
+            any_of = any_of | self.listed(word, name)
+        return any_of & ~self.listed(word, LISTS[0])
+
+    def bind(self, df: DataFrame) -> tuple[DataFrame, Probe]:
+        """Make lists and scores reachable over ``df``, which has ``tagged``."""
+        if self.joined_lists is not None:
+            df, _ = self.joined_lists.bind(df, _lemmas())
+        return self.scores.bind(df, build_once(_score_keys, self))
+
 
 def _gate(tagged: Column, fixed: bool) -> Column:
     """Lines the polarity stage reads: three fields, a word before a blank."""
@@ -236,6 +262,10 @@ def decide(balance: Column, hits: Column, pos: Column, neg: Column) -> Column:
     )
 
 
+def _lemmas() -> Column:
+    return F.transform("tagged", lambda x: x["lemma"])
+
+
 def _score_keys(tables: PolarityTables) -> Column:
     """The lemmas, and each joined to the nearest operator among content lines before it.
 
@@ -243,20 +273,16 @@ def _score_keys(tables: PolarityTables) -> Column:
     one is an operator, it is the nearest. Lines that are no content do not
     count, as they do not part a compound.
     """
-    lemmas = F.transform("tagged", lambda x: x["lemma"])
-    operators = sorted({w for n in LISTS[1:] for w in tables.lists.get(n, [])} - set(tables.lists.get(LISTS[0], [])))
-    if not operators:
-        return lemmas
 
     def step(last: Column, x: Column) -> Column:
-        opens = x["lemma"].isin(*operators) & x["tag"].rlike(CONTENT_TAG)
+        opens = x["tag"].rlike(CONTENT_TAG) & tables.opens(x["lemma"])
         return F.struct(
             F.when(opens, x["lemma"]).otherwise(last).alias("state"),
             F.when(last != "", F.concat(last, F.lit("_"), x["lemma"])).alias("out"),
         )
 
     joined = F.filter(scan(F.col("tagged"), F.lit(""), step, "string"), lambda n: n.isNotNull())
-    return F.concat(lemmas, joined)
+    return F.concat(_lemmas(), joined)
 
 
 def _scores(tables: PolarityTables, probe: Probe, fixed: bool) -> Column:
@@ -266,7 +292,7 @@ def _scores(tables: PolarityTables, probe: Probe, fixed: bool) -> Column:
 
 def with_scores(df: DataFrame, tables: PolarityTables, fixed: bool = False) -> DataFrame:
     """Add ``balance`` and ``scores`` (``hits``, ``pos``, ``neg``)."""
-    df, probe = tables.scores.bind(df, build_once(_score_keys, tables))
+    df, probe = tables.bind(df)
     balance = emoticon_balance(F.col("tagged"), fixed)
     scored = df.withColumn("scores", build_once(_scores, tables, probe, fixed))
     return drop_bound(scored.withColumn("balance", balance))
