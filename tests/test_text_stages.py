@@ -22,6 +22,9 @@ COMPAT = [
     ("He won't, they'll I've xx's cannot musta 5'6 a: b/ c", None, "He will not , they will I have xx '2 can not must have 5'6 a : b / c"),
     ("2,1.5", None, "2,144 DOTQUANT775"),
     ("]] ![CDATA[ ok", None, "ok"),
+    ("jaja ejej jiji haha heheh hihi", None, " ".join(["EMOT_POS"] * 6)),
+    ("JAJA EJEJ JIJI HAHA HEHEH HIHI", None, " ".join(["EMOT_POS"] * 6)),
+    ("jaj hah jajx xhaha jahe", None, "jaj hah jajx xhaha jahe"),
 ]
 FIXED = [
     ("I love it. It's 3.5 stars... :)", "I love it . It 's 3.5 stars ... EMOT_POS"),
