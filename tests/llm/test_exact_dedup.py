@@ -70,6 +70,23 @@ def test_live_index(docs):
     assert seen == {"ab": True, "c": False, "d": True, None: False}
 
 
+def test_contains_asks_the_index(spark, docs):
+    """Against a set, after insertions and deletions, with repeats, odd columns and an empty index."""
+    rng = random.Random(11)
+    texts = [f"text {i}" for i in range(400)]
+    first, more, gone = (rng.sample(texts, 150) for _ in range(3))
+    index = ed.live_index(docs(*enumerate(first)), parts=4)
+    index = ed.apply_changes(index, docs(*enumerate(more)), docs(*enumerate(gone)), parts=4)
+    count = {t: max(0, (t in first) + (t in more) - (t in gone)) for t in texts}
+    asked = docs(*enumerate(texts), (500, texts[0]), (501, texts[0]), (502, None)).withColumn("digest", F.lit("mine")).withColumn("part", F.lit(0))
+    got = ed.contains(index, asked, parts=3)
+    assert got.columns == [*asked.columns, "seen"]
+    rows = got.collect()
+    assert len(rows) == 403 and all(r.seen == (count.get(r.text, 0) > 0) for r in rows)
+    assert not any(r.seen for r in ed.contains(index.limit(0), asked).collect())
+    assert ed.contains(index, asked.limit(0)).count() == 0
+
+
 def test_a_column_named_text_key(docs):
     rows = docs((1, "a b"), (2, "ab"), (3, "c"), (3, "c")).withColumn("text_key", F.lit("mine"))
     got = ed.drop_exact_duplicates(rows).collect()

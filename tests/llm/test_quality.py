@@ -13,6 +13,53 @@ def auc(pairs):
     return np.mean([(g > b) + 0.5 * (g == b) for g in good for b in bad])
 
 
+def brute(rows, labels):
+    """Scores by the method over all rows at once, without Spark: kernel features, ridge, isotonic means by max-min."""
+    x = {i: np.array(q.statistics(t)) for i, t in rows}
+    fold = {i: zlib.crc32(str(i).encode()) % q.FOLDS for i in x}
+    train = [i for i in x if fold[i] != q.HELD_FOLD and i in labels]
+    raw = np.array([x[i] for i in train])
+    mean, scale = raw.mean(axis=0), raw.std(axis=0)
+    scale[scale < 1e-9] = 1
+    z = {i: q.random_features(((v - mean) / scale)[None])[0] for i, v in x.items()}
+
+    def ridge(ids):
+        a, y = np.array([z[i] for i in ids]), np.array([labels[i] for i in ids], float)
+        penalty = q.RIDGE * len(ids) * np.eye(a.shape[1])
+        penalty[-1, -1] = 1e-9
+        return np.linalg.solve(a.T @ a + penalty, a.T @ y)
+
+    clipped = lambda weights, i: min(1.5, max(-0.5, z[i] @ weights))
+    hits = {}
+    for f in {fold[i] for i in train}:
+        weights = ridge([i for i in train if fold[i] != f])
+        for i in train:
+            if fold[i] == f:
+                hits.setdefault(round((clipped(weights, i) + 0.5) / 2 * q.BINS), []).append(labels[i])
+    bins = sorted(hits)
+    h, n = (np.array([float(of(hits[b])) for b in bins]) for of in (sum, len))
+    # mean[a, b] over bins a..b by running sums; the isotonic value is the largest over a of the least over b.
+    hs, ns = (np.concatenate([[0], np.cumsum(v)]) for v in (h, n))
+    means = (hs[None, 1:] - hs[:-1, None]) / np.where(ns[None, 1:] > ns[:-1, None], ns[None, 1:] - ns[:-1, None], np.nan)
+    level = [max(np.nanmin(means[a, i:]) for a in range(i + 1)) for i in range(len(bins))]
+    every = ridge(train)
+    value = {i: clipped(every, i) for i in x}
+    knots = np.array(bins) / q.BINS * 2 - 0.5
+    return {i: 0.999 * np.interp(v, knots, level) + 0.001 * (v + 0.5) / 2 for i, v in value.items()}
+
+
+def test_query_equals_brute_force(spark, sf):
+    """Every score of the query against one pass over all rows in memory."""
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    want = brute(rows, labels)
+    got = {r.doc_id: r.score for r in queries.op5_quality(spark, sf).collect()}
+    assert got.keys() == want.keys()
+    off = {i: abs(got[i] - want[i]) for i in want}
+    # A value on the edge between two bins may fall to either side by the order of summing.
+    assert sorted(off.values())[int(len(off) * 0.95)] < 1e-6 and max(off.values()) < 0.05
+
+
 def test_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.01"
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}

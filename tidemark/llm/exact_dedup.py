@@ -261,9 +261,32 @@ def apply_changes(index: DataFrame, added: DataFrame | None, removed: DataFrame
     return every.repartition(parts, "part").sortWithinPartitions("step").mapInArrow(run, _INDEX)
 
 
-def contains(index: DataFrame, docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` (all columns) with ``seen``: is the text live?"""
+def contains(index: DataFrame, docs: DataFrame, parts: int = 64) -> DataFrame:
+    """The rows of ``docs`` (all columns) with ``seen``: is the text live?
+
+    Each distinct digest asks the filter of its partition, into which the
+    stored keys stream first; what the filter does not rule out is verified in
+    the content. Null counts as empty; repeated rows are answered each; an empty
+    index has seen nothing. Columns of ``docs`` may have any names but
+    ``__digest`` and ``seen``. The answers are settled and joined back by plain
+    exchanges, so a hot text is split.
+    """
     keyed = docs.withColumn("__digest", F.unhex(F.sha2(normalised(F.col("text")), 256)))
-    live = index.select(F.col("digest").alias("__digest"), F.lit(True).alias("__live"))
-    out = keyed.join(live, "__digest", "left")
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns], F.coalesce("__live", F.lit(False)).alias("seen"))
+    asked = keyed.select(F.col("__digest").alias("digest")).distinct()
+    every = index.select("digest", F.lit(0).alias("step")).union(asked.select("digest", F.lit(1).alias("step")))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        live = CuckooIndex()
+        for batch in batches:
+            hits = []
+            for digest, step in zip(*[column_of(batch, c).to_pylist() for c in ("digest", "step")]):
+                if step == 0:
+                    live.put(digest, True)
+                elif live.get(digest):
+                    hits.append(digest)
+            yield pa.RecordBatch.from_arrays([pa.array(hits, pa.binary())], ["digest"])
+
+    ordered = every.repartition(parts, "digest").sortWithinPartitions("step")
+    found = settled(ordered.mapInArrow(run, "digest binary"), "live")
+    out = keyed.join(found.withColumnRenamed("digest", "__live"), F.col("__digest") == F.col("__live"), "left")
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns], F.col("__live").isNotNull().alias("seen"))
