@@ -70,11 +70,21 @@ class Lookup:
         self._variable: Probe | None = None
         self._hits = f"_hits_{next(_names)}"
 
-    def _measured(self) -> int:
-        """Rows of the table, once it has been found to stay within the bound."""
+    def _size(self) -> tuple[int, int]:
+        """Rows of the table, and their bytes as JSON text."""
         size = F.octet_length(F.to_json(F.struct("key", "value")))
         rows, total = self.table.agg(F.count("*"), F.sum(size)).first()
-        if rows > self.max_rows or (total or 0) > self.max_bytes:
+        return rows, total or 0
+
+    def fits(self) -> bool:
+        """Whether the table is within the bound for lookups in the row."""
+        rows, total = self._size()
+        return rows <= self.max_rows and total <= self.max_bytes
+
+    def _measured(self) -> int:
+        """Rows of the table, once it has been found to stay within the bound."""
+        rows, total = self._size()
+        if rows > self.max_rows or total > self.max_bytes:
             raise ValueError(
                 f"a lookup table of {rows} rows and {total} bytes is over the bound of {self.max_rows} rows "
                 f"and {self.max_bytes} bytes for lookups in the row; use lookup='join'"

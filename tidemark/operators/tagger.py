@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.lookup import Lookup, Probe, drop_bound
 from tidemark.functions.text import build_once, few, float32, let, scan
+from tidemark.operators.ner import PUNCT_TAGS
 from tidemark.schema import TAGGED
 from tidemark.sources.resources import Model
 
@@ -22,13 +23,20 @@ VETOES = (("PRP", ("L_VB_that", "L_VBd_that")), ("DT", ("R_END", "R_IN", "R_CC")
 
 ZERO = -1e9  # stands for the logarithm of zero; far below any real sum
 BEGIN = "BEGIN"
+END = "END"
+
+
+#: Frequent tags that are their own leading part: word classes, numbers, dates and marks.
+PLAIN_TAGS = ("NN", "NNP", "JJ", "RB", "IN", "DT", "VB", "VBZ", "Z", "Zu", "Zm", "W") + tuple(
+    sorted({t for t in PUNCT_TAGS.values() if len(t) == 2})
+)
 
 
 def coarse_tag(tag: Column) -> Column:
     """Leading part of a tag that the model distinguishes; '' if there is none."""
     return (
-        F.when(tag.isin("UNK"), "UN")
-        .when(tag.isin("NN", "NNP", "JJ", "RB", "IN", "DT", "VB", "VBZ"), tag)
+        F.when(tag.isin(*PLAIN_TAGS), tag)
+        .when(tag == "UNK", "UN")
         .when(
             tag.rlike("^(?:V|NNP|PRP)"),
             F.regexp_extract(tag, "([A-Z][A-Z][A-Z]?[A-Za-z$]?)", 1),
@@ -62,6 +70,73 @@ class PosTables:
         self.prior = Lookup(model.prior, "cat", F.col("p"), **bounds)
         known = few(model.prior.filter(F.col("cat").isin(*OPEN_CLASSES)), "open classes", len(OPEN_CLASSES))
         self.open_prior = {c: 0.0 for c in OPEN_CLASSES} | {r["cat"]: r["p"] for r in known}
+        self._shortcuts: dict[bool, Probe | None] = {}
+
+    def shortcut(self, fixed: bool) -> Probe | None:
+        """Classes of unknown words by their neighbours alone; null where a lookup is by joins.
+
+        Few words stand in a feature, and between the same tags all others get
+        the same class. ``_between(own, left, right)`` gives it for the usual tags,
+        and ``_in_feature(word)`` is there for each word that may stand in a
+        feature. Words that end in -ly or -ing are such words with tags of their own
+        (``GUESSED``). What is not listed is for the caller to work out.
+        """
+        if fixed not in self._shortcuts:
+            self._shortcuts[fixed] = self._publish_shortcut(fixed) if self.cond.by == "in_row" else None
+        return self._shortcuts[fixed]
+
+    def _publish_shortcut(self, fixed: bool) -> Probe | None:
+        cond = self.cond.publish()
+        tags = lambda *more: F.explode(F.array(*[F.lit(t) for t in sorted({*COMMON_TAGS, *more})]))
+        pairs = (
+            self.cond.table.sparkSession.range(1)
+            .select(tags("", BEGIN).alias("left"))
+            .select("left", tags(END, *GUESSED).alias("right"))
+        )
+        at_end = F.array(F.lit("R_" + END)) if fixed else F.expr("cast(array() as array<string>)")
+        names = F.transform(F.split("right", " "), lambda c: F.concat(F.lit("R_"), c))
+        right = F.when(F.col("right") == END, at_end).otherwise(names)
+        left = F.when(F.col("left") != "", F.array(F.concat(F.lit("L_"), "left"))).otherwise(F.slice(right, 1, 0))
+        known = pairs.select("left", "right", _known(cond, F.concat(right, left)).alias("evidence"))
+        evidence = F.col("evidence")
+
+        def listed(own: str, chosen: Column) -> DataFrame:
+            return known.select(_between(F.lit(own), F.col("left"), F.col("right")).alias("key"), chosen.alias("value"))
+
+        def guessed(own: str) -> Column:
+            cands = [F.struct(F.lit(c).alias("c"), F.lit("").alias("fine"), F.lit("").alias("lemma")) for c in own.split(" ")]
+            return _best(with_priors(F.array(*cands), self.prior.publish()), evidence, self, fixed)["c"]
+
+        chosen = listed("UN", _open_class(evidence, self, fixed))
+        for own in GUESSED:
+            chosen = chosen.union(listed(own, guessed(own)))
+        parts = F.split(F.expr("substr(key, 3)"), "_")
+        tails = F.transform(parts, lambda _, i: F.array_join(F.slice(parts, i + 1, F.size(parts)), "_"))
+        words = (
+            self.cond.table.filter("key like 'L\\\\_%' or key like 'R\\\\_%'")
+            .select(F.explode(F.slice(tails, 2, F.greatest(F.size(parts) - 1, F.lit(0)))).alias("word"))
+            .distinct()
+            .select(_in_feature(F.col("word")).alias("key"), F.lit("").alias("value"))
+        )
+        table = Lookup(
+            chosen.union(words), "key", F.col("value"), max_rows=self.cond.max_rows, max_bytes=self.cond.max_bytes
+        )
+        # The words of a model near the bound may be over it; all words are worked out then.
+        return table.publish() if table.fits() else None
+
+
+#: The tags of unknown words that end in -ly and -ing.
+GUESSED = ("UN RB", "UN VB")
+#: Coarse tags between which the classes of unknown words are listed.
+COMMON_TAGS = ("UN", "VBD", "VBG", "VBN", "VBP", "PRP", "PRP$", "CC", "TO", "MD", "CD", "EX", "Fa", "Fi", "Fl", "Fr", *PLAIN_TAGS)
+
+
+def _between(own: Column, left: Column, right: Column) -> Column:
+    return F.concat(own, F.lit("<"), left, F.lit(">"), right)
+
+
+def _in_feature(word: Column) -> Column:
+    return F.concat(F.lit("_"), word)
 
 
 def line_info(analyses: Column, fixed: bool = False) -> Column:
@@ -81,12 +156,11 @@ def line_info(analyses: Column, fixed: bool = False) -> Column:
             lambda x, i: (x["c"] != "")
             & ~F.exists(F.slice(xs, i + 2, F.size(xs)), lambda y: y["c"] == x["c"]),
         )
-        return F.when(F.size(an) == 1, raw).otherwise(let(raw, last))
+        return let(raw, last)
 
     def info(e: Column) -> Column:
         token, an = e["token"], e["analyses"]
         first = F.get(an, F.lit(0))
-        unknown = (F.size(an) == 1) & (first["tag"] == "UNK")
         as_unknown = cand(F.lit("UN"), F.lit("UNK"), first["lemma"])
         adverb = token.endswith("ly") & token.rlike("\\wly$")
         gerund = token.endswith("ing") & token.rlike("\\wing$")
@@ -98,20 +172,20 @@ def line_info(analyses: Column, fixed: bool = False) -> Column:
             first["tag"].alias("tag"),
             cands.alias("cands"),
         )
-        return (
-            F.when(first["tag"].isin(*BORDER_TAGS), build(3, several(an)))
-            .when(
-                unknown & adverb,
-                build(1, F.array(as_unknown, cand(F.lit("RB"), F.lit("RB"), first["lemma"]))),
-            )
-            .when(
-                unknown & gerund,
-                build(1, F.array(as_unknown, cand(F.lit("VB"), F.lit("VBG"), ing_lemma))),
-            )
-            .when(unknown, build(2, F.array(as_unknown)))
-            .when(F.size(an) == 1, build(0, several(an)))
-            .otherwise(build(1, several(an)))
+        unknown = (
+            F.when(adverb, build(1, F.array(as_unknown, cand(F.lit("RB"), F.lit("RB"), first["lemma"]))))
+            .when(gerund, build(1, F.array(as_unknown, cand(F.lit("VB"), F.lit("VBG"), ing_lemma))))
+            .otherwise(build(2, F.array(as_unknown)))
+        )
+        border = first["tag"].isin(*BORDER_TAGS)
+        alone = F.array(cand(coarse_tag(first["tag"]), first["tag"], first["lemma"]))
+        # Nearly every line has one analysis, which needs no search for the last of its kind.
+        one = (
+            F.when(first["tag"] == "UNK", unknown)
+            .when(border, build(3, alone))
+            .otherwise(build(0, alone))
         )
+        return F.when(F.size(an) == 1, one).when(border, build(3, several(an))).otherwise(build(1, several(an)))
 
     def upto_last_border(lines: Column) -> Column:
         back = F.array_position(F.reverse(F.transform(lines, lambda x: x["kind"])), 3)
@@ -212,6 +286,14 @@ def _best(cands: Column, evidence: Column, tables: PosTables, fixed: bool) -> Co
     return F.array_min(rank_candidates(cands, evidence, tables, fixed))["cand"]
 
 
+def _open_class(evidence: Column, tables: PosTables, fixed: bool) -> Column:
+    """The class of an unknown word; without evidence every class scores nothing and the prior decides."""
+    likeliest = min(OPEN_CLASSES, key=lambda c: (-tables.open_prior[c], c))
+    cands = F.array(*[F.struct(F.lit(c).alias("c"), F.lit(tables.open_prior[c]).alias("p")) for c in OPEN_CLASSES])
+    best = _best(cands, evidence, tables, fixed)
+    return F.when(F.size(evidence) > 0, best["c"]).otherwise(F.lit(likeliest))
+
+
 def with_priors(cands: Column, prior: Probe) -> Column:
     return F.transform(
         cands,
@@ -268,52 +350,105 @@ def all_scores(lines: Column, tables: PosTables, cond: Probe, prior: Probe) -> C
 def tag_lines(
     lines: Column, tables: PosTables, cond: Probe, prior: Probe, fixed: bool = False
 ) -> Column:
-    def emit(left: Column, token: Column, lemma: Column, tag: Column) -> Column:
-        return F.struct(
-            left.alias("state"),
-            F.struct(token.alias("token"), lemma.alias("lemma"), tag.alias("tag")).alias("out"),
-        )
+    """One tagged line for each line.
 
-    # Without evidence every class scores nothing and the prior decides.
-    likeliest = min(OPEN_CLASSES, key=lambda c: (-tables.open_prior[c], c))
+    Only a word with several tags hands on what is not known ahead. So the
+    left-to-right pass goes over those words and the unknown ones right behind
+    them; all other lines are worked out where they stand.
+    """
+    listed = tables.shortcut(fixed)
+    no_names = F.expr("cast(array() as array<string>)")
 
-    def unknown(x: Column, evidence: Column) -> Column:
-        cands = F.array(
-            *[
-                F.struct(F.lit(c).alias("c"), F.lit(tables.open_prior[c]).alias("p"))
-                for c in OPEN_CLASSES
-            ]
-        )
-        best = _best(cands, evidence, tables, fixed)
-        chosen = F.when(F.size(evidence) > 0, best["c"]).otherwise(F.lit(likeliest))
-        return emit(F.lit(""), x["token"], x["token"], chosen)
+    def out(token: Column, lemma: Column, tag: Column) -> Column:
+        return F.struct(token.alias("token"), lemma.alias("lemma"), tag.alias("tag"))
+
+    def chosen(x: Column, i: Column, before: Column) -> Column:
+        """Struct ``(c, lemma, tag)`` of a word that has a choice, after the tag ``before``."""
+        word = _word(x, _starts_sentence(lines, i))
+
+        def unknown(c: Column) -> Column:
+            return F.struct(F.lit("").alias("c"), x["token"].alias("lemma"), c.alias("tag"))
 
-    def several(x: Column, evidence: Column) -> Column:
+        def one_of(b: Column) -> Column:
+            return F.struct(b["c"].alias("c"), b["lemma"].alias("lemma"), b["fine"].alias("tag"))
+
+        def weigh(evidence: Column) -> Column:
+            best = _best(with_priors(x["cands"], prior), evidence, tables, fixed)
+            return F.when(x["kind"] == 2, unknown(_open_class(evidence, tables, fixed))).otherwise(let(best, one_of))
+
+        right = _known(cond, F.coalesce(_right_features(lines, x, i, word, fixed), no_names))
+        left = F.when(before != "", _known(cond, _left_features(before, word)))
+        weighed = let(F.concat(right, F.coalesce(left, F.slice(right, 1, 0))), weigh)
+        if listed is None:
+            return weighed
+        tags = lambda cands: F.array_join(F.transform(cands, lambda c: c["c"]), " ")
+        own = F.when(x["kind"] == 2, "UN").when(F.get(x["cands"], F.lit(0))["c"] == "UN", tags(x["cands"]))
+        after = F.get(lines, i + 1)
+        beside = (
+            F.when(after["kind"] == 3, END)
+            .when(F.size(after["cands"]) == 1, F.get(after["cands"], F.lit(0))["c"])
+            .otherwise(tags(after["cands"]))
+        )
+        usual = F.when(listed(_in_feature(word)).isNull(), listed(_between(own, before, beside)))
+        named = lambda c: F.get(F.filter(x["cands"], lambda k: k["c"] == c), F.lit(0))
         return let(
-            _best(with_priors(x["cands"], prior), evidence, tables, fixed),
-            lambda b: emit(b["c"], x["token"], b["lemma"], b["fine"]),
+            usual,
+            lambda c: F.when(c.isNull(), weighed).when(x["kind"] == 2, unknown(c)).otherwise(let(named(c), one_of)),
         )
 
+    # A line with one tag hands on that tag, an unknown word none.
+    handed = lambda i: F.when(F.get(lines, i - 1)["kind"] == 0, F.coalesce(F.get(F.get(lines, i - 1)["cands"], F.lit(0))["c"], F.lit(""))).otherwise("")
+
+    def left_tag(i: Column, passed: Column | None) -> Column:
+        first = F.when(_starts_sentence(lines, i), BEGIN)
+        if passed is not None:
+            first = first.when(F.get(lines, i - 1)["kind"] == 1, passed)
+        return first.otherwise(handed(i))
+
+    def depends(x: Column, i: Column) -> Column:
+        return (x["kind"] == 1) | ((x["kind"] == 2) & (i > 0) & (F.get(lines, i - 1)["kind"] == 1))
+
     # The pass goes over places, not lines: a list of prepared lines would copy them all.
-    def step(left: Column, i: Column) -> Column:
-        x, starts = F.get(lines, i), _starts_sentence(lines, i)
-        word = _word(x, starts)
-        right = _known(cond, F.coalesce(_right_features(lines, x, i, word, fixed), no_names))
-        before = F.when(starts, F.lit(BEGIN)).otherwise(left)
-        from_left = let(before, lambda b: F.when(b != "", _known(cond, _left_features(b, word))))
-        settled = emit(
-            F.coalesce(F.get(x["cands"], F.lit(0))["c"], F.lit("")), x["token"], x["lemma"], x["tag"]
+    def step(passed: Column, i: Column) -> Column:
+        x = F.get(lines, i)
+        return let(
+            let(left_tag(i, passed), lambda before: chosen(x, i, before)),
+            lambda b: F.struct(
+                b["c"].alias("state"), F.struct(i.alias("at"), out(x["token"], b["lemma"], b["tag"]).alias("line")).alias("out")
+            ),
         )
-        evidence = let(from_left, lambda l: F.when(l.isNotNull(), F.concat(right, l)).otherwise(right))
-        return (
-            F.when(x["kind"] == 2, let(evidence, lambda e: unknown(x, e)))
-            .when(x["kind"] == 1, let(evidence, lambda e: several(x, e)))
-            .otherwise(settled)
+
+    places = F.filter(F.transform(lines, lambda x, i: F.when(depends(x, i), i)), lambda i: i.isNotNull())
+    passed = scan(places, F.lit(""), step, f"struct<at:int,line:{TAGGED[len('array<') : -1]}>")
+
+    def merged(done: Column) -> Column:
+        # For each line up to the last of these its number among them, or -1.
+        numbers = F.flatten(
+            F.transform(
+                done,
+                lambda d, k: F.concat(
+                    F.array_repeat(F.lit(-1), d["at"] - F.when(k > 0, F.get(done, k - 1)["at"]).otherwise(-1) - 1), F.array(k)
+                ),
+            )
         )
 
-    no_names = F.expr("cast(array() as array<string>)")
-    places = F.transform(lines, lambda _, i: i)
-    return scan(places, F.lit(""), step, TAGGED[len("array<") : -1])
+        def placed(numbers: Column) -> Column:
+            def one(x: Column, i: Column) -> Column:
+                alone = let(
+                    let(left_tag(i, None), lambda before: chosen(x, i, before)),
+                    lambda b: out(x["token"], b["lemma"], b["tag"]),
+                )
+                return (
+                    F.when(F.get(numbers, i) >= 0, F.get(done, F.get(numbers, i))["line"])
+                    .when(x["kind"] == 2, alone)
+                    .otherwise(out(x["token"], x["lemma"], x["tag"]))
+                )
+
+            return F.transform(lines, one)
+
+        return let(numbers, placed)
+
+    return let(passed, merged)
 
 
 def _lines(fixed: bool) -> Column:
