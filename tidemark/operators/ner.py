@@ -204,7 +204,7 @@ def token_info(tokens: Column, probe: Probe) -> Column:
     only other tokens are tested for them.
     """
 
-    def shape(t: Column, d: Column) -> Column:
+    def shape(t: Column) -> Column:
         tests = (
             (UP, t.rlike(f"^{UPPER}")),
             (WORD, t.rlike(f"^{UPPER}{LOWER}")),
@@ -214,17 +214,12 @@ def token_info(tokens: Column, probe: Probe) -> Column:
         )
         bits = reduce(lambda a, b: a + b, [F.when(c, b).otherwise(0) for b, c in tests])
         of_mark = F.when(t.isin(*BOUNDARY), MARK | BOUND).otherwise(MARK)
-        return (
-            F.when(t.rlike("^[a-z]+$"), 0).when(d["mark"].isNotNull(), of_mark).otherwise(bits)
-        )
+        return F.when(t.rlike("^[a-z]+$"), 0).when(t.isin(*PUNCT_TAGS, *UNTAGGED), of_mark).otherwise(bits)
 
     return F.transform(
         tokens,
-        lambda t: let(
-            F.struct(F.lower(t).alias("lo"), probe(F.lower(t)).alias("d")),
-            lambda k: F.struct(
-                t.alias("t"), k["lo"], k["d"], shape(t, k["d"]).alias("shape")
-            ),
+        lambda t: F.struct(
+            t.alias("t"), F.lower(t).alias("lo"), probe(F.lower(t)).alias("d"), shape(t).alias("shape")
         ),
     )
 
@@ -363,8 +358,8 @@ def _one(lemma: Column, tag: Column) -> Column:
 def _outcome(info: Column, row: Column, i: Column, fixed: bool) -> Column:
     """What position ``i`` yields if the pass reaches it.
 
-    ``entry`` is the token or merged span; ``claim`` says how far it reaches
-    and is null for a word that stands alone.
+    ``entry`` is the token or merged span; ``claim`` says how far it reaches.
+    Null for a word that stands alone (:func:`_alone`), as most do.
     """
     x = Token(row)
     before, after = Token(F.get(info, i - 1)), Token(F.get(info, i + 1))
@@ -432,19 +427,22 @@ def _outcome(info: Column, row: Column, i: Column, fixed: bool) -> Column:
             _name(info, row, i, q, runs).alias("name"),
         ),
     )
-    alone = F.struct(
-        F.struct(
-            x.t.alias("token"),
-            F.when(row["shape"] == 0, F.coalesce(x.analyses, _one(x.lo, F.lit("UNK"))))
-            .when(x.mark.isNotNull(), _one(x.t, x.mark))
-            .when(x.t.rlike("\\S_\\S"), _one(x.lo, F.lit("NNP")))
-            .otherwise(F.coalesce(x.analyses, _one(x.lo, F.lit("UNK"))))
-            .alias("analyses"),
-        ).alias("entry"),
-        F.lit(None).cast(_CLAIM).alias("claim"),
-    )
     lone_word = (row["shape"].bitwiseAND(UP | DIGIT) == 0) & (i > 0) & ~x.special
-    return F.when(lone_word, alone).otherwise(let(named, finish))
+    return F.when(~lone_word, let(named, finish))
+
+
+def _alone(row: Column) -> Column:
+    """The entry of a word that stands alone."""
+    x = Token(row)
+    unknown = lambda: F.coalesce(x.analyses, _one(x.lo, F.lit("UNK")))
+    return F.struct(
+        x.t.alias("token"),
+        F.when(row["shape"] == 0, unknown())
+        .when(x.mark.isNotNull(), _one(x.t, x.mark))
+        .when(x.t.rlike("\\S_\\S"), _one(x.lo, F.lit("NNP")))
+        .otherwise(unknown())
+        .alias("analyses"),
+    )
 
 
 _ENTRY = f"struct<token:string,analyses:{ANALYSES}>"
@@ -568,7 +566,11 @@ def recognise_tokens(tokens: Column, probe: Probe, fixed: bool = False) -> Colum
 
         def entry(p: Column) -> Column:
             o = F.get(outcomes, p["i"])
-            return F.when(p["late"], o["claim"]["late"]["entry"]).otherwise(o["entry"])
+            return (
+                F.when(o.isNull(), _alone(F.get(info, p["i"])))
+                .when(p["late"], o["claim"]["late"]["entry"])
+                .otherwise(o["entry"])
+            )
 
         last = F.element_at(info, -1)["t"]
         # A post ending inside a number gets no closing mark in compat.
