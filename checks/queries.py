@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from checks.oracle import NOISE, _coarse, _noisy, after
 from checks.oracle_fixed import STAGES as FIXED
-from tidemark.config import EngineConfig, settle, shared_folder
+from tidemark.config import EngineConfig, settle, shared_folder, spread
 from tidemark.functions import text
 from tidemark.jobs import run_batch, run_stream_job
 from tidemark.operators import normalize as norm
@@ -26,8 +26,8 @@ from tidemark.sources import sink
 from tidemark.sources.posts import read_posts, read_unrouted, stream_posts
 from tidemark.streaming.stream import OBSERVED, run_stream
 
-#: A file of one row group is one task. Where that is too few, as on one machine
-#: with small tables, the caller may name a number of partitions here.
+#: A file of one row group is one task, and files of a few make tasks of very
+#: unequal work, so rows are dealt out. The caller may name a number of partitions.
 PARTS = "spark.tidemark.input_partitions"
 
 QUERIES: dict = {}
@@ -58,11 +58,28 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dealt(rows: DataFrame) -> DataFrame:
     parts = rows.sparkSession.conf.get(PARTS, None)
-    return rows.repartition(int(parts)) if parts else rows
+    return rows.repartition(int(parts)) if parts else spread(rows)
 
 
 def _noise(column: Column) -> Column:
-    return reduce(lambda c, n: F.replace(c, F.lit(n[0]), F.lit(n[1])), NOISE, column)
+    """``column`` with each replacement of ``NOISE`` made, one after the other.
+
+    Each one replaces a word between blanks and makes no word that a later one
+    replaces, so all are made in one pass over the words. Where such a word
+    stands twice in a row the two share a blank, and only the first is replaced;
+    texts with such a place go through the replacements themselves.
+    """
+    made = {old.strip(" "): new.strip(" ") for old, new in NOISE}
+    pairs = F.create_map(*[F.lit(x) for pair in made.items() for x in pair])
+    twice = column.rlike(f" ({'|'.join(made)}) \\1 ")
+    in_turn = reduce(lambda c, n: F.replace(c, F.lit(n[0]), F.lit(n[1])), NOISE, column)
+
+    def passed(words: Column) -> Column:
+        inner = lambda i: (i > 0) & (i < F.size(words) - 1)
+        word = lambda w, i: F.when(w.isin(*made) & inner(i), F.element_at(pairs, w)).otherwise(w)
+        return F.array_join(F.transform(words, word), " ")
+
+    return F.when(twice, in_turn).otherwise(text.let(F.split(column, " ", -1), passed))
 
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Observation, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.config import EngineConfig
+from tidemark.config import EngineConfig, spread
 from tidemark.operators import routing
 from tidemark.plans.pipeline import BUNDLED, Resources, build_pipeline
 from tidemark.sources.posts import read_posts, stream_posts, write_unrouted
@@ -39,7 +39,7 @@ def run_batch(spark: SparkSession, config: EngineConfig) -> dict[str, int]:
     posts = read_posts(spark, config.input_path, config.input_format)
     seen = Observation(OBSERVED)
     passed = posts.observe(seen, *routing.counts(config.language, supported))
-    scored = build_pipeline(passed, _resources(spark, config), config.language, config.fixed)
+    scored = build_pipeline(spread(passed), _resources(spark, config), config.language, config.fixed)
     write_sentiment(scored, config.output_path, salted=True)
     if config.unrouted_path:
         write_unrouted(posts.filter(routing.is_unrouted(supported)), config.unrouted_path, uuid.uuid4().hex, 0)

@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.config import spread
 from tidemark.operators import routing
 from tidemark.plans.pipeline import Resources, build_pipeline, score_all
 from tidemark.sources.posts import write_unrouted
@@ -44,7 +45,8 @@ def run_stream(
     """
     checkpoint = checkpoint or f"{sink}/checkpoint-{language}-{'fixed' if fixed else 'compat'}"
     supported = tuple({*routing.SUPPORTED, language})
-    source = source.observe(OBSERVED, *routing.counts(language, supported))
+    # A batch of few files is few tasks, so its posts are dealt out to all cores.
+    source = spread(source.observe(OBSERVED, *routing.counts(language, supported)))
 
     def publish(scored: DataFrame, rest: DataFrame | None, batch_id: int) -> None:
         if rest is not None:
