@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.config import settle
+from tidemark.functions import jvm
 
 
 @dataclass(frozen=True)
@@ -68,6 +69,7 @@ class Lookup:
         self.max_rows = max_rows
         self.max_bytes = max_bytes
         self._variable: Probe | None = None
+        self._shared = None
         self._hits = f"_hits_{next(_names)}"
 
     def _size(self) -> tuple[int, int]:
@@ -120,6 +122,13 @@ class Lookup:
             self._variable = Probe(name, buckets)
         return self._variable
 
+    def shared(self):
+        """Measure the table and hand it to the compiled stages; once only."""
+        if self._shared is None:
+            self._measured()
+            self._shared = jvm.shared(self.table)
+        return self._shared
+
     @property
     def probe(self) -> Probe:
         """What :meth:`bind` hands out, for expressions that are built ahead of it."""

@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions import jvm
 from tidemark.functions.lookup import Lookup, Probe, drop_bound
 from tidemark.functions.text import LOWER, UPPER, build_once, fold_case, let, scan, truthy
 from tidemark.operators.tokens import PUNCT, PUNCT_URL
@@ -600,11 +601,37 @@ def _found(probe: Probe, fixed: bool) -> Column:
     return F.flatten(F.transform("sentence_tokens", lambda s: recognise_tokens(s, probe, True)))
 
 
+#: The fixed values that the compiled recogniser reads.
+_VALUES = {
+    "max_name": MAX_NAME,
+    "upper": UPPER,
+    "lower": LOWER,
+    "punct": PUNCT,
+    "punct_url": PUNCT_URL,
+    "prep_end": _PREP_END,
+    "prep_art_end": _PREP_ART_END,
+    "quote_close": QUOTE_CLOSE,
+    "marks": [*PUNCT_TAGS, *UNTAGGED],
+    "boundary": BOUNDARY,
+    "text_bounds": TEXT_BOUNDS,
+    "caps_end": CAPS_END,
+    "quote_open": QUOTE_OPEN,
+}
+
+
+def _compiled(words: Lookup, fixed: bool) -> Column:
+    found = jvm.function("Recognise", RECOGNISED, words.shared(), fixed, _VALUES)
+    return found(F.col("sentence_tokens" if fixed else "tokens"))
+
+
 def recognise(df: DataFrame, words: Lookup, fixed: bool = False) -> DataFrame:
     """Add ``analyses``: one entry per token or merged span.
 
     ``words`` comes from :func:`word_lookup`. With ``fixed`` each sentence is
-    read on its own (from ``sentence_tokens``) and always closes.
+    read on its own (from ``sentence_tokens``) and always closes. With lookups
+    in the row the compiled stage does it, with joins the expressions above.
     """
+    if words.by == "in_row":
+        return df.withColumn("analyses", build_once(_compiled, words, fixed))
     df, probe = words.bind(df, F.transform("tokens", F.lower))
     return drop_bound(df.withColumn("analyses", build_once(_found, probe, fixed)))
