@@ -349,7 +349,7 @@ def pos_coarse(spark, sf_dir):
 
 @query(after("tagged", "SELECT feat, count(*) AS uses FROM (SELECT DISTINCT rowkey, ln, feat FROM feats) x GROUP BY feat"))
 def pos_features(spark, sf_dir):
-    names = text.let(tagger.line_info(F.col("analyses")), lambda xs: tagger.context_features(xs))
+    names = tagger.context_features(tagger.line_info(F.col("analyses")))
     return text.rows_of(recognised(spark, sf_dir), names, "i", "feat").groupBy("feat").agg(F.count("*").alias("uses"))
 
 

@@ -32,3 +32,31 @@ def test_compiled_recogniser_reads_as_the_expressions(spark, bundled, fixed):
     joined = word_lookup(bundled.dictionary, bundled.ambiguous, by="join")
     keys = lists(spark).withColumn("tokens", F.concat("tokens", F.flatten("sentence_tokens"))) if fixed else lists(spark)
     assert shown(recognise(keys, bundled.words, fixed), "analyses") == shown(recognise(keys, joined, fixed), "analyses")
+
+
+def test_compiled_scores_are_those_of_the_expressions(spark, bundled):
+    draw = random.Random(5)
+    lines = [(w, [(w, t)]) for w, t in (("the", "DT"), ("dog", "NN"), ("re", "IN"), ("7", "Z"), ("zork", "UNK"), ("that", "UNK"), ("slowly", "UNK"), (".", "Fp"))]
+    lines += [("runs", [("run", "VBZ"), ("run", "NNS")]), ("like", [("like", "IN"), ("like", "VB"), ("like", "JJ")])]
+    rows = [(f"{i:02d}", draw.choices(lines, k=draw.randrange(30)) + [(".", [(".", "Fp")])]) for i in range(60)]
+    df = spark.createDataFrame(rows, f"rowkey string, analyses {RECOGNISED}")
+    ways = []
+    for tables in (bundled.pos, PosTables(bundled.pos_model, by="join")):
+        bound, cond, prior = tagger.bind_tables(df, tables)
+        ways.append(shown(bound.withColumn("s", tagger.all_scores(tagger.line_info(F.col("analyses")), tables, cond, prior)), "s"))
+    assert ways[0] == ways[1]
+
+
+def test_features_and_examples(spark):
+    the, runs, dot = ("The", [("the", "DT")]), ("runs", [("run", "VBZ"), ("run", "NNS")]), (".", [(".", "Fp")])
+    df = spark.createDataFrame([("a", [the, ("zork", [("zork", "UNK")]), runs, dot, ("lost", [("lost", "UNK")])])], f"rowkey string, analyses {RECOGNISED}")
+    lines = tagger.line_info(F.col("analyses"))
+    row = df.select(lines.alias("lines"), *[tagger.context_features(lines, fixed).alias(str(fixed)) for fixed in (False, True)]).first()
+    assert [(x.token, x.kind, [c.c for c in x.cands]) for x in row.lines] == [
+        ("The", 0, ["DT"]), ("zork", 2, ["UN"]), ("runs", 1, ["VBZ", "NN"]), (".", 3, ["Fp"])
+    ]
+    assert row["False"] == ["R_VBZ", "R_VBZ_zork", "R_NN", "R_NN_zork", "L_DT", "L_DT_zork"]
+    assert row["True"] == [*row["False"], "R_END"]
+    tagged = spark.createDataFrame([("a", [("The", "the", "DT"), ("dog", "dog", "NN"), (".", ".", "Fp")])], f"rowkey string, tagged {TAGGED}")
+    got = tagged.select(train.pos_examples(F.col("tagged")).alias("x")).first().x
+    assert [(e.cat, e.feats) for e in got] == [("DT", ["R_NN", "R_NN_the", "L_BEGIN"]), ("NN", ["L_DT", "L_DT_dog"])]

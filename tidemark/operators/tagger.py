@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions import jvm
 from tidemark.functions.lookup import Lookup, Probe, drop_bound
 from tidemark.functions.text import build_once, few, float32, let, scan
 from tidemark.operators.ner import PUNCT_TAGS
@@ -72,6 +73,13 @@ class PosTables:
         self.open_prior = {c: 0.0 for c in OPEN_CLASSES} | {r["cat"]: r["p"] for r in known}
         self._shortcuts: dict[bool, Probe | None] = {}
 
+    def compiled(self, name: str, kind: str, *fixed: bool):
+        """A compiled stage that weighs with this model."""
+        spark = self.cond.table.sparkSession
+        smooth = spark.range(1).select(self.smooth).first()[0]
+        values = {**VALUES, "open": OPEN_CLASSES, "open_prior": [float(self.open_prior[c]) for c in OPEN_CLASSES]}
+        return jvm.function(name, kind, self.cond.shared(), self.prior.shared(), *fixed, smooth, values)
+
     def shortcut(self, fixed: bool) -> Probe | None:
         """Classes of unknown words by their neighbours alone; null where a lookup is by joins.
 
@@ -139,62 +147,20 @@ def _in_feature(word: Column) -> Column:
     return F.concat(F.lit("_"), word)
 
 
+#: The fixed values that the compiled stages read.
+VALUES = {"plain_tags": PLAIN_TAGS, "border_tags": BORDER_TAGS}
+_CAND = "struct<c:string,fine:string,lemma:string>"
+LINES = f"array<struct<token:string,kind:int,lemma:string,tag:string,cands:array<{_CAND}>>>"
+
+
 def line_info(analyses: Column, fixed: bool = False) -> Column:
     """Tagger lines of a post up to its last border.
 
     ``kind``: 0 one known analysis, 1 several, 2 unknown word, 3 border.
     ``cands`` holds one candidate per coarse tag, the last analysis winning.
+    A mark without a tag makes no line.
     """
-
-    def cand(c: Column, fine: Column, lemma: Column) -> Column:
-        return F.struct(c.alias("c"), fine.alias("fine"), lemma.alias("lemma"))
-
-    def several(an: Column) -> Column:
-        raw = F.transform(an, lambda a: cand(coarse_tag(a["tag"]), a["tag"], a["lemma"]))
-        last = lambda xs: F.filter(
-            xs,
-            lambda x, i: (x["c"] != "")
-            & ~F.exists(F.slice(xs, i + 2, F.size(xs)), lambda y: y["c"] == x["c"]),
-        )
-        return let(raw, last)
-
-    def info(e: Column) -> Column:
-        token, an = e["token"], e["analyses"]
-        first = F.get(an, F.lit(0))
-        as_unknown = cand(F.lit("UN"), F.lit("UNK"), first["lemma"])
-        adverb = token.endswith("ly") & token.rlike("\\wly$")
-        gerund = token.endswith("ing") & token.rlike("\\wing$")
-        ing_lemma = F.lower(token) if fixed else F.lit("")
-        build = lambda kind, cands: F.struct(
-            token.alias("token"),
-            F.lit(kind).alias("kind"),
-            first["lemma"].alias("lemma"),
-            first["tag"].alias("tag"),
-            cands.alias("cands"),
-        )
-        unknown = (
-            F.when(adverb, build(1, F.array(as_unknown, cand(F.lit("RB"), F.lit("RB"), first["lemma"]))))
-            .when(gerund, build(1, F.array(as_unknown, cand(F.lit("VB"), F.lit("VBG"), ing_lemma))))
-            .otherwise(build(2, F.array(as_unknown)))
-        )
-        border = first["tag"].isin(*BORDER_TAGS)
-        alone = F.array(cand(coarse_tag(first["tag"]), first["tag"], first["lemma"]))
-        # Nearly every line has one analysis, which needs no search for the last of its kind.
-        one = (
-            F.when(first["tag"] == "UNK", unknown)
-            .when(border, build(3, alone))
-            .otherwise(build(0, alone))
-        )
-        return F.when(F.size(an) == 1, one).when(border, build(3, several(an))).otherwise(build(1, several(an)))
-
-    def upto_last_border(lines: Column) -> Column:
-        back = F.array_position(F.reverse(F.transform(lines, lambda x: x["kind"])), 3)
-        kept = F.when(back > 0, F.size(lines) - back + 1).otherwise(0).cast("int")
-        return F.slice(lines, F.lit(1), kept)
-
-    # A mark without a tag makes no line.
-    tagged = lambda e: (F.size(e["analyses"]) > 1) | (F.get(e["analyses"], F.lit(0))["tag"] != "")
-    return let(F.transform(F.filter(analyses, tagged), info), upto_last_border)
+    return jvm.function("LineInfo", LINES, fixed, VALUES)(analyses)
 
 
 def _starts_sentence(lines: Column, i: Column) -> Column:
@@ -229,26 +195,7 @@ def _left_features(tag: Column, word: Column) -> Column:
 
 def context_features(lines: Column, fixed: bool = False) -> Column:
     """Every feature a post may look up, whatever tags get chosen."""
-
-    def of(x: Column, i: Column) -> Column:
-        def named(s: Column) -> Column:
-            word = s["word"]
-            before = F.get(lines, i - 1)
-            none = F.expr("cast(array() as array<string>)")
-            tags = (
-                F.when(s["starts"], F.array(F.lit(BEGIN)))
-                .when(before["kind"] == 2, none)  # an unknown word passes no tag on
-                .otherwise(F.transform(before["cands"], lambda c: c["c"]))
-            )
-            left = F.flatten(F.transform(tags, lambda t: _left_features(t, word)))
-            return F.concat(_right_features(lines, x, i, word, fixed), left)
-
-        starts = _starts_sentence(lines, i)
-        choice = x["kind"].isin(1, 2)
-        both = F.struct(_word(x, starts).alias("word"), starts.alias("starts"))
-        return F.when(choice, let(both, named)).otherwise(F.expr("cast(array() as array<string>)"))
-
-    return F.flatten(F.transform(lines, of))
+    return jvm.function("Features", "array<string>", fixed)(lines)
 
 
 def _known(cond: Probe, names: Column) -> Column:
@@ -303,6 +250,10 @@ def with_priors(cands: Column, prior: Probe) -> Column:
     )
 
 
+_RANK = "struct<cost:double,rarity:double,name:string,cand:struct<c:string,p:double,fine:string,lemma:string>>"
+_SCORES = f"array<struct<i:int,lefts:array<struct<before:string,ranks:array<{_RANK}>>>>>"
+
+
 def all_scores(lines: Column, tables: PosTables, cond: Probe, prior: Probe) -> Column:
     """Ranked candidates of each open word under every tag that may stand before it.
 
@@ -311,6 +262,9 @@ def all_scores(lines: Column, tables: PosTables, cond: Probe, prior: Probe) -> C
     no ranks, as the prior alone decides then.
     """
 
+    if tables.cond.by == "in_row":
+        return tables.compiled("Scores", _SCORES)(lines)
+
     def of(xs: Column) -> Column:
         def one(x: Column, i: Column) -> Column:
             starts = _starts_sentence(xs, i)
@@ -477,7 +431,16 @@ def bind_tables(df: DataFrame, tables: PosTables, fixed: bool = False):
     return df, cond, prior
 
 
+def _compiled(tables: PosTables, fixed: bool) -> Column:
+    return tables.compiled("Tag", TAGGED, fixed)(F.col("analyses"))
+
+
 def tag(df: DataFrame, tables: PosTables, fixed: bool = False) -> DataFrame:
-    """Add ``tagged``: one analysis per line, sentence borders included."""
+    """Add ``tagged``: one analysis per line, sentence borders included.
+
+    With lookups in the row the compiled stage does it, with joins :func:`tag_lines`.
+    """
+    if tables.cond.by == "in_row":
+        return df.withColumn("tagged", build_once(_compiled, tables, fixed))
     df, cond, prior = bind_tables(df, tables, fixed)
     return drop_bound(df.withColumn("tagged", build_once(_tagged, tables, cond, prior, fixed)))

@@ -9,13 +9,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions import jvm
 from tidemark.functions.text import rows_of
-from tidemark.operators.tagger import BEGIN, BORDER_TAGS, coarse_tag
+from tidemark.operators.tagger import VALUES
 from tidemark.sources.resources import Model
 
 
 # Stands in the feature column for the class itself; no token is empty.
 CLASS = ""
+_EXAMPLES = "array<struct<cat:string,feats:array<string>,border:boolean>>"
 
 
 def _model(examples: DataFrame, lists: DataFrame | None = None) -> Model:
@@ -54,28 +56,7 @@ def fit_nb(docs: DataFrame, lists: DataFrame | None = None) -> Model:
 
 def pos_examples(tagged: Column) -> Column:
     """Per tagged word: its class and the context features around it."""
-
-    def one(x: Column, i: Column) -> Column:
-        before, after = F.get(tagged, i - 1), F.get(tagged, i + 1)
-        starts = (i == 0) | before["tag"].isin(*BORDER_TAGS)
-        word = F.when(starts, F.lower(x["token"])).otherwise(x["token"])
-        pair = lambda side, t: F.array(
-            F.concat(F.lit(side), t), F.concat(F.lit(side), t, F.lit("_"), word)
-        )
-        none = F.expr("cast(array() as array<string>)")
-        right = F.when(
-            after.isNotNull() & ~after["tag"].isin(*BORDER_TAGS), pair("R_", coarse_tag(after["tag"]))
-        ).otherwise(none)
-        left = F.when(starts, F.array(F.lit("L_" + BEGIN))).otherwise(
-            pair("L_", coarse_tag(before["tag"]))
-        )
-        return F.struct(
-            coarse_tag(x["tag"]).alias("cat"),
-            F.array_distinct(F.concat(right, left)).alias("feats"),
-            x["tag"].isin(*BORDER_TAGS).alias("border"),
-        )
-
-    return F.filter(F.transform(tagged, one), lambda e: ~e["border"])
+    return jvm.function("Examples", _EXAMPLES, VALUES)(tagged)
 
 
 def fit_pos(tagged: DataFrame) -> Model:
