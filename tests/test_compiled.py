@@ -34,6 +34,12 @@ def test_compiled_recogniser_reads_as_the_expressions(spark, bundled, fixed):
     assert shown(recognise(keys, bundled.words, fixed), "analyses") == shown(recognise(keys, joined, fixed), "analyses")
 
 
+@pytest.mark.parametrize("fixed", [False, True])
+def test_no_stage_behind_the_tokens_is_interpreted_word_by_word(spark, bundled, fixed):
+    done = classify(tag(recognise(lists(spark), bundled.words, fixed), bundled.pos, fixed), bundled.polarity, fixed)
+    assert "lambda" not in done._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_compiled_scores_are_those_of_the_expressions(spark, bundled):
     draw = random.Random(5)
     lines = [(w, [(w, t)]) for w, t in (("the", "DT"), ("dog", "NN"), ("re", "IN"), ("7", "Z"), ("zork", "UNK"), ("that", "UNK"), ("slowly", "UNK"), (".", "Fp"))]
@@ -47,6 +53,22 @@ def test_compiled_scores_are_those_of_the_expressions(spark, bundled):
     assert ways[0] == ways[1]
 
 
+def test_compiled_content_words_and_compounds_are_those_of_the_expressions(spark, bundled):
+    draw = random.Random(3)
+    polar = [r.word for r in bundled.lexicon.limit(6).collect()]
+    listed = [w for n in sorted(bundled.polarity.lists) for w in bundled.polarity.lists[n][:2]]
+    tags = ("JJ", "NN", "VB", "RB", "Fp", "IN", "DT", "")
+    line = lambda w, t: (draw.choice([w, ":)", "EMOT_POS"]), w, t)
+    rows = [(f"{i:02d}", [line(draw.choice([*polar, *listed, "dog", ""]), draw.choice(tags)) for _ in range(30)]) for i in range(80)]
+    df = spark.createDataFrame(rows, f"rowkey string, tagged {TAGGED}")
+    ways = []
+    for tables in (bundled.polarity, PolarityTables(bundled.lexicon, bundled.nb_model, by="join")):
+        bound, probe = tables.bind(df)
+        words = bound.withColumn("words", content_words(F.col("tagged"), tables, probe))
+        ways.append(shown(words.withColumn("both", F.struct("words", compound_names(F.col("words"), tables).alias("n"))), "both"))
+    assert ways[0] == ways[1]
+
+
 def test_features_and_examples(spark):
     the, runs, dot = ("The", [("the", "DT")]), ("runs", [("run", "VBZ"), ("run", "NNS")]), (".", [(".", "Fp")])
     df = spark.createDataFrame([("a", [the, ("zork", [("zork", "UNK")]), runs, dot, ("lost", [("lost", "UNK")])])], f"rowkey string, analyses {RECOGNISED}")

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions import jvm
 from tidemark.functions.lookup import Lookup, Probe, drop_bound
 from tidemark.functions.text import build_once, few, float32, scan
 from tidemark.operators.normalize import NEGATIVE as NEGATIVE_MARK
@@ -99,6 +100,19 @@ class PolarityTables:
             **bounds,
         )
 
+    def compiled(self, name: str, kind: str, fixed: bool):
+        """A compiled stage that reads these tables."""
+        smooth = self.scores.table.sparkSession.range(1).select(self.smooth).first()[0]
+        values = {n: self.lists.get(n, []) for n in LISTS} | {
+            "lexical": LEXICON_P,
+            "smooth": smooth,
+            "prior_pos": self.prior[POSITIVE],
+            "prior_neg": self.prior[NEGATIVE],
+            "positive": POSITIVE_MARK,
+            "negative": NEGATIVE_MARK,
+        }
+        return jvm.function(name, kind, self.scores.shared(), fixed, values)
+
     def listed(self, word: Column, name: str) -> Column:
         if self.joined_lists is not None:
             return F.coalesce(self.joined_lists.probe(word)[name], F.lit(False))
@@ -129,6 +143,8 @@ def _gate(tagged: Column, fixed: bool) -> Column:
 
 def content_words(tagged: Column, tables: PolarityTables, probe: Probe, fixed: bool = False) -> Column:
     """Content lemmas in order, with an empty lemma where context resets."""
+    if tables.scores.by == "in_row":
+        return tables.compiled("Content", _WORDS, fixed)(tagged)
     reset = lambda x: x["tag"].rlike(RESET_TAG)
     content = lambda x: x["tag"].rlike(CONTENT_TAG) & ~tables.listed(x["lemma"], "light_words")
     kept = F.filter(_gate(tagged, fixed), lambda x: reset(x) | content(x))
@@ -142,6 +158,8 @@ def content_words(tagged: Column, tables: PolarityTables, probe: Probe, fixed: b
 
 
 SCORE = "struct<polarity:int,trained:boolean,pos:double,neg:double>"
+_WORDS = f"array<struct<lemma:string,tag:string,s:{SCORE}>>"
+_TOTALS = "struct<hits:int,pos:double,neg:double,balance:int>"
 
 
 def compound_kind(lemma_score: Column, tag: Column, previous: Column, tables: PolarityTables) -> Column:
@@ -159,6 +177,8 @@ def compound_kind(lemma_score: Column, tag: Column, previous: Column, tables: Po
 
 def compound_names(words: Column, tables: PolarityTables) -> Column:
     """The compounds of a post, in order."""
+    if tables.scores.by == "in_row":
+        return tables.compiled("Compounds", "array<string>", False)(words)
 
     def step(previous: Column, w: Column) -> Column:
         kind = compound_kind(w["s"], w["tag"], previous, tables)
@@ -290,8 +310,15 @@ def _scores(tables: PolarityTables, probe: Probe, fixed: bool) -> Column:
     return score_content(words, tables, probe, fixed)
 
 
+def _compiled(tables: PolarityTables, fixed: bool) -> Column:
+    return tables.compiled("Score", _TOTALS, fixed)(F.col("tagged"))
+
+
 def with_scores(df: DataFrame, tables: PolarityTables, fixed: bool = False) -> DataFrame:
     """Add ``balance`` and ``scores`` (``hits``, ``pos``, ``neg``)."""
+    if tables.scores.by == "in_row":
+        scored = df.withColumn("scores", build_once(_compiled, tables, fixed))
+        return scored.withColumn("balance", F.col("scores.balance"))
     df, probe = tables.bind(df)
     balance = emoticon_balance(F.col("tagged"), fixed)
     scored = df.withColumn("scores", build_once(_scores, tables, probe, fixed))
