@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Observation, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.config import EngineConfig, spread
@@ -26,6 +27,18 @@ def _resources(spark: SparkSession, config: EngineConfig) -> Resources:
     return Resources(spark, config.resources or BUNDLED, lookup=config.lookup)
 
 
+def _observed(seen: Observation, posts: DataFrame, counts: list[Column]) -> dict[str, int]:
+    """What passed ``seen``; counted anew where nothing was left to score.
+
+    Spark then drops the rest of the running plan as empty, and with it the
+    observation, which gives an error in place of a row.
+    """
+    try:
+        return seen.get
+    except Py4JJavaError:
+        return posts.agg(*counts).first().asDict()
+
+
 def run_batch(spark: SparkSession, config: EngineConfig) -> dict[str, int]:
     """Score every post of the input and upsert the results.
 
@@ -38,12 +51,13 @@ def run_batch(spark: SparkSession, config: EngineConfig) -> dict[str, int]:
     supported = tuple({*routing.SUPPORTED, config.language})
     posts = read_posts(spark, config.input_path, config.input_format)
     seen = Observation(OBSERVED)
-    passed = posts.observe(seen, *routing.counts(config.language, supported))
+    counts = routing.counts(config.language, supported)
+    passed = posts.observe(seen, *counts)
     scored = build_pipeline(spread(passed), _resources(spark, config), config.language, config.fixed)
     write_sentiment(scored, config.output_path, salted=True)
     if config.unrouted_path:
         write_unrouted(posts.filter(routing.is_unrouted(supported)), config.unrouted_path, uuid.uuid4().hex, 0)
-    return seen.get
+    return _observed(seen, posts, counts)
 
 
 def run_stream_job(spark: SparkSession, config: EngineConfig, trigger: dict | None = None, **more) -> StreamingQuery:
