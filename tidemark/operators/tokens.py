@@ -1,11 +1,13 @@
 """Tokenisation: ``normalized`` -> ``tokens``.
 
-Substitutions over a whole sentence set off punctuation and mark clitics, a
-whitespace split follows, and each token then gets its marks resolved.
+Substitutions over a whole sentence set off punctuation and mark clitics, the
+marks are resolved token by token where there are any, and one split of the
+whole post at white space follows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -64,25 +66,46 @@ HAVE_CONTRACTIONS = ("coulda", "Coulda", "shoulda", "Shoulda", "woulda", "Woulda
 
 
 # Sentences without any of these only need the punctuation rules.
-NEEDS_ALL_RULES = f"['0-9<>`\\x00-\\x08\\x0E-\\x1F]|\\.\\.\\.|{CLITIC}|{GENITIVE}"
-PUNCT_RULES = SUBSTITUTIONS[-3:]
+NEEDS_ALL_RULES = "['0-9<>`\\x00-\\x08\\x0E-\\x1F]"
+NEEDS_ALL_TEXTS = ("...", CLITIC, GENITIVE)
+
+# The same substitutions as they are run. Those of a fixed text need no pattern,
+# those of clitics and of numbers are tried where the sentence has such a place.
+LITERAL_RULES = tuple((pattern.replace("\\", ""), mark) for pattern, mark in SUBSTITUTIONS[:5])
+CLITIC_RULES = SUBSTITUTIONS[5:8]
+NUMBER_RULES = SUBSTITUTIONS[8:11]
+NUMBER = "[0-9][.,'][0-9]"
+# The last three in one pass: each only sets a mark off, and one of PUNCT_URL
+# has a blank behind it after the first of them where a mark of PUNCT follows.
+PUNCT_RULE = (
+    f"[{PUNCT[1:-1]}:/~.](?:(?<={PUNCT})|(?<={PUNCT_URL})(?=\\s|$|{PUNCT})|(?<=\\.)$)",
+    " $0 ",
+)
+
+# Texts with a token that may be a contraction, or that holds a control character.
+SINGLE_TOKENS = "[\\x00-\\x08\\x0E-\\x1F]|[at](?!\\S)(?<=nna|tta|fta|lda|sta|annot)"
+# Tokens of one character, or of small letters behind any first letter, hold no mark.
+PLAIN_TOKEN = "^(?:[A-Za-z]?[a-z]*+|[^\\x00-\\x20])$"
 
 
-def _cut(sentence: Column, rules) -> Column:
-    marked = reduce(lambda c, rule: F.regexp_replace(c, *rule), rules, sentence)
-    return split_all(marked, "\\s")
+def _where(found: Callable[[Column], Column], rules, value: Column) -> Column:
+    """``value`` with ``rules`` applied where ``found`` holds of it."""
+    every = lambda s: reduce(lambda c, rule: F.regexp_replace(c, *rule), rules, s)
+    return let(value, lambda s: F.when(found(s), every(s)).otherwise(s))
 
 
 def sentence_tokens(sentence: Column) -> Column:
-    """Tokens of one sentence, clitics still marked."""
-    return _cut(chomp(sentence), SUBSTITUTIONS)
+    """Tokens of one sentence as a text with white space between them, clitics still marked."""
+    marked = reduce(lambda c, rule: F.replace(c, F.lit(rule[0]), F.lit(rule[1])), LITERAL_RULES, chomp(sentence))
+    marked = _where(lambda s: s.contains("'"), CLITIC_RULES, marked)
+    marked = _where(lambda s: s.rlike(NUMBER), NUMBER_RULES, marked)
+    return F.regexp_replace(marked, *PUNCT_RULE)
 
 
-def restore(token: Column) -> Column:
-    """The first of each stand-in back as what it stands for; a second one stays."""
-    first = lambda t, pair: F.regexp_replace(t, f"(?s)^(.*?){pair[0]}", f"$1{pair[1]}")
-    held = token.rlike("|".join(mark for mark, _ in STAND_INS))
-    return F.when(held, reduce(first, STAND_INS, token)).otherwise(token)
+def restore(tokens: Column) -> Column:
+    """In each token of a text the first of each stand-in back as what it stands for; a second one stays."""
+    first = lambda t, pair: _where(lambda s: s.contains(pair[0]), [(f"(?<!\\S)(\\S*?){pair[0]}", f"$1{pair[1]}")], t)
+    return reduce(first, STAND_INS, tokens)
 
 
 def expand_clitics(token: Column, fixed: bool = False) -> Column:
@@ -136,32 +159,33 @@ def expand_contractions(token: Column, fixed: bool = False) -> Column:
 
 
 def word_tokens(sentence: Column, fixed: bool = False) -> Column:
-    """Final tokens of one sentence, some holding a newline between parts."""
+    """Final tokens of one sentence as a text with white space between them.
 
-    def plain(s: Column) -> Column:
-        return F.transform(
-            _cut(F.trim(s), PUNCT_RULES), lambda t: expand_contractions(t, fixed)
-        )
+    Tokens are looked at one by one only where one of them may be a clitic or a
+    contraction, or may lose a control character.
+    """
 
-    def full(s: Column) -> Column:
-        return F.transform(
-            F.transform(sentence_tokens(s), restore),
-            lambda t: chomp(expand_clitics(t, fixed)),
-        )
+    def resolved(t: Column) -> Column:
+        return F.when(t.rlike(PLAIN_TOKEN), expand_contractions(t, fixed)).otherwise(chomp(expand_clitics(t, fixed)))
+
+    def each(text: Column) -> Column:
+        one_by_one = F.array_join(F.transform(split_all(text, "\\s"), resolved), "\n")
+        return F.when(text.contains(CLITIC) | text.rlike(SINGLE_TOKENS), one_by_one).otherwise(text)
 
-    return F.when(sentence.rlike(NEEDS_ALL_RULES), full(sentence)).otherwise(plain(sentence))
+    needs_all = reduce(lambda c, held: c | sentence.contains(held), NEEDS_ALL_TEXTS, sentence.rlike(NEEDS_ALL_RULES))
+    plain = F.regexp_replace(F.trim(sentence), *PUNCT_RULE)
+    return let(F.when(needs_all, restore(sentence_tokens(sentence))).otherwise(plain), each)
 
 
 def flatten_tokens(sentences: Column) -> Column:
-    """All tokens of a post; each sentence ends in an empty mark beforehand.
+    """All tokens of a post; each sentence that has a token, if an empty one, ends in a newline beforehand.
 
-    Joining and cutting at newlines separates clitic parts and removes empty
+    Joining and cutting at white space separates clitic parts and removes empty
     tokens; only an empty one at the very start of a post stays.
     """
-    marked = F.flatten(
-        F.transform(sentences, lambda s: F.concat(word_tokens(s), F.array(F.lit(""))))
-    )
-    return split_all(F.array_join(marked, "\n"), "\n")
+    ended = lambda text: F.when((text == "") | text.rlike("\\S"), F.concat(text, F.lit("\n"))).otherwise("")
+    marked = F.transform(sentences, lambda s: let(word_tokens(s), ended))
+    return split_all(F.array_join(marked, "\n"), "\\s")
 
 
 def _tokens() -> Column:
@@ -171,9 +195,7 @@ def _tokens() -> Column:
 def _tokens_by_sentence() -> Column:
     parts = F.transform(
         "normalized",
-        lambda s: F.filter(
-            F.split(F.array_join(word_tokens(s, True), "\n"), "\n+", -1), lambda t: t != ""
-        ),
+        lambda s: F.filter(F.split(word_tokens(s, True), "\\s+", -1), lambda t: t != ""),
     )
     return let(parts, lambda p: F.struct(p.alias("by"), F.flatten(p).alias("every")))
 
