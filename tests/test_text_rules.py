@@ -61,3 +61,27 @@ def plan(df):
 def test_texts_without_a_pattern_are_replaced_as_texts(posts):
     found = plan(text_stages(posts("a")).select("tokens"))
     assert not [p for p, mark in tokens.SUBSTITUTIONS[:5] if f", {p}, {mark}, 1)" in found]
+
+
+@pytest.mark.parametrize("fixed", [False, True])
+def test_words_are_rewritten_as_by_the_rules_in_turn(texts, fixed):
+    def listed(w):
+        stop = (w.endswith(".") | w.endswith(",")) & w.rlike(norm.TAIL)
+        word = F.when(stop, F.substr(w, F.lit(1), F.length(w) - 1)).otherwise(w)
+        runs = "|".join(run for _, run in (norm.FIXED_RUNS if fixed else norm.TRIGGERS))
+        done = norm.rewrite(F.when(word.rlike(runs), norm.collapse(word, fixed)).otherwise(word), fixed)
+        return F.when(done == "", "").when(stop, F.concat_ws(" ", done, F.right(w, F.lit(1)))).otherwise(done)
+
+    # A word of small letters before a line end keeps that, others lose it.
+    words = texts.select(F.explode_outer(F.split(F.regexp_replace("t", "[\r\n]", ""), " ")).alias("t"))
+    same(words, norm.normalize_word(F.col("t"), fixed), listed(F.col("t")))
+
+
+def test_stops_and_blanks_of_plain_sentences(spark):
+    df = spark.createDataFrame([(0, ["a,  b., c. d..", " x  , y.", "😀. é,", ", .", "cats\r", "Cats\r"]), (1, [])], "i int, sentences array<string>")
+    got = [r.normalized for r in norm.normalize(df).orderBy("i").collect()]
+    assert got == [["a , b., c . d.. ", "x , y . ", "😀 . é , ", ", . ", "cats\r ", "Cats "], []]
+
+
+def test_single_blanks_are_not_replaced(posts):
+    assert ",  +,  , 1)" not in plan(text_stages(posts("a")).select("normalized"))

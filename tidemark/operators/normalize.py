@@ -31,6 +31,7 @@ TRIGGERS = (
     ("u", "uu"),
     ("U", "UU"),
 )
+VOWEL = "[aeiouAEIOU]"
 FIXED_RUNS = tuple((x, x * (3 if x in "eEoO" else 2)) for x, _ in TRIGGERS)
 
 # Whole-word patterns (fixed values), first match wins, with what replaces them.
@@ -87,44 +88,50 @@ def _touched(fixed: bool) -> tuple[str, str]:
     Nearly every word matches neither, so these two checks stand in for the
     two dozen patterns behind them.
     """
-    stretched = "|".join(run for _, run in (FIXED_RUNS if fixed else TRIGGERS))
-    special = [pattern for pattern, _ in WORD_RULES] + ["^\\s", "\\s$"]
+    runs = "|".join(run for _, run in (FIXED_RUNS if fixed else TRIGGERS))
+    special = [pattern.removeprefix("^") for pattern, _ in WORD_RULES] + ["\\s"]
     if fixed:
-        special.append("^[A-Z]\\.[A-Z]$")
-    return stretched, "|".join(special)
+        special.append("[A-Z]\\.[A-Z]$")
+    # Every run begins with two vowels, and every rule at the start of the word but one.
+    return f"(?={VOWEL}{VOWEL})(?:{runs})", f"^(?:{'|'.join(special)})|\\s$"
 
 
 def normalize_word(word: Column, fixed: bool = False) -> Column:
-    """Struct ``(word, tail)``: the rewritten word and its detached stop."""
+    """The rewritten word, and its detached stop behind a blank; empty where the word goes."""
     stretched, special = _touched(fixed)
+    small, plain = _plain(fixed)
     no_tail = F.lit(None).cast("string").alias("tail")
+    last, rest = F.right(word, F.lit(1)), F.substr(word, F.lit(1), F.length(word) - 1)
     has_tail = word.endswith(".") | word.endswith(",")
-    parts = F.when(
-        has_tail & word.rlike(TAIL),
-        F.struct(
-            F.substr(word, F.lit(1), F.length(word) - 1).alias("word"),
-            F.right(word, F.lit(1)).alias("tail"),
-        ),
-    ).otherwise(F.struct(word.alias("word"), no_tail))
+    parts = F.when(has_tail & word.rlike(TAIL), F.struct(rest.alias("word"), last.alias("tail"))).otherwise(
+        F.struct(word.alias("word"), no_tail)
+    )
 
     def finish(p: Column) -> Column:
         shortened = F.when(p["word"].rlike(stretched), collapse(p["word"], fixed)).otherwise(p["word"])
-        return let(
-            shortened,
-            lambda w: F.struct(
-                F.when(w.rlike(special), rewrite(w, fixed)).otherwise(w).alias("word"),
-                p["tail"].alias("tail"),
-            ),
-        )
+        rewritten = let(shortened, lambda w: F.when(w.rlike(special), rewrite(w, fixed)).otherwise(w))
+        tail = F.coalesce(F.concat(F.lit(" "), p["tail"]), F.lit(""))
+        return let(rewritten, lambda w: F.when(w == "", "").otherwise(F.concat(w, tail)))
+
+    # Plain words, most by far, are known by one look, and so are those with a stop behind them.
+    return (
+        F.when(word.rlike(f"{small}$|{plain}\\z"), word)
+        .when(word.rlike(f"{plain}[,.]\\z"), F.concat(rest, F.lit(" "), last))
+        .otherwise(let(parts, finish))
+    )
 
-    # Plain words, most by far, are known by one look.
-    return F.when(word.rlike(_plain(fixed)), F.struct(word.alias("word"), no_tail)).otherwise(let(parts, finish))
 
+def _plain(fixed: bool) -> tuple[str, str]:
+    """Patterns of words that no rule changes: none stretched, no laughter, no letter eyes.
 
-def _plain(fixed: bool) -> str:
-    """Pattern of words of small letters only that no rule changes: none stretched, no laughter, no letter eyes."""
-    runs = {run for _, run in (FIXED_RUNS if fixed else TRIGGERS) if run.islower()}
-    return f"^(?![xd]|[aehij]{{4}})(?:(?!{'|'.join(sorted(runs))})[a-z])++$"
+    The first is of small letters only, the second of letters, digits, hyphens and apostrophes.
+    """
+    runs = "|".join(sorted(run for _, run in (FIXED_RUNS if fixed else TRIGGERS)))
+    # Other letters than vowels are listed, and so found in one table without a look ahead.
+    small = f"^(?![xd]|[aehij]{{4}})(?:[bcdfghjklmnpqrstvwxyz]++|(?!{runs})[aeiou])++"
+    eyes = "[Xx][Oo-]?[Dd]|[Dd][Oo-]?[Xx]"
+    other = "[bcdfghjklmnpqrstvwxyzBCDFGHJKLMNPQRSTVWXYZ0123456789'-]"
+    return small, f"^(?!{eyes}|[AEHIJaehij]{{4}})(?:{other}++|(?!{runs}){VOWEL})++"
 
 
 # A sentence without any of these has no word the rules could touch.
@@ -142,22 +149,16 @@ def normalize_sentence(sentence: Column, fixed: bool = False) -> Column:
 
 def _detach_tails(sentence: Column, fixed: bool) -> Column:
     """Blank-squeeze a sentence and set off the stop that ends a word."""
-    apart = F.regexp_replace(sentence, "([^ ,.])([,.])(?= |$)", "$1 $2")
-    squeezed = F.ltrim(F.regexp_replace(F.concat(apart, F.lit(" ")), " +", " "))
+    apart = F.regexp_replace(sentence, "(?<=[^ ,.])[,.](?= |$)", " $0")
+    squeezed = F.ltrim(F.regexp_replace(F.concat(apart, F.lit(" ")), " {2,}", " "))
     return F.rtrim(squeezed) if fixed else squeezed
 
 
 def _rewrite_words(sentence: Column, fixed: bool) -> Column:
-    words = F.filter(
-        F.transform(split_spaces(sentence), lambda w: normalize_word(w, fixed)),
-        lambda p: p["word"] != "",
-    )
+    words = F.filter(F.transform(split_spaces(sentence), lambda w: normalize_word(w, fixed)), lambda w: w != "")
     if fixed:
-        return F.array_join(F.transform(words, lambda p: F.concat_ws(" ", p["word"], p["tail"])), " ")
-    tail = lambda p: F.coalesce(F.concat(F.lit(" "), p["tail"]), F.lit(""))
-    return F.array_join(
-        F.transform(words, lambda p: F.concat(p["word"], tail(p), F.lit(" "))), ""
-    )
+        return F.array_join(words, " ")
+    return let(words, lambda ws: F.when(F.size(ws) > 0, F.concat(F.array_join(ws, " "), F.lit(" "))).otherwise(""))
 
 
 def split_spaces(sentence: Column) -> Column:
