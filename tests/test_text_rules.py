@@ -85,3 +85,18 @@ def test_stops_and_blanks_of_plain_sentences(spark):
 
 def test_single_blanks_are_not_replaced(posts):
     assert ",  +,  , 1)" not in plan(text_stages(posts("a")).select("normalized"))
+
+
+def test_sentences_are_cut_as_by_the_rules_in_turn(texts):
+    def listed(t):
+        cut = F.regexp_replace(F.concat(in_turn(t, sentences.SUBSTITUTIONS), F.lit("\n")), "\n\\s+", "\n")
+        for mark in (sentences.ABBREVIATION_DOT, sentences.DOT):
+            cut = F.replace(cut, F.lit(mark), F.lit("."))
+        return split_all(cut, "\n")
+
+    same(texts, sentences.sentence_array(F.col("t")), listed(F.col("t")))
+
+
+def test_hidden_dots_take_one_pass(posts):
+    found = plan(text_stages(posts("a")).select("sentences"))
+    assert not [p for p, _ in sentences.SUBSTITUTIONS[:6] if f", {p}, " in found]

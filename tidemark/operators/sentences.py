@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.lookup import Lookup, drop_bound
-from tidemark.functions.text import LOWER, UPPER, build_once, split_all
+from tidemark.functions.text import LOWER, UPPER, build_once, let, split_all
 
 # Marks (fixed values).
 DOT = "<SIGLA-TMP>"
@@ -29,9 +29,23 @@ SUBSTITUTIONS = (
     ("\\.([^\"'])", ".\n$1"),
 )
 
+# The same substitutions as they are run: patterns that begin with the dot pass
+# quickly over all else. A dot right behind a match has no letter or digit of its
+# own before it, and so stays. The first, third and fourth meet no dot twice and
+# are one pass; the fifth and sixth need a dot that those have hidden.
+INNER_DOT = (f"\\.(?<!\\G.)((?<={LOWER}\\.){LOWER}|(?<={UPPER}\\.){UPPER}|(?<=[0-9]\\.)[0-9]+)", f"{DOT}$1")
+ELLIPSIS = ("...", DOT * 3)
+BEHIND_HIDDEN = (
+    (f"\\.(?<={DOT}{UPPER}\\.)({UPPER})", f"{DOT}$1"),
+    (f"\\.(?<={DOT}{UPPER}\\.)(?=\\s+{LOWER})", DOT),
+)
+
 
 def sentence_array(text: Column) -> Column:
-    cut = reduce(lambda c, rule: F.regexp_replace(c, *rule), SUBSTITUTIONS, text)
+    hidden = F.replace(F.regexp_replace(text, *INNER_DOT), *map(F.lit, ELLIPSIS))
+    behind = lambda t: reduce(lambda c, rule: F.regexp_replace(c, *rule), BEHIND_HIDDEN, t)
+    hidden = let(hidden, lambda t: F.when(t.contains(DOT), behind(t)).otherwise(t))
+    cut = F.regexp_replace(hidden, *SUBSTITUTIONS[-1])
     cut = F.regexp_replace(F.concat(cut, F.lit("\n")), "\n\\s+", "\n")
     for mark in (ABBREVIATION_DOT, DOT):
         cut = F.replace(cut, F.lit(mark), F.lit("."))
